@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # ---- fixed values -------------------------------------------------------------------------
 TONE_MARKS = {
@@ -56,15 +57,18 @@ _INVALID = rf"[^\p{{L}}\p{{N}}_{SPACE[1:-1]}{_ranges(EXTRA_TEXT_RANGES)}]"
 _NOISE = rf"(?:[^\p{{L}}\p{{N}}{_ranges(EXTRA_TEXT_RANGES)}]|{_EMOJI})+"
 
 
-@F.pandas_udf("string")
-def _to_nfc(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
+def _compose() -> Callable[[Column], Column]:
+    # A nested function travels to the executors by value, so they need no copy of this package.
+    def compose(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
+
+    return F.pandas_udf(compose, T.StringType())
 
 
 def nfc(col: Column) -> Column:
     """Unicode NFC. Texts made of NFC-stable code points never leave the JVM."""
     doubtful = F.when(col.rlike(_NOT_SURELY_NFC), col)
-    return F.coalesce(_to_nfc(doubtful), col)
+    return F.coalesce(_compose()(doubtful), col)
 
 
 def lowercase(col: Column) -> Column:
@@ -108,6 +112,11 @@ def preprocess(col: Column) -> Column:
     return F.coalesce(normalize_sentence(tone_marks(lowercase(nfc(col)))), F.lit(""))
 
 
+def preprocess_table(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """Clean a text column and keep what it was as ``text_original``."""
+    return df.withColumns({"text_original": F.col(text_col), text_col: preprocess(F.col(text_col))})
+
+
 def strip_translate_suffix(col: Column) -> Column:
     """Drop a trailing 'translate' button caption; other texts stay as they are."""
     cut = strip_space(F.regexp_replace(col, rf"{SPACE}*{TRANSLATE_SUFFIX}{SPACE}*$", ""))

@@ -41,7 +41,7 @@ def baseline_tfidf_svm(
 ) -> PipelineModel:
     """TF-IDF with one linear SVM per class."""
     svm = LinearSVC(featuresCol="features", maxIter=max_iter, regParam=reg)
-    classifier = OneVsRest(classifier=svm, featuresCol="features", labelCol=y)
+    classifier = OneVsRest(classifier=svm, featuresCol="features", labelCol=y, parallelism=3)
     if weight_col is not None:
         classifier = classifier.setWeightCol(weight_col)
     return Pipeline(stages=[*_tfidf(text_col, features), classifier]).fit(df)

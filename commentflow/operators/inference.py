@@ -7,9 +7,11 @@ Any callable ``Sequence[str] -> Sequence[int]`` is a predictor.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,9 @@ from pyspark.sql import types as T
 from commentflow.functions.labels import flag_target
 from commentflow.functions.text import strip_space
 
+# Predictors travel to the executors by value, so those need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Predictor = Callable[[Sequence[str]], Sequence[int]]
 PredictorFactory = Callable[[], Predictor]
 

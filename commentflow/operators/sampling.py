@@ -26,13 +26,16 @@ def _weights(total: Column, counts: list[Column], classes: Sequence[int]) -> lis
     return [w / whole * k for w in raw]
 
 
-def class_weights(df: DataFrame, y: str = "label", classes: Sequence[int] = CLASSES) -> DataFrame:
+def class_weights(
+    df: DataFrame, y: str = "label", classes: Sequence[int] = CLASSES, digits: int | None = 4
+) -> DataFrame:
     """Weight of each class: rows / (k · class rows), scaled so that the weights sum to k."""
     counts = [F.count_if(F.col(y) == c).alias(f"n{c}") for c in classes]
     wide = df.agg(F.count("*").alias("total"), *counts)
     weights = _weights(F.col("total"), [F.col(f"n{c}") for c in classes], classes)
     rows = [
-        F.struct(F.lit(c).alias("label"), F.col(f"n{c}").alias("count"), F.round(w, 4).alias("weight"))
+        F.struct(F.lit(c).alias("label"), F.col(f"n{c}").alias("count"),
+                 (w if digits is None else F.round(w, digits)).alias("weight"))
         for c, w in zip(classes, weights)
     ]
     return wide.select(F.inline(F.array(*rows)))
