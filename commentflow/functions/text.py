@@ -39,8 +39,13 @@ NFC_STABLE_RANGES = (
     (0x2600, 0x27BF), (0x1F300, 0x1FAFF),
 )
 
-# Unicode whitespace as Python's str.strip sees it; Java's \s is ASCII only.
-SPACE = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# Unicode whitespace; Java's \s is ASCII only.
+SPACE_RANGES = (
+    (0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
+    (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000),
+)
+SPACE_CHARS = "".join(chr(c) for lo, hi in SPACE_RANGES for c in range(lo, hi + 1))
+
 # A word character: letter, number or underscore. Java's \w is ASCII only.
 WORD = r"[\p{L}\p{N}_]"
 
@@ -49,12 +54,26 @@ def _ranges(pairs) -> str:
     return "".join(rf"\x{{{lo:X}}}-\x{{{hi:X}}}" for lo, hi in pairs)
 
 
+def _rare(pairs) -> str:
+    """Character class of ranges most characters lie outside of.
+
+    One comparison with the span of all ranges rejects an ordinary character; only characters inside
+    the span are tried range by range.
+    """
+    return rf"[{_ranges([(min(lo for lo, _ in pairs), max(hi for _, hi in pairs))])}&&[{_ranges(pairs)}]]"
+
+
+_LATIN_SPACE = [r for r in SPACE_RANGES if r[1] < 0x100]
+_OTHER_SPACE = [r for r in SPACE_RANGES if r[1] >= 0x100]
+SPACE = f"[{_ranges(_LATIN_SPACE)}{_rare(_OTHER_SPACE)}]"
+
 _NOT_SURELY_NFC = f"[^{_ranges(NFC_STABLE_RANGES)}]"
-_EMOJI = f"[{_ranges(EMOJI_RANGES)}]"
-_INVALID = rf"[^\p{{L}}\p{{N}}_{SPACE[1:-1]}{_ranges(EXTRA_TEXT_RANGES)}]"
-# One pass for emoji, invalid characters, punctuation and whitespace runs together. Dingbat digits
-# are numbers, so they need their own alternative next to the negated class.
-_NOISE = rf"(?:[^\p{{L}}\p{{N}}{_ranges(EXTRA_TEXT_RANGES)}]|{_EMOJI})+"
+_EMOJI = _rare(EMOJI_RANGES)
+_INVALID = rf"[^\p{{L}}\p{{N}}_{_ranges(EXTRA_TEXT_RANGES)}{_ranges(SPACE_RANGES)}]"
+# One pass for emoji, invalid characters, punctuation and whitespace runs together, as a single
+# character class: a repeated group of alternatives would recurse once per character in Java.
+# Dingbat digits are numbers, so the emoji ranges have to be united with the negated class.
+_NOISE = rf"[[^\p{{L}}\p{{N}}{_ranges(EXTRA_TEXT_RANGES)}]{_EMOJI}]+"
 
 
 def _compose() -> Callable[[Column], Column]:
@@ -76,9 +95,8 @@ def lowercase(col: Column) -> Column:
 
 
 def tone_marks(col: Column) -> Column:
-    """Move the tone mark of oa, oe and uy to the second vowel; texts without one are left alone."""
-    moved = reduce(lambda c, kv: F.replace(c, F.lit(kv[0]), F.lit(kv[1])), TONE_MARKS.items(), col)
-    return F.when(col.rlike("|".join(TONE_MARKS)), moved).otherwise(col)
+    """Move the tone mark of oa, oe and uy to the second vowel."""
+    return reduce(lambda c, kv: F.replace(c, F.lit(kv[0]), F.lit(kv[1])), TONE_MARKS.items(), col)
 
 
 def strip_emoji(col: Column) -> Column:
@@ -95,7 +113,7 @@ def strip_punctuation(col: Column) -> Column:
 
 def strip_space(col: Column) -> Column:
     """Trim every kind of whitespace, not only blanks."""
-    return F.regexp_replace(col, rf"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(col, F.lit(SPACE_CHARS))
 
 
 def collapse_ws(col: Column) -> Column:
@@ -119,7 +137,8 @@ def preprocess_table(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 def strip_translate_suffix(col: Column) -> Column:
     """Drop a trailing 'translate' button caption; other texts stay as they are."""
-    cut = strip_space(F.regexp_replace(col, rf"{SPACE}*{TRANSLATE_SUFFIX}{SPACE}*$", ""))
+    bare = strip_space(col)
+    cut = strip_space(bare.substr(F.lit(1), F.length(bare) - len(TRANSLATE_SUFFIX)))
     return F.when(has_translate_suffix(col), cut).otherwise(col)
 
 
@@ -163,4 +182,4 @@ def humanize(col: Column) -> Column:
 
 def tokens(col: Column) -> Column:
     """Whitespace tokens, empty ones dropped."""
-    return F.filter(F.split(col, rf"{SPACE}+"), lambda t: t != "")
+    return F.array_remove(F.split(col, f"{SPACE}+"), "")

@@ -97,9 +97,8 @@ def top_topics_semi(df: DataFrame, top_n: int = 10, topic_col: str = "topic") ->
 
 def drop_missing_text(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Trimmed, lower-cased text; rows without any are dropped."""
-    return df.withColumn(text_col, F.lower(strip_space(F.col(text_col)))).filter(
-        F.col(text_col).isNotNull() & (F.col(text_col) != "")
-    )
+    stripped = strip_space(F.col(text_col))
+    return df.filter(stripped != "").withColumn(text_col, F.lower(stripped))
 
 
 def training_rows(df: DataFrame, text_col: str = "text", label_col: str = "label") -> DataFrame:

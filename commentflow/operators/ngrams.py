@@ -1,6 +1,6 @@
 """Most frequent word n-grams, overall and per group.
 
-Counting is an explode followed by a partially aggregated group-by on (group, n-gram); the top list
+Counting is an explode followed by a partially aggregated group-by on (group, words); the top list
 keeps at most ``top_n`` rows per group in every map task before it shuffles, so neither a frequent
 n-gram nor a dominant group gathers in one place. N-grams do not cross from one text to the next.
 """
@@ -13,32 +13,47 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commentflow.functions.text import tokens
-from commentflow.operators.ranking import top_counts
+from commentflow.operators.ranking import top_counted
 
 
-def ngram_array(words: Column, n: int) -> Column:
-    """All n-grams of a token array, joined by blanks."""
-    if n == 1:
-        return words
-    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(
-        F.array().cast("array<int>")
+def word_windows(words: str, width: int) -> Column:
+    """For every token a struct of it and its followers ``w1 … w<width>``, null past the end."""
+    return F.transform(
+        F.col(words),
+        lambda w, i: F.struct(w.alias("w1"), *[F.get(F.col(words), i + k).alias(f"w{k + 1}") for k in range(1, width)]),
+    )
+
+
+def count_ngrams(
+    df: DataFrame, by: Sequence[str] = (), sizes: Sequence[int] = (1, 2, 3), text_col: str = "text"
+) -> DataFrame:
+    """Occurrences of every n-gram per group as (group…, n, ngram, count).
+
+    A token is exploded once, together with its followers. Grouping sets over the word columns count
+    all sizes in one pass, and words are joined into a string only after counting.
+    """
+    by, width = list(by), max(sizes)
+    words = [f"w{k}" for k in range(1, width + 1)]
+    usable = df.dropna(subset=[*by, text_col]).select(*by, tokens(F.col(text_col)).alias("_words"))
+    placed = usable.select(*by, F.inline(word_windows("_words", width)))
+    sets = [[F.col(c) for c in [*by, *words[:n]]] for n in sizes]
+    counted = placed.groupingSets(sets, *by, *words).agg(
+        F.grouping_id(*by, *words).alias("_gid"), F.count("*").alias("count")
+    )
+    # A set over the first n words leaves the bits of the last (width - n) columns on. N-grams that
+    # would run past the end of the text have no last word.
+    size_of = F.coalesce(*[F.when(F.col("_gid") == (1 << (width - n)) - 1, F.lit(n)) for n in sizes])
+    whole = F.coalesce(*[F.when(F.col("n") == n, F.col(f"w{n}").isNotNull()) for n in sizes])
+    return counted.withColumn("n", size_of).filter(whole).select(
+        *by, "n", F.concat_ws(" ", *words).alias("ngram"), "count"
     )
-    return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
 
 
 def top_ngrams(
     df: DataFrame, by: Sequence[str] = (), sizes: Sequence[int] = (1, 2, 3), top_n: int = 20, text_col: str = "text"
 ) -> DataFrame:
     """``top_n`` n-grams of every size and group as (group…, n, ngram, count, rank)."""
-    by = list(by)
-    usable = df.dropna(subset=[*by, text_col]).select(*by, tokens(F.col(text_col)).alias("_words"))
-    sized = F.array(*[
-        F.struct(F.lit(n).alias("n"), ngram_array(F.col("_words"), n).alias("_grams")) for n in sizes
-    ])
-    exploded = (
-        usable.select(*by, F.inline(sized)).select(*by, "n", F.explode("_grams").alias("ngram"))
-    )
-    return top_counts(exploded, [*by, "n"], "ngram", top_n)
+    return top_counted(count_ngrams(df, by, sizes, text_col), [*by, "n"], "ngram", top_n)
 
 
 def ngrams_global(df: DataFrame, top_n: int = 20, text_col: str = "text") -> DataFrame:

@@ -74,11 +74,12 @@ def extract_segments(
     ``skip_first`` leaves out the first segment, for pages that open with the post itself.
     """
     others = [c for c in pages.columns if c != html_col]
-    rows = pages.select(*others, F.posexplode(segment_array(F.col(html_col))).alias("position", "_raw"))
+    # Cleaned inside the array: past the explode a text is a plain column, evaluated once for all rules.
+    texts = F.transform(segment_array(F.col(html_col)), plain_text)
+    rows = pages.select(*others, F.posexplode(texts).alias("position", "text"))
     if skip_first:
         rows = rows.filter(F.col("position") > 0)
-    texts = rows.select(*others, "position", plain_text(F.col("_raw")).alias("text"))
-    return texts.filter(keep_comment(F.col("text"), shortest))
+    return rows.filter(keep_comment(F.col("text"), shortest))
 
 
 def url_topic(url: Column) -> Column:

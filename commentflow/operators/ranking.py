@@ -55,12 +55,10 @@ def top_values(df: DataFrame, col: str, n: int, count_col: str = "total") -> Dat
     return counted.orderBy(F.desc(count_col), col).limit(n)
 
 
-def top_counts(df: DataFrame, by: Sequence[str], value: str, n: int, count_col: str = "count") -> DataFrame:
-    """Most frequent values inside every group, ties by value, with their rank."""
-    counted = df.groupBy(*by, value).agg(F.count("*").alias(count_col))
-    if not by:
-        # One sorted limit instead of a window over everything.
-        counted = counted.orderBy(F.desc(count_col), value).limit(n)
+def top_counted(
+    counted: DataFrame, by: Sequence[str], value: str, n: int, count_col: str = "count"
+) -> DataFrame:
+    """Rows with the largest counts inside every group, ties by value, with their rank."""
     return cap_rows(counted, by, [F.desc(count_col), value], n, rank_col="rank")
 
 

@@ -23,22 +23,22 @@ e as (select page_id, unnest(hrefs) as href, unnest(range(len(hrefs))) as pos fr
 d as (select page_id, href, row_number() over (partition by page_id order by min(pos)) - 1 as position from e group by page_id, href)
 select page_id, cast(position as int) as position, concat('https://www.tiktok.com', href) as url from d where position < 10""", ())
 def _(t: Tables):
-    return pages.extract_anchors(t.table("pages"), pattern="^/", cap=10)
+    return pages.extract_anchors(t.texts("pages"), pattern="^/", cap=10)
 
 
 @query("extract_segments", "select page_id, url, cast(position as int) as position, text from segments", ("segments",))
 def _(t: Tables):
-    return pages.extract_segments(t.table("pages"))
+    return pages.extract_segments(t.texts("pages"))
 
 
 @query("clean_crawl", "select text, topic, keyword, url from crawl", ("segments", "crawl"))
 def _(t: Tables):
-    return pages.clean_crawl(t.table("pages"))
+    return pages.clean_crawl(t.texts("pages"))
 
 
 @query("crawl_totals", "select topic, keyword, url, count(*) as total from crawl group by all", ("segments", "crawl"))
 def _(t: Tables):
-    return pages.crawl_totals(pages.clean_crawl(t.table("pages")))
+    return pages.crawl_totals(pages.clean_crawl(t.texts("pages")))
 
 
 # ---- corpus -------------------------------------------------------------------------------
@@ -52,7 +52,7 @@ j as (select rk // 1000 as batch, flatten(list(words order by rk)) as toks from
 @query("tokenize_truncate", f"""
 select id, array_to_string({_WORDS}, ' ') as tokens, cast(len({_WORDS}) as int) as token_count from posts""")
 def _(t: Tables):
-    rows = corpus.tokenize_truncate(t.posts().select("id", "text"))
+    rows = corpus.tokenize_truncate(t.posts(text_work=True).select("id", "text"))
     return rows.select("id", F.array_join("tokens", " ").alias("tokens"), "token_count")
 
 
@@ -60,7 +60,7 @@ def _(t: Tables):
 b as (select batch, toks, unnest(range(len(toks) // 256)) as block from j)
 select batch, cast(block as int) as block, array_to_string(list_slice(toks, block * 256 + 1, block * 256 + 256), ' ') as tokens from b""")
 def _(t: Tables):
-    packed = corpus.pack_chunks(t.posts().select("id", "text"))
+    packed = corpus.pack_chunks(t.posts(text_work=True).select("id", "text"))
     return packed.select("batch", "block", F.array_join("tokens", " ").alias("tokens"))
 
 
@@ -70,7 +70,7 @@ select (select count(*) from w) as samples, (select cast(sum(len(words)) as bigi
        count_if(h >= 1) as train_rows, count_if(h < 1) as test_rows
 from (select cast('0x' || substr(md5(cast(id as varchar)), 1, 8) as bigint) % 100 as h from posts)""")
 def _(t: Tables):
-    return corpus.corpus_stats(t.posts().select("id", "text"))
+    return corpus.corpus_stats(t.posts(text_work=True).select("id", "text"))
 
 
 @query("train_test_split", "select id, split_set from split_posts", ("posts", "split_posts"))

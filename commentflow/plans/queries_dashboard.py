@@ -16,7 +16,7 @@ _TOKENS = r"len(list_filter(string_split_regex(text, '\s+'), lambda x: x <> ''))
 
 
 def _split(t: Tables):
-    return train_test_split(t.posts(), 20)
+    return train_test_split(t.posts(text_work=True), 20)
 
 
 @query("label_distribution", f"select label, count(*) as total, {_NAME} from posts group by label")
@@ -332,24 +332,24 @@ select {keys}n, ngram, count, cast(rank as int) as rank from (
 
 @query("ngrams_global", _ngram_sql("", "[1, 2, 3]"))
 def _(t: Tables):
-    return ngrams.ngrams_global(t.posts())
+    return ngrams.ngrams_global(t.posts(text_work=True))
 
 
 @query("ngrams_by_label", _ngram_sql("label", "[1, 2, 3]"))
 def _(t: Tables):
-    return ngrams.ngrams_by_label(t.posts())
+    return ngrams.ngrams_by_label(t.posts(text_work=True))
 
 
 @query("ngrams_by_source", _ngram_sql("source", "[1, 2, 3]"))
 def _(t: Tables):
-    return ngrams.ngrams_by_source(t.posts())
+    return ngrams.ngrams_by_source(t.posts(text_work=True))
 
 
 @query("unigrams_label_source", _ngram_sql("label, source", "[1]"))
 def _(t: Tables):
-    return ngrams.unigrams_label_source(t.posts())
+    return ngrams.unigrams_label_source(t.posts(text_work=True))
 
 
 @query("unigrams_topic_label", _ngram_sql("topic, label", "[1]"))
 def _(t: Tables):
-    return ngrams.unigrams_topic_label(t.posts())
+    return ngrams.unigrams_topic_label(t.posts(text_work=True))

@@ -13,7 +13,7 @@ from commentflow.plans.tables import MODELS, Tables
 from commentflow.functions import labels as label_functions
 from commentflow.operators import evaluation
 from commentflow.operators.sampling import train_test_split
-from commentflow.schema import INGEST_CSV_SCHEMA, RAW_SCHEMA, topic_keyword_dim
+from commentflow.schema import INGEST_CSV_SCHEMA, RAW_SCHEMA, model_registry, topic_keyword_dim
 from commentflow.sources import readers, writers
 
 POST_COLUMNS = ("id", "text", "topic", "keyword", "url", "label", "platform", "crawl_date")
@@ -139,7 +139,7 @@ def _(t: Tables):
 @query("drop_missing_text", f"""
 select id, lower({_CUT}) as text from posts where text is not null and {_CUT} <> ''""")
 def _(t: Tables):
-    return filters.drop_missing_text(t.posts()).select("id", "text")
+    return filters.drop_missing_text(t.posts(text_work=True)).select("id", "text")
 
 
 @query("training_rows", "select text, cast(label as int) as label from posts where text is not null and label is not null")
@@ -152,7 +152,7 @@ _LINES = "with lines as (select doc_id, unnest(string_split(text, chr(10))) as t
 
 
 def _lines(t: Tables):
-    return t.table("documents").select("doc_id", F.explode(F.split("text", "\n")).alias("text"))
+    return t.texts("documents").select("doc_id", F.explode(F.split("text", "\n")).alias("text"))
 
 
 @query("min_length", f"{_LINES} select doc_id, text from lines where length(text) >= 5", ())
@@ -209,7 +209,7 @@ select n.id, n.topic, n.keyword, n.url from keyed n
 where not exists (select 1 from keyed s where s.label >= 0 and s.cut = n.cut and s.topic = n.topic
                   and s.keyword = n.keyword and s.url = n.url)""")
 def _(t: Tables):
-    posts = t.posts()
+    posts = t.posts(text_work=True)
     return joins.incremental_anti(posts, posts.filter(F.col("label") >= 0)).select("id", "topic", "keyword", "url")
 
 
@@ -226,11 +226,10 @@ _MODEL_ROWS = """(values ('model_a', 'Model A', 'traditional', 'v1.0'), ('model_
 
 
 def registry_rows(t: Tables):
-    return t.spark.createDataFrame(
-        [("model_a", "Model A", "traditional", "v1.0"), ("model_b", "Model B", "traditional", "v1.0"),
-         ("llm", "Chat model", "deep_learning", "v1.0")],
-        "model_id string, model_display_name string, model_type string, version string",
-    )
+    return model_registry(t.spark, [
+        ("model_a", "Model A", "traditional", "v1.0"), ("model_b", "Model B", "traditional", "v1.0"),
+        ("llm", "Chat model", "deep_learning", "v1.0"),
+    ])
 
 
 def evaluation_rows(t: Tables):

@@ -48,7 +48,7 @@ def _over_documents(key: str, sql_expr: str, column) -> None:
 
     @query(key, f"select doc_id, {sql_expr} as value from documents", ())
     def _(t: Tables):
-        return t.table("documents").select("doc_id", column(F.col("text")).alias("value"))
+        return t.texts("documents").select("doc_id", column(F.col("text")).alias("value"))
 
 
 # Documents are composed already, so each is taken apart on the way in: accents become combining marks.
@@ -82,7 +82,7 @@ _over_documents("text_length", "cast(length(text) as int)", text.text_length)
 @query("preprocess_table", f"""
 select doc_id, text as text_original, coalesce({_sentence(_tone('lower(nfc_normalize(text))'))}, '') as text from documents""", ())
 def _(t: Tables):
-    return text.preprocess_table(t.table("documents").select("doc_id", "text"))
+    return text.preprocess_table(t.texts("documents").select("doc_id", "text"))
 
 
 # Captions are put behind the texts the crawl would have left them on.
@@ -97,7 +97,7 @@ select doc_id, case when ends_with(regexp_replace(text, '^[{_SPACES}]+|[{_SPACES
   ends_with(regexp_replace(text, '^[{_SPACES}]+|[{_SPACES}]+$', '', 'g'), 'translate') as affected from c""", ())
 def _(t: Tables):
     captioned = F.when(F.col("lang") == "en", F.concat("text", F.lit(" Translate"))).otherwise(F.col("text"))
-    lowered = t.table("documents").select("doc_id", F.lower(captioned).alias("text"))
+    lowered = t.texts("documents").select("doc_id", F.lower(captioned).alias("text"))
     return lowered.select("doc_id", text.strip_translate_suffix(F.col("text")).alias("value"),
                           text.has_translate_suffix(F.col("text")).alias("affected"))
 
@@ -117,7 +117,7 @@ def _slang_sql() -> str:
 select doc_id, array_to_string({_slang_sql()}, '') as value, array_to_string({_slang_sql()}, '') <> text as changed
 from documents""", ())
 def _(t: Tables):
-    swapped = t.table("documents").select("doc_id", "text", text.teencode(F.col("text"), SLANG).alias("value"))
+    swapped = t.texts("documents").select("doc_id", "text", text.teencode(F.col("text"), SLANG).alias("value"))
     return swapped.select("doc_id", "value", (F.col("value") != F.col("text")).alias("changed"))
 
 
@@ -141,7 +141,7 @@ _PARSED = r"""coalesce(cast(coalesce(regexp_extract_all(raw, '\[LABEL:\s*([012])
 
 @query("parse_llm_label", f"with a as (select doc_id, {_ANSWER} as raw from documents) select doc_id, {_PARSED} as label from a", ())
 def _(t: Tables):
-    return t.table("documents").select("doc_id", labels.parse_llm_label(_answer_text()).alias("label"))
+    return t.texts("documents").select("doc_id", labels.parse_llm_label(_answer_text()).alias("label"))
 
 
 @query("unparsed_to_clean", "select id, case when llm = -1 then 0 else llm end as label from voters", ("posts", "voters"))
@@ -182,7 +182,7 @@ select conv_id, turn, concat('system=', '{SYSTEM}', '|user=Bình luận: ''', te
 def _(t: Tables):
     messages = labels.build_prompt(F.col("text"), SYSTEM)
     flat = F.array_join(F.transform(messages, lambda m: F.concat(m["role"], F.lit("="), m["content"])), "|")
-    return t.table("conversations").select(
+    return t.texts("conversations").select(
         "conv_id", "turn", flat.alias("messages"), labels.seq2seq_prompt(F.col("text")).alias("seq2seq")
     )
 
@@ -216,7 +216,7 @@ select doc_id, cast(coalesce(case
   when regexp_matches(replace(s, ',', ''), '^\s*[+-]?\d+\s*$') then try_cast(trim(replace(s, ',', '')) as bigint) end, 0) as bigint)
   as likes from s""", ())
 def _(t: Tables):
-    return t.table("documents").select("doc_id", links.parse_like_count(_shown_count()).alias("likes"))
+    return t.texts("documents").select("doc_id", links.parse_like_count(_shown_count()).alias("likes"))
 
 
 @query("extract_video_id", r"""
@@ -233,7 +233,7 @@ with h as (select page_id, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href=
 
 def _hrefs(t: Tables):
     found = F.regexp_extract_all("html", F.lit(r'(?is)<a\s[^>]*?href="([^"]*)"'), F.lit(1))
-    return t.table("pages").select("page_id", F.explode(found).alias("href"))
+    return t.texts("pages").select("page_id", F.explode(found).alias("href"))
 
 
 @query("absolute_url", f"""{_HREFS}
@@ -250,7 +250,7 @@ def _(t: Tables):
     key = F.col("page_id")
     link = F.when(key % 3 == 0, F.col("url")).otherwise(
         F.concat(F.lit("https://www.threads.com/@"), key.cast("string"), F.lit("/post/"), "url"))
-    return t.table("pages").select("page_id", links.post_url_match(link).alias("is_post"))
+    return t.texts("pages").select("page_id", links.post_url_match(link).alias("is_post"))
 
 
 @query("path_date", "select cast(id as varchar) as id, strftime(crawl_date, '%Y-%m-%d') as path_date from posts")

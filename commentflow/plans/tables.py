@@ -11,6 +11,7 @@ from commentflow.operators.sampling import stratified_kfold
 from commentflow.plans.scratch import scratch_root
 from commentflow.schema import CLASSES
 from commentflow.sources.paths import path_exists
+from commentflow.sources.readers import read_spread
 from commentflow.sources.writers import write_comments
 
 MODELS = ("model_a", "model_b", "llm")
@@ -112,15 +113,20 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def posts(self) -> DataFrame:
+    def texts(self, name: str) -> DataFrame:
+        """A table about to go through per-row text work."""
+        return read_spread(self.spark, self.path(name))
+
+    def posts(self, text_work: bool = False) -> DataFrame:
         """Comments: documents with a label where one was given."""
+        documents = self.texts("documents") if text_work else self.table("documents")
         label = (
             F.when(F.col("toxic").isNull() & F.col("quality").isNull(), -1)
             .when((F.col("toxic") == 1) & (F.col("quality") == 0), 2)
             .when(F.col("toxic") == 1, 1)
             .otherwise(0)
         )
-        return self.shape(self.table("documents").join(self.table("labels"), "doc_id", "left"), label)
+        return self.shape(documents.join(self.table("labels"), "doc_id", "left"), label)
 
     def shape(self, docs: DataFrame, label: Column) -> DataFrame:
         key = F.col("doc_id")

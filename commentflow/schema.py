@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -72,17 +73,26 @@ TOPIC_KEYWORDS = {
 # ---- end of fixed values ------------------------------------------------------------------
 
 
+def _constant_rows(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
+    """A small fixed table as part of the plan itself (an Arrow table becomes a local relation)."""
+    columns = {name: [row[i] for row in rows] for i, name in enumerate(schema.fieldNames())}
+    return spark.createDataFrame(pa.table(columns), schema)
+
+
 def label_dim(spark: SparkSession) -> DataFrame:
     """One row per known label with its name in the four vocabularies in use."""
-    return spark.createDataFrame(
-        list(LABEL_ROWS),
-        _struct(label=_I, label_name=_S, upper_name=_S, lower_name=_S, registry_name=_S),
-    )
+    schema = _struct(label=_I, label_name=_S, upper_name=_S, lower_name=_S, registry_name=_S)
+    return _constant_rows(spark, LABEL_ROWS, schema)
 
 
 def topic_keyword_dim(spark: SparkSession) -> DataFrame:
     """The (topic, keyword) pairs a crawl is driven by."""
-    return spark.createDataFrame(
-        [(topic, kw) for topic, kws in TOPIC_KEYWORDS.items() for kw in kws],
-        _struct(topic=_S, keyword=_S),
+    pairs = [(topic, kw) for topic, kws in TOPIC_KEYWORDS.items() for kw in kws]
+    return _constant_rows(spark, pairs, _struct(topic=_S, keyword=_S))
+
+
+def model_registry(spark: SparkSession, rows) -> DataFrame:
+    """Registry entries ``(model_id, model_display_name, model_type, version)`` as a table."""
+    return _constant_rows(
+        spark, rows, _struct(model_id=_S, model_display_name=_S, model_type=_S, version=_S)
     )

@@ -9,3 +9,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on whatever file system its scheme names."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes below a path, from one request to its file system."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(hadoop_path).getLength()

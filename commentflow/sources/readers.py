@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from commentflow.schema import CORPUS_SCHEMA, INGEST_CSV_SCHEMA, PLATFORMS, PROCESSED_SCHEMA, RAW_SCHEMA
-from commentflow.sources.paths import path_exists
+from commentflow.sources.paths import path_bytes, path_exists
+
+SMALLEST_SPLIT = 4 * 1024 * 1024
 
 _DATE = T.StructField("crawl_date", T.DateType(), True)
 _PLATFORM = T.StructField("platform", T.StringType(), True)
@@ -75,6 +77,17 @@ def scan_processed(
     return spark.read.schema(schema).parquet(root)
 
 
+def read_spread(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet table with work for every core.
+
+    Splits are never smaller than 4 MiB or one row group. A table below that size per core would leave
+    cores idle through per-row work like text clean-up, so it is dealt out first; a larger one is read
+    as it is.
+    """
+    df, cores = spark.read.parquet(path), spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if path_bytes(spark, path) < cores * SMALLEST_SPLIT else df
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType = INGEST_CSV_SCHEMA, sep: str = ";"
 ) -> DataFrame:
