@@ -159,7 +159,7 @@ def teencode(col: Column, dictionary: Mapping[str, str]) -> Column:
     pieces = rf"{WORD}+|[^\p{{L}}\p{{N}}_]"
     if any(not re.fullmatch(r"\w+", key) for key in table):
         edge = rf"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
-        keys = "|".join(r"\Q" + key + r"\E" for key in table)
+        keys = "|".join(r"\Q" + key.replace(r"\E", r"\E\\E\Q") + r"\E" for key in table)
         pieces = rf"{edge}(?iu:{keys}){edge}|{pieces}"
     lookup = F.create_map(*[F.lit(part) for pair in table.items() for part in pair])
 

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from commentflow.functions.labels import label_name, registry_label_name
 from commentflow.functions.links import month_key
 from commentflow.functions.text import tokens
-from commentflow.operators.ranking import share_of
-from commentflow.schema import CLASSES, PLATFORMS
+from commentflow.operators.ranking import cap_rows, share_of
+from commentflow.schema import PLATFORMS
 
 # ---- fixed values: column names of the per-label counts -----------------------------------
 LABEL_COLUMNS = ((-1, "chưa_gán_nhãn"), (0, "bình_thường"), (1, "offensive"), (2, "hate_speech"))
@@ -230,52 +230,45 @@ def split_sizes(df: DataFrame, train_ratio: float = 0.8, by: Sequence[str] = ())
 def summary_report(df: DataFrame, days: int = 7, top_n: int = 10) -> DataFrame:
     """The whole overview in long form ``(section, rank, key, value)``, from one scan.
 
-    The rows are first reduced to one count per (platform, topic, keyword, label, day); grouping sets
-    then derive every section from that table.
+    The rows are first reduced to one count per (platform, topic, keyword, label, day). Grouping sets
+    over that table give every section; sections that list only their first rows are cut to them in
+    the map tasks, so a long list of keywords is never sorted in one place.
     """
     base = counts_by(df, "platform", "topic", "keyword", "label", "crawl_date", name="n")
-    p, t, k, lb, d = (F.col(c) for c in ("platform", "topic", "keyword", "label", "crawl_date"))
-    cube = base.groupingSets([[], [p], [p, lb], [d, p], [lb], [k, p], [t, p]], p, t, k, lb, d).agg(
-        F.grouping_id(p, t, k, lb, d).alias("gid"), F.sum("n").alias("value")
-    )
-
-    def gid(*kept: str) -> int:
-        order = ["platform", "topic", "keyword", "label", "crawl_date"]
-        return sum(1 << (len(order) - 1 - i) for i, c in enumerate(order) if c not in kept)
-
-    def text(column: Column) -> Column:
-        return F.coalesce(column.cast("string"), F.lit("null"))
-
-    sections = (
-        # section, kept columns, key, rows kept
-        ("total", (), F.lit("all"), None),
-        ("platform", ("platform",), text(p), None),
-        ("platform_label", ("platform", "label"), F.concat_ws("|", text(p), text(lb)), None),
-        ("daily", ("crawl_date", "platform"), F.concat_ws("|", text(d), text(p)), days),
-        ("label", ("label",), text(lb), None),
-        ("keyword", ("keyword", "platform"), F.concat_ws("|", text(k), text(p)), top_n),
-        ("topic", ("topic", "platform"), F.concat_ws("|", text(t), text(p)), top_n),
-    )
-
-    def per_section(pick) -> Column:
-        return F.coalesce(*[F.when(F.col("gid") == gid(*s[1]), pick(s)) for s in sections])
 
-    shaped = cube.select(
-        "gid", "value",
-        per_section(lambda s: F.lit(s[0])).alias("section"),
-        per_section(lambda s: s[2]).alias("key"),
-        F.when(F.col("gid") == gid("crawl_date", "platform"), d).alias("_day"),
-        F.col("gid").isin(gid("keyword", "platform"), gid("topic", "platform")).alias("_by_value"),
+    def text(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit("null"))
+
+    def sections(parts: dict[str, tuple[str, ...]]) -> DataFrame:
+        """Counts of several sections at once; a section is named by the columns it groups by."""
+        used = sorted({c for columns in parts.values() for c in columns})
+        sets = [[F.col(c) for c in columns] for columns in parts.values()]
+        # Bit i of the grouping id is on when the column is not part of the set.
+        gids = {
+            name: sum(1 << (len(used) - 1 - i) for i, c in enumerate(used) if c not in columns)
+            for name, columns in parts.items()
+        }
+        counted = base.groupingSets(sets, *used).agg(F.grouping_id(*used).alias("_gid"), F.sum("n").alias("value"))
+        name = F.coalesce(*[F.when(F.col("_gid") == gid, F.lit(s)) for s, gid in gids.items()])
+        key = F.coalesce(*[
+            F.when(F.col("_gid") == gid, F.concat_ws("|", *[text(c) for c in parts[s]]) if parts[s] else F.lit("all"))
+            for s, gid in gids.items()
+        ])
+        return counted.select(name.alias("section"), key.alias("key"), "value", *used)
+
+    complete = sections(
+        {"total": (), "platform": ("platform",), "platform_label": ("platform", "label"), "label": ("label",)}
     )
-    order = Window.partitionBy("section").orderBy(
-        F.col("_day").desc_nulls_last(),
-        F.when(F.col("_by_value"), F.col("value")).desc_nulls_last(),
-        "key",
+    by_key = Window.partitionBy("section").orderBy("key")
+    listed = sections(
+        {"daily": ("crawl_date", "platform"), "keyword": ("keyword", "platform"), "topic": ("topic", "platform")}
     )
-    limit = per_section(lambda s: F.lit(s[3]).cast("int"))
-    return (
-        shaped.withColumn("rank", F.row_number().over(order).cast("bigint"))
-        .withColumn("_limit", limit)
-        .filter(F.col("_limit").isNull() | (F.col("rank") <= F.col("_limit")))
-        .select("section", "rank", "key", "value")
+    is_day = F.col("section") == "daily"
+    order = [
+        F.when(is_day, F.col("crawl_date")).desc_nulls_last(), F.when(~is_day, F.col("value")).desc_nulls_last(), F.col("key"),
+    ]
+    first = cap_rows(listed, ["section"], order, max(days, top_n), rank_col="rank").filter(
+        F.col("rank") <= F.when(is_day, days).otherwise(top_n)
     )
+    columns = ["section", F.col("rank").cast("bigint").alias("rank"), "key", "value"]
+    return complete.withColumn("rank", F.row_number().over(by_key)).select(*columns).unionByName(first.select(*columns))

@@ -276,8 +276,8 @@ def log_loss(scores: str | Column, y: str | Column) -> Column:
 def weighted_log_loss(
     df: DataFrame, weights: DataFrame, scores: str = "logits", y: str = "label"
 ) -> DataFrame:
-    """Class-weighted mean cross-entropy; ``weights`` has one row per class."""
-    weighted = df.join(weights.select(y, "weight"), y)
+    """Class-weighted mean cross-entropy; ``weights`` has one row per class and is broadcast."""
+    weighted = df.join(F.broadcast(weights.select(y, "weight")), y)
     loss = log_loss(scores, y)
     return weighted.agg(
         F.round(F.sum(F.col("weight") * loss) / F.sum("weight"), 4).alias("weighted_log_loss")

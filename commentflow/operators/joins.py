@@ -12,6 +12,7 @@ from commentflow.functions.text import strip_space
 from commentflow.schema import label_dim, topic_keyword_dim
 
 STORED_KEY = ("text", "topic", "keyword", "url")
+DIGEST = "row_digest"
 
 
 def row_digest(columns: Sequence[str], text_col: str = "text") -> Column:
@@ -21,22 +22,29 @@ def row_digest(columns: Sequence[str], text_col: str = "text") -> Column:
         value = strip_space(F.col(name)) if name == text_col else F.col(name).cast("string")
         # The length in front keeps neighbouring fields from running into each other.
         parts.append(F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("-")))
-    return F.unhex(F.sha2(F.concat(*parts), 256))
+    # Never null, so joins on it need no extra filter that would compute it a second time.
+    return F.coalesce(F.unhex(F.sha2(F.concat(*parts), 256)), F.lit(b""))
 
 
 def incremental_anti(
     new: DataFrame, stored: DataFrame, keys: Sequence[str] = STORED_KEY, text_col: str = "text"
 ) -> DataFrame:
-    """New rows that are not stored yet. Duplicates inside the new rows stay.
+    """New rows that are not stored yet. Duplicates inside the new rows stay."""
+    fresh = new.withColumn(DIGEST, row_digest(keys, text_col))
+    return unknown_rows(fresh, stored.select(row_digest(keys, text_col).alias(DIGEST))).select(*new.columns)
+
+
+def unknown_rows(fresh: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of ``fresh`` whose digest is not among the known ones.
 
     Only 32-byte digests of the stored rows are moved. They are first cut down to digests the new
-    batch holds at all, which is a broadcast semi join whenever the batch is small, and made distinct
-    with map-side aggregation, so a text stored many times is one row by the time of the anti join.
+    rows hold at all, a broadcast semi join whenever the batch is small, and made distinct with
+    map-side aggregation: a text stored many times is one row by the time of the anti join. A digest
+    frequent among the new rows is left to adaptive skew handling, which may split the left side of
+    an anti join.
     """
-    fresh = new.withColumn("_digest", row_digest(keys, text_col))
-    known = stored.select(row_digest(keys, text_col).alias("_digest"))
-    hits = known.join(fresh.select("_digest"), "_digest", "left_semi").distinct()
-    return fresh.join(hits, "_digest", "left_anti").select(*new.columns)
+    hits = known.join(fresh.select(DIGEST).distinct(), DIGEST, "left_semi").distinct()
+    return fresh.join(hits, DIGEST, "left_anti")
 
 
 def align_predictions(base: DataFrame, predictions: Mapping[str, DataFrame], key: str = "id") -> DataFrame:

@@ -88,18 +88,19 @@ def box_stats(df: DataFrame, by: Sequence[str] = (), text_col: str = "text") ->
             "high_fence": F.col("q3") + WHISKER * (F.col("q3") - F.col("q1")),
         }
     )
-    if by:
-        marked = hist.join(fences, by)
-    else:
-        # One row of fences: the constant key makes this an ordinary equi-join.
-        marked = hist.withColumn("_one", F.lit(1)).join(F.broadcast(fences.withColumn("_one", F.lit(1))), "_one")
     inside = F.col("length").between(F.col("low_fence"), F.col("high_fence"))
-    keys = [*by, "count", "q1", "median", "q3", "low_fence", "high_fence"]
-    return marked.groupBy(*keys).agg(
+    found = [
         F.min(F.when(inside, F.col("length"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("length"))).alias("whisker_high"),
         F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),
-    )
+    ]
+    numbers = [c for c in fences.columns if c not in by]
+    if by:
+        return hist.join(fences, by).groupBy(*by, *numbers).agg(*found)
+    # The one row of fences is a scalar subquery, not a join partner.
+    row = fences.select(F.struct(*numbers)).scalar()
+    marked = hist.withColumn("_fences", row).select("length", "n", "_fences.*")
+    return marked.groupBy(*numbers).agg(*found)
 
 
 def length_box_overall(df: DataFrame, text_col: str = "text") -> DataFrame:

@@ -67,13 +67,20 @@ def share_of(value: Column, by: Sequence[str] = ()) -> Column:
     return value * 100.0 / F.sum(value).over(Window.partitionBy(*by))
 
 
-def numeric_buckets(df: DataFrame, col: str, buckets: int) -> Bucketizer:
-    """Order-preserving buckets of roughly equal size, from approximate quantiles."""
+def with_numeric_bucket(df: DataFrame, col: str, buckets: int, out: str) -> DataFrame:
+    """Add an order-preserving bucket number of a numeric column, buckets being roughly equal in size.
+
+    The borders are approximate quantiles: at most ``buckets`` numbers, from a mergeable sketch.
+    """
     steps = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(df.approxQuantile(col, steps, min(QUANTILE_ERROR, 0.25 / buckets)))) if steps else []
-    return Bucketizer(
-        splits=[float("-inf"), *cuts, float("inf")], inputCol="_bucket_key", outputCol="_bucket"
+    if not cuts:
+        return df.withColumn(out, F.lit(0))
+    bucketizer = Bucketizer(
+        splits=[float("-inf"), *cuts, float("inf")], inputCol="_bucket_key", outputCol="_bucket_value"
     )
+    marked = bucketizer.transform(df.withColumn("_bucket_key", F.col(col).cast("double")))
+    return marked.withColumn(out, F.col("_bucket_value").cast("int")).drop("_bucket_key", "_bucket_value")
 
 
 def with_bucketed_rank(
@@ -101,10 +108,8 @@ def with_bucketed_rank(
 def with_rank(
     df: DataFrame, keys: Sequence[str] = (), order_by: str = "id", buckets: int | None = None, out: str = "rank"
 ) -> DataFrame:
-    """Exact 0-based rank by a numeric column, inside ``keys`` or over the whole table."""
-    bucketizer = numeric_buckets(df, order_by, buckets or _default_buckets(df))
-    marked = bucketizer.transform(df.withColumn("_bucket_key", F.col(order_by).cast("double")))
-    marked = marked.drop("_bucket_key").withColumnRenamed("_bucket", "_cut")
+    """Exact 0-based rank by a numeric, unique, non-null column, inside ``keys`` or over the table."""
+    marked = with_numeric_bucket(df, order_by, buckets or _default_buckets(df), "_cut")
     return with_bucketed_rank(marked, keys, [order_by], F.col("_cut"), out).drop("_cut")
 
 

@@ -59,8 +59,8 @@ def fold_class_weights(
     clamped = [F.when(F.col(f"n{c}") == 0, F.lit(1)).otherwise(F.col(f"n{c}")) for c in classes]
     weights = _weights(F.col("rows"), clamped, classes)
     rows = [
-        F.struct(F.lit(c).alias("label"), F.col(f"n{c}").alias("train_count"), F.round(w, 4).alias("weight"))
-        for c, w in zip(classes, weights)
+        F.struct(F.lit(c).alias("label"), n.alias("train_count"), F.round(w, 4).alias("weight"))
+        for c, n, w in zip(classes, clamped, weights)
     ]
     return train.select(fold, F.inline(F.array(*rows)))
 

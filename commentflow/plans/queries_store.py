@@ -18,7 +18,7 @@ from commentflow.sources import readers, writers
 
 POST_COLUMNS = ("id", "text", "topic", "keyword", "url", "label", "platform", "crawl_date")
 _ALL = "id, text, topic, keyword, url, label, platform, crawl_date"
-_STORED = "cast(id as varchar) as id, text, topic, keyword, url, label, platform, crawl_date"
+_STORED = "cast(id as varchar) as id, text, topic, keyword, url, cast(label as bigint) as label, platform, crawl_date"
 _CUT = r"regexp_replace(text, '^\s+|\s+$', '', 'g')"
 
 
@@ -47,7 +47,7 @@ def _export(t: Tables, path: str) -> None:
     out.write.option("sep", ";").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
 
 
-@query("ingest_csv", "select text, topic, keyword, url, label, platform, date '2024-07-01' as crawl_date from posts")
+@query("ingest_csv", "select text, topic, keyword, url, cast(label as bigint) as label, platform, date '2024-07-01' as crawl_date from posts")
 def _(t: Tables):
     csv, root = new_dir(t.spark, "export"), new_dir(t.spark, "ingested")
     _export(t, csv)

@@ -13,7 +13,8 @@ def _struct(**fields: T.DataType) -> T.StructType:
 
 _S, _I, _D = T.StringType(), T.IntegerType(), T.DoubleType()
 
-RAW_SCHEMA = _struct(id=_S, text=_S, topic=_S, keyword=_S, url=_S, label=_I)
+# Stored labels are 64-bit, as dataframe libraries write them; files with 32-bit labels widen on read.
+RAW_SCHEMA = _struct(id=_S, text=_S, topic=_S, keyword=_S, url=_S, label=T.LongType())
 PARTITION_SCHEMA = _struct(platform=_S, crawl_date=T.DateType())
 PROCESSED_SCHEMA = T.StructType(RAW_SCHEMA.fields + PARTITION_SCHEMA.fields + _struct(split_set=_S).fields)
 INGEST_CSV_SCHEMA = _struct(text=_S, topic=_S, keyword=_S, post_url=_S, source=_S, label=_I)

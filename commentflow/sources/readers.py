@@ -89,14 +89,18 @@ def read_spread(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType = INGEST_CSV_SCHEMA, sep: str = ";"
+    spark: SparkSession, path: str, schema: T.StructType = INGEST_CSV_SCHEMA, sep: str = ";", multi_line: bool = True
 ) -> DataFrame:
-    """Delimited file with a header; quoted fields may hold line breaks and doubled quotes."""
+    """Delimited file with a header; quoted fields may hold doubled quotes and line breaks.
+
+    A file whose fields may hold line breaks cannot be split, so it is one task. Exports known to have
+    one record per line should say ``multi_line=False`` and are read in splits.
+    """
     return (
         spark.read.schema(schema)
         .option("sep", sep)
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .option("enforceSchema", False)

@@ -31,6 +31,7 @@ def write_comments(df: DataFrame, root: str, mode: str = "append") -> None:
     columns = [*RAW_SCHEMA.fieldNames(), "platform", "crawl_date"]
     (
         require_columns(df, columns)
+        .withColumn("label", F.col("label").cast(RAW_SCHEMA["label"].dataType))
         .select(*columns)
         .hint("rebalance", "platform", "crawl_date")
         .write.partitionBy("platform", "crawl_date")
@@ -51,7 +52,7 @@ def comments_from_csv(
     shaped = df.filter(F.col("source").isin(*platforms)).select(
         "text", "topic", "keyword",
         F.col("post_url").alias("url"),
-        F.col("label").cast("int").alias("label"),
+        F.col("label").cast(RAW_SCHEMA["label"].dataType).alias("label"),
         F.col("source").alias("platform"),
         day.cast("date").alias("crawl_date"),
     )
@@ -66,10 +67,12 @@ def ingest_csv(
     platforms: Sequence[str] = PLATFORMS,
     content_ids: bool = False,
     mode: str = "append",
+    multi_line: bool = True,
 ) -> None:
     """Load a ``;`` separated export into the comment store."""
     day = F.current_date() if crawl_date is None else crawl_date
-    write_comments(comments_from_csv(read_csv(spark, csv_path), day, platforms, content_ids), root, mode)
+    rows = read_csv(spark, csv_path, multi_line=multi_line)
+    write_comments(comments_from_csv(rows, day, platforms, content_ids), root, mode)
 
 
 def write_csv_export(df: DataFrame, path: str, mode: str = "append") -> None:

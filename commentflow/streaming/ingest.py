@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from commentflow.operators.joins import STORED_KEY, incremental_anti
+from commentflow.operators.joins import DIGEST, STORED_KEY, row_digest, unknown_rows
 from commentflow.sources.paths import path_exists
 from commentflow.streaming.sinks import PRODUCTION_TRIGGER, read_sink, write_batch
 
@@ -24,17 +26,20 @@ def stream_ingest_dedup(
 ) -> StreamingQuery:
     """Append rows whose key is neither in ``stored`` nor in an earlier batch of the sink.
 
-    A batch compares itself with lower batch numbers only, so replaying it gives the same rows.
+    The sink keeps each row's digest as a column, so later batches read 32 bytes per stored row and
+    no text. A batch compares itself with lower batch numbers only, so replaying it gives the same
+    rows.
     """
-    schema = stream.schema
+    digest_only = T.StructType([T.StructField(DIGEST, T.BinaryType())])
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        known = None if stored is None else stored.select(*keys)
+        fresh = batch.withColumn(DIGEST, row_digest(keys, text_col))
+        known = [] if stored is None else [stored.select(row_digest(keys, text_col).alias(DIGEST))]
         if path_exists(batch.sparkSession, sink):
-            earlier = read_sink(batch.sparkSession, sink, schema).filter(F.col("batch_id") < batch_id).select(*keys)
-            known = earlier if known is None else known.unionByName(earlier)
-        fresh = batch if known is None else incremental_anti(batch, known, keys, text_col)
-        write_batch(fresh, sink, batch_id)
+            earlier = read_sink(batch.sparkSession, sink, digest_only).filter(F.col("batch_id") < batch_id)
+            known.append(earlier.select(DIGEST))
+        unseen = unknown_rows(fresh, reduce(DataFrame.unionByName, known)) if known else fresh
+        write_batch(unseen, sink, batch_id)
 
     return (
         stream.writeStream.foreachBatch(load)
