@@ -56,9 +56,12 @@ def _(t: Tables):
     return rows.select("id", F.array_join("tokens", " ").alias("tokens"), "token_count")
 
 
-@query("pack_chunks", f"""{_PACKED},
-b as (select batch, toks, unnest(range(len(toks) // 256)) as block from j)
-select batch, cast(block as int) as block, array_to_string(list_slice(toks, block * 256 + 1, block * 256 + 256), ' ') as tokens from b""")
+@query("pack_chunks", f"""
+with w as (select id, {_WORDS} as words, row_number() over (order by id) - 1 as rk from posts),
+e as (select rk // 1000 as batch, rk, unnest(words) as word, unnest(range(len(words))) as pos from w),
+n as (select batch, word, row_number() over (partition by batch order by rk, pos) - 1 as seq from e)
+select batch, cast(seq // 256 as int) as block, string_agg(word, ' ' order by seq) as tokens
+from n group by batch, seq // 256 having count(*) = 256""")
 def _(t: Tables):
     packed = corpus.pack_chunks(t.posts(text_work=True).select("id", "text"))
     return packed.select("batch", "block", F.array_join("tokens", " ").alias("tokens"))
@@ -67,7 +70,7 @@ def _(t: Tables):
 @query("corpus_stats", f"""{_PACKED}
 select (select count(*) from w) as samples, (select cast(sum(len(words)) as bigint) from w) as tokens,
        (select cast(sum(len(toks) // 256) as bigint) from j) as chunks,
-       count_if(h >= 1) as train_rows, count_if(h < 1) as test_rows
+       count(*) filter (where h >= 1) as train_rows, count(*) filter (where h < 1) as test_rows
 from (select cast('0x' || substr(md5(cast(id as varchar)), 1, 8) as bigint) % 100 as h from posts)""")
 def _(t: Tables):
     return corpus.corpus_stats(t.posts(text_work=True).select("id", "text"))

@@ -30,8 +30,8 @@ def _(t: Tables):
 
 
 @query("platform_comparison", """
-select platform, count(*) as total, count_if(label = -1) as "chưa_gán_nhãn", count_if(label = 0) as "bình_thường",
-       count_if(label = 1) as offensive, count_if(label = 2) as hate_speech from posts group by platform""")
+select platform, count(*) as total, count(*) filter (where label = -1) as "chưa_gán_nhãn", count(*) filter (where label = 0) as "bình_thường",
+       count(*) filter (where label = 1) as offensive, count(*) filter (where label = 2) as hate_speech from posts group by platform""")
 def _(t: Tables):
     return dashboard.platform_comparison(t.posts())
 
@@ -98,16 +98,16 @@ def _(t: Tables):
 
 
 @query("dashboard_kpis", """
-select count(*) as total_records, count(distinct platform) as total_platforms, count(*) - count_if(label = -1) as total_labeled,
-       count_if(label = -1) as total_unlabeled,
-       round_even((count(*) - count_if(label = -1)) * 100.0::double / count(*), 1) as labeled_pct,
-       round_even(count_if(label = -1) * 100.0::double / count(*), 1) as unlabeled_pct from posts""")
+select count(*) as total_records, count(distinct platform) as total_platforms, count(*) - count(*) filter (where label = -1) as total_labeled,
+       count(*) filter (where label = -1) as total_unlabeled,
+       round_even((count(*) - count(*) filter (where label = -1)) * 100.0::double / count(*), 1) as labeled_pct,
+       round_even(count(*) filter (where label = -1) * 100.0::double / count(*), 1) as unlabeled_pct from posts""")
 def _(t: Tables):
     return dashboard.dashboard_kpis(t.posts())
 
 
 @query("crawl_timeline", """
-select strftime(crawl_date, '%Y-%m') as month, count_if(platform = 'threads') as threads, count_if(platform = 'tiktok') as tiktok
+select strftime(crawl_date, '%Y-%m') as month, count(*) filter (where platform = 'threads') as threads, count(*) filter (where platform = 'tiktok') as tiktok
 from posts group by 1""")
 def _(t: Tables):
     return dashboard.crawl_timeline(t.posts())
@@ -119,9 +119,9 @@ def _(t: Tables):
 
 
 @query("topic_label_heatmap", """
-select topic, round_even(count_if(label = 0) / count(*) * 100.0::double, 1) as binh_thuong,
-       round_even(count_if(label = 1) / count(*) * 100.0::double, 1) as offensive,
-       round_even(count_if(label = 2) / count(*) * 100.0::double, 1) as hate_speech from posts group by topic""")
+select topic, round_even(count(*) filter (where label = 0) / count(*) * 100.0::double, 1) as binh_thuong,
+       round_even(count(*) filter (where label = 1) / count(*) * 100.0::double, 1) as offensive,
+       round_even(count(*) filter (where label = 2) / count(*) * 100.0::double, 1) as hate_speech from posts group by topic""")
 def _(t: Tables):
     return dashboard.topic_label_heatmap(t.posts())
 
@@ -135,8 +135,8 @@ def _(t: Tables):
 
 
 @query("source_label_pivot", """
-select platform as source, nullif(count_if(label = 0), 0) as "bình_thường", nullif(count_if(label = 1), 0) as offensive,
-       nullif(count_if(label = 2), 0) as hate_speech from posts where label <> -1 group by platform""")
+select platform as source, nullif(count(*) filter (where label = 0), 0) as "bình_thường", nullif(count(*) filter (where label = 1), 0) as offensive,
+       nullif(count(*) filter (where label = 2), 0) as hate_speech from posts where label <> -1 group by platform""")
 def _(t: Tables):
     return dashboard.source_label_pivot(t.posts())
 
@@ -154,7 +154,7 @@ def _(t: Tables):
 
 @query("platform_profile", """
 select platform, count(*) as total_records, min(crawl_date) as first_crawled, max(crawl_date) as last_crawled,
-       count_if(lang = 'fr') as language_records, round_even(avg(length(text)), 1) as avg_char_count from posts group by platform""")
+       count(*) filter (where lang = 'fr') as language_records, round_even(avg(length(text)), 1) as avg_char_count from posts group by platform""")
 def _(t: Tables):
     return dashboard.platform_profile(t.posts(), lang="fr")
 
@@ -227,7 +227,7 @@ f as (select *, q1 - 1.5 * (q3 - q1) as low_fence, q3 + 1.5 * (q3 - q1) as high_
 select {picked}f.count, round(q1, 4) as q1, round(median, 4) as median, round(q3, 4) as q3, round(low_fence, 4) as low_fence,
        round(high_fence, 4) as high_fence, cast(min(len) filter (len between low_fence and high_fence) as int) as whisker_low,
        cast(max(len) filter (len between low_fence and high_fence) as int) as whisker_high,
-       count_if(len not between low_fence and high_fence) as outliers
+       count(*) filter (where len not between low_fence and high_fence) as outliers
 from h join f on {same} group by all"""
 
 
@@ -278,23 +278,23 @@ def _(t: Tables):
 
 
 @query("source_label_pct", """
-select source, l.label, round(count_if(p.label = l.label) * 100.0::double / count(*), 4) as percentage
+select source, l.label, round(count(*) filter (where p.label = l.label) * 100.0::double / count(*), 4) as percentage
 from posts p, (select unnest([-1, 0, 1, 2]) as label) l where source in ('threads', 'tiktok') group by source, l.label""")
 def _(t: Tables):
     return exploration.source_label_pct(t.posts())
 
 
 @query("topic_label_pct", """
-select topic, round(count_if(label = -1) * 100.0::double / count(*), 4) as label_minus_1,
-       round(count_if(label = 0) * 100.0::double / count(*), 4) as label_0,
-       round(count_if(label = 1) * 100.0::double / count(*), 4) as label_1,
-       round(count_if(label = 2) * 100.0::double / count(*), 4) as label_2 from posts group by topic""")
+select topic, round(count(*) filter (where label = -1) * 100.0::double / count(*), 4) as label_minus_1,
+       round(count(*) filter (where label = 0) * 100.0::double / count(*), 4) as label_0,
+       round(count(*) filter (where label = 1) * 100.0::double / count(*), 4) as label_1,
+       round(count(*) filter (where label = 2) * 100.0::double / count(*), 4) as label_2 from posts group by topic""")
 def _(t: Tables):
     return exploration.topic_label_pct(t.posts())
 
 
 @query("topic_source_label_pct", """
-with cells as (select topic, source, l.label, round(count_if(p.label = l.label) * 100.0::double / count(*), 4) as pct
+with cells as (select topic, source, l.label, round(count(*) filter (where p.label = l.label) * 100.0::double / count(*), 4) as pct
                from posts p, (select unnest([-1, 0, 1, 2]) as label) l group by topic, source, l.label)
 select label, topic, max(pct) filter (source = 'threads') as threads, max(pct) filter (source = 'tiktok') as tiktok
 from cells group by label, topic""")
@@ -318,38 +318,43 @@ def _(t: Tables):
     return shares.withColumn("pct", F.round("pct", 4))
 
 
-def _ngram_sql(by: str, sizes: str) -> str:
+def _ngram_sql(by: str, sizes: tuple[int, ...]) -> str:
     keys = f"{by}, " if by else ""
+    followed = ", ".join(f"lead(w1, {n - 1}) over (partition by id order by pos) as w{n}" for n in range(2, max(sizes) + 1))
+    grams = " union all ".join(
+        f"select {keys}{n} as n, concat_ws(' ', {', '.join(f'w{i}' for i in range(1, n + 1))}) as ngram from f where w{n} is not null"
+        for n in sizes
+    )
     return rf"""
-with w as (select {keys}list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') as words from posts),
-g as (select {keys}s.n, unnest(list_transform(range(1, greatest(len(words) - s.n + 2, 1)),
-        lambda i: array_to_string(list_slice(words, i, i + s.n - 1), ' '))) as ngram
-      from w, (select cast(unnest({sizes}) as int) as n) s),
+with w as (select id, {keys}list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') as words from posts),
+e as (select id, {keys}unnest(words) as w1, unnest(range(len(words))) as pos from w),
+f as (select *{', ' if followed else ''}{followed} from e),
+g as ({grams}),
 c as (select {keys}n, ngram, count(*) as count from g group by all)
 select {keys}n, ngram, count, cast(rank as int) as rank from (
   select *, row_number() over (partition by {keys}n order by count desc, ngram) as rank from c) where rank <= 20"""
 
 
-@query("ngrams_global", _ngram_sql("", "[1, 2, 3]"))
+@query("ngrams_global", _ngram_sql("", (1, 2, 3)))
 def _(t: Tables):
     return ngrams.ngrams_global(t.posts(text_work=True))
 
 
-@query("ngrams_by_label", _ngram_sql("label", "[1, 2, 3]"))
+@query("ngrams_by_label", _ngram_sql("label", (1, 2, 3)))
 def _(t: Tables):
     return ngrams.ngrams_by_label(t.posts(text_work=True))
 
 
-@query("ngrams_by_source", _ngram_sql("source", "[1, 2, 3]"))
+@query("ngrams_by_source", _ngram_sql("source", (1, 2, 3)))
 def _(t: Tables):
     return ngrams.ngrams_by_source(t.posts(text_work=True))
 
 
-@query("unigrams_label_source", _ngram_sql("label, source", "[1]"))
+@query("unigrams_label_source", _ngram_sql("label, source", (1,)))
 def _(t: Tables):
     return ngrams.unigrams_label_source(t.posts(text_work=True))
 
 
-@query("unigrams_topic_label", _ngram_sql("topic, label", "[1]"))
+@query("unigrams_topic_label", _ngram_sql("topic, label", (1,)))
 def _(t: Tables):
     return ngrams.unigrams_topic_label(t.posts(text_work=True))

@@ -64,8 +64,8 @@ def _(t: Tables):
 
 @query("prediction_quality", f"""
 with f as (select case when llm = -1 then 0 else llm end as label, llm from voters)
-select label, {_NAME} as label_name, count(*) as count, (select count_if(llm = -1) from f) as unparsed,
-       (select count_if(llm <> -1) from f) as parsed from f group by label""", _VOTERS)
+select label, {_NAME} as label_name, count(*) as count, (select count(*) filter (where llm = -1) from f) as unparsed,
+       (select count(*) filter (where llm <> -1) from f) as parsed from f group by label""", _VOTERS)
 def _(t: Tables):
     return voting.prediction_quality(t.voters(), "llm")
 
@@ -100,8 +100,8 @@ def _(t: Tables):
 
 
 @query("fold_class_weights", """
-with g as (select f.fold, l.label, greatest(count_if(p.label = l.label and p.fold <> f.fold), 1) as train_count,
-                  count_if(p.fold <> f.fold) as n
+with g as (select f.fold, l.label, greatest(count(*) filter (where p.label = l.label and p.fold <> f.fold), 1) as train_count,
+                  count(*) filter (where p.fold <> f.fold) as n
            from folds p, (select unnest([0, 1, 2, 3, 4]) as fold) f, (select unnest([0, 1, 2]) as label) l group by f.fold, l.label),
 w as (select *, n / (3.0::double * train_count) as w from g)
 select fold, label, train_count, round(w / sum(w) over (partition by fold) * 3, 4) as weight from w""", _FOLDS)
@@ -119,15 +119,15 @@ def _(t: Tables):
 def _cells(by: str) -> str:
     """Per class counts and scores of every group, complete over the three classes."""
     return f"""
-cells as (select {by}, c, count_if(label = c and prediction = c) as tp, count_if(prediction = c) as pred,
-                 count_if(label = c) as act, count(*) as n, count_if(label = prediction) as ok
+cells as (select {by}, c, count(*) filter (where label = c and prediction = c) as tp, count(*) filter (where prediction = c) as pred,
+                 count(*) filter (where label = c) as act, count(*) as n, count(*) filter (where label = prediction) as ok
           from oof, (select unnest([0, 1, 2]) as c) group by {by}, c),
 scored as (select *, case when pred = 0 then 0 else tp / pred end as p, case when act = 0 then 0 else tp / act end as r,
                   case when pred + act = 0 then 0 else 2 * tp / (pred + act) end as f from cells)"""
 
 
 @query("confusion_matrix", """
-with g as (select model, a.a as actual, b.b as predicted, count_if(label = a.a and prediction = b.b) as count
+with g as (select model, a.a as actual, b.b as predicted, count(*) filter (where label = a.a and prediction = b.b) as count
            from oof, (select unnest([0, 1, 2]) as a) a, (select unnest([0, 1, 2]) as b) b group by model, a.a, b.b)
 select model, actual, predicted, count, round(count / max(count) over (partition by model), 4) as intensity from g""", OOF)
 def _(t: Tables):
@@ -135,7 +135,7 @@ def _(t: Tables):
 
 
 @query("confusion_matrix_stored", """
-select model, cast(a.a as int) as actual, cast(b.b as int) as predicted, count_if(label = a.a and prediction = b.b) as count
+select model, cast(a.a as int) as actual, cast(b.b as int) as predicted, count(*) filter (where label = a.a and prediction = b.b) as count
 from oof, (select unnest([0, 1, 2]) as a) a, (select unnest([0, 1, 2]) as b) b group by model, a.a, b.b""", OOF)
 def _(t: Tables):
     return evaluation.matrix_cells(evaluation.matrix_json(t.oof(), by=["model"]), ["model"])

@@ -237,8 +237,8 @@ def evaluation_rows(t: Tables):
 
 
 _EVALUATED = """
-with cells as (select model, c, count_if(label = c and prediction = c) as tp, count_if(prediction = c) as pred,
-                      count_if(label = c) as act, count(*) as n, count_if(label = prediction) as ok
+with cells as (select model, c, count(*) filter (where label = c and prediction = c) as tp, count(*) filter (where prediction = c) as pred,
+                      count(*) filter (where label = c) as act, count(*) as n, count(*) filter (where label = prediction) as ok
                from oof, (select unnest([0, 1, 2]) as c) group by model, c),
 scored as (select *, case when pred = 0 then 0 else tp / pred end as p, case when act = 0 then 0 else tp / act end as r,
                   case when pred + act = 0 then 0 else 2 * tp / (pred + act) end as f from cells),
