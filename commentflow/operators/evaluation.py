@@ -138,14 +138,20 @@ def class_report(
     return counts.select(*by, F.inline(F.array(*lines)))
 
 
-def f1_scores(
+def macro_f1(
     df: DataFrame, y: str = "label", p: str = "prediction", classes: Sequence[int] = CLASSES, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Macro and support-weighted F1."""
+    """Mean F1 over the classes."""
     counts = confusion_counts(df, y, p, classes, by)
-    return counts.select(
-        *by, F.round(_macro(_f1, classes), 4).alias("macro_f1"), F.round(_weighted(_f1, classes), 4).alias("weighted_f1")
-    )
+    return counts.select(*by, F.round(_macro(_f1, classes), 4).alias("macro_f1"))
+
+
+def weighted_f1(
+    df: DataFrame, y: str = "label", p: str = "prediction", classes: Sequence[int] = CLASSES, by: Sequence[str] = ()
+) -> DataFrame:
+    """F1 averaged by the support of the classes."""
+    counts = confusion_counts(df, y, p, classes, by)
+    return counts.select(*by, F.round(_weighted(_f1, classes), 4).alias("weighted_f1"))
 
 
 def _fold_metrics(df, y, p, classes, by) -> DataFrame:

@@ -14,7 +14,9 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+HASH_PREFIX = 3
 SALTED_FROM = 50
 SALTS = 64
 QUANTILE_ERROR = 0.001
@@ -108,9 +110,16 @@ def with_bucketed_rank(
 def with_rank(
     df: DataFrame, keys: Sequence[str] = (), order_by: str = "id", buckets: int | None = None, out: str = "rank"
 ) -> DataFrame:
-    """Exact 0-based rank by a numeric, unique, non-null column, inside ``keys`` or over the table."""
-    marked = with_numeric_bucket(df, order_by, buckets or _default_buckets(df), "_cut")
-    return with_bucketed_rank(marked, keys, [order_by], F.col("_cut"), out).drop("_cut")
+    """Exact 0-based rank by a unique, non-null column, inside ``keys`` or over the whole table.
+
+    A numeric column is ranked in its own order. Other values, such as random string ids, are ranked
+    in the order of their hash, which spreads evenly whatever they look like.
+    """
+    if isinstance(df.schema[order_by].dataType, T.NumericType):
+        marked = with_numeric_bucket(df, order_by, buckets or _default_buckets(df), "_cut")
+        return with_bucketed_rank(marked, keys, [order_by], F.col("_cut"), out).drop("_cut")
+    hashed = df.withColumn("_hash", F.md5(F.col(order_by).cast("string")))
+    return with_bucketed_rank(hashed, keys, ["_hash", order_by], F.substring("_hash", 1, HASH_PREFIX), out).drop("_hash")
 
 
 def _default_buckets(df: DataFrame) -> int:

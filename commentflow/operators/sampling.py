@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from commentflow.operators.ranking import with_bucketed_rank
+from commentflow.operators.ranking import HASH_PREFIX, with_bucketed_rank
 from commentflow.schema import CLASSES
 
 SEED = 42
-HASH_PREFIX = 3
 
 
 def class_counts(df: DataFrame, y: str = "label") -> DataFrame:

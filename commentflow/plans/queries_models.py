@@ -157,11 +157,16 @@ def _(t: Tables):
     return evaluation.class_report(t.oof(), by=["model"])
 
 
-@query("macro_f1", f"""
+@query("macro_f1", f"with {_cells('model')} select model, round(avg(f), 4) as macro_f1 from scored group by model", OOF)
+def _(t: Tables):
+    return evaluation.macro_f1(t.oof(), by=["model"])
+
+
+@query("weighted_f1", f"""
 with {_cells('model')}
-select model, round(avg(f), 4) as macro_f1, round(sum(f * act) / sum(act), 4) as weighted_f1 from scored group by model""", OOF)
+select model, round(sum(f * act) / sum(act), 4) as weighted_f1 from scored group by model""", OOF)
 def _(t: Tables):
-    return evaluation.f1_scores(t.oof(), by=["model"])
+    return evaluation.weighted_f1(t.oof(), by=["model"])
 
 
 _FOLD_SCORES = f"""

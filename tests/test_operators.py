@@ -1,12 +1,16 @@
 """Aggregates, evaluation, voting, pages and corpus operators against brute force."""
 
 import math
+import os
 import random
 import statistics
+import subprocess
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from commentflow.operators import (
@@ -187,6 +191,15 @@ def test_batch_predict_and_analyze(spark):
     assert {r.id: r.is_target for r in inference.analyze_text(df, factory).collect()} == {1: True, 2: True, 3: False}
 
 
+def test_predictors_need_no_package_on_the_executors(tmp_path):
+    payload = tmp_path / "predictor"
+    payload.write_bytes(cloudpickle.dumps(inference.lexicon_factory({"idiot": 1})))
+    code = "import pickle, sys; print(pickle.load(open(sys.argv[1], 'rb'))()(['an Idiot', 'x']))"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code, str(payload)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert out.stdout.strip() == "[1, 0]", out.stderr
+
+
 # ---- evaluation ---------------------------------------------------------------------------
 
 def reference_report(pairs, classes=(0, 1, 2)):

@@ -47,6 +47,16 @@ def test_exact_rank_inside_groups_and_overall(skewed, buckets):
     assert overall == {i: k for k, i in enumerate(sorted(i for i, _, _ in rows))}
 
 
+def test_string_ids_are_ranked_completely(skewed):
+    rows, df = skewed
+    strings = df.withColumn("id", F.concat(F.lit("id-"), F.col("id").cast("string")))
+    ranks = defaultdict(list)
+    for r in ranking.with_rank(strings, ["url"]).collect():
+        ranks[r.url].append(r["rank"])
+    assert all(sorted(v) == list(range(len(v))) for v in ranks.values())
+    assert sum(map(len, ranks.values())) == len(rows)
+
+
 def test_rank_survives_planning_without_broadcast(spark, skewed):
     _, df = skewed
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
