@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from commentflow.functions.text import strip_space
 from commentflow.schema import LABEL_ROWS, UNKNOWN_LABEL_NAME, UNLABELLED
 
+# ---- fixed values -------------------------------------------------------------------------
+LABEL_TAG = r"\[LABEL:\s*([012])\]"
+USER_MESSAGE = ("Bình luận: '", "'")
+SEQ2SEQ_TASK = "hate-speech-detection"
+# ---- end of fixed values ------------------------------------------------------------------
+
 
 def label_name(label: Column) -> Column:
     """Display name of a label; anything unknown, null included, gets the fallback name."""
@@ -22,7 +28,7 @@ def registry_label_name(label: Column) -> Column:
 
 def parse_llm_label(raw: Column) -> Column:
     """Last ``[LABEL: d]`` of a model answer, else its last digit 0, 1 or 2, else -1."""
-    tagged = F.try_element_at(F.regexp_extract_all(raw, F.lit(r"\[LABEL:\s*([012])\]"), F.lit(1)), F.lit(-1))
+    tagged = F.try_element_at(F.regexp_extract_all(raw, F.lit(LABEL_TAG), F.lit(1)), F.lit(-1))
     loose = F.nullif(F.regexp_extract(raw, r"(?s)^.*([012])", 1), F.lit(""))
     return F.coalesce(F.coalesce(tagged, loose).cast("int"), F.lit(UNLABELLED))
 
@@ -52,16 +58,16 @@ def argmax_label(scores: Column) -> Column:
     return (F.array_position(scores, F.array_max(scores)) - 1).cast("int")
 
 
-def build_prompt(text: Column, system: str, user_prefix: str = "Bình luận: '", user_suffix: str = "'") -> Column:
+def build_prompt(text: Column, system: str, around: tuple[str, str] = USER_MESSAGE) -> Column:
     """System and user messages of a chat model as an array of (role, content)."""
-    user = F.concat(F.lit(user_prefix), text, F.lit(user_suffix))
+    user = F.concat(F.lit(around[0]), text, F.lit(around[1]))
     return F.array(
         F.struct(F.lit("system").alias("role"), F.lit(system).alias("content")),
         F.struct(F.lit("user").alias("role"), user.alias("content")),
     )
 
 
-def seq2seq_prompt(text: Column, prefix: str = "hate-speech-detection") -> Column:
+def seq2seq_prompt(text: Column, prefix: str = SEQ2SEQ_TASK) -> Column:
     return F.concat(F.lit(f"{prefix}: "), text)
 
 

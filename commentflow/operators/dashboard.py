@@ -154,12 +154,16 @@ def source_label_pivot(df: DataFrame) -> DataFrame:
 def platform_profile(
     df: DataFrame, lang: str = "vi", lang_col: str = "lang", text_col: str = "text"
 ) -> DataFrame:
-    """Size, crawl period, rows in one language and mean text length of every platform."""
+    """Size, crawl period, rows in one language and mean text length of every platform.
+
+    Rows without a language column have an unknown number of records in that language.
+    """
+    in_language = F.count_if(F.col(lang_col) == lang) if lang_col in df.columns else F.lit(None).cast("bigint")
     return df.groupBy("platform").agg(
         F.count("*").alias("total_records"),
         F.min("crawl_date").alias("first_crawled"),
         F.max("crawl_date").alias("last_crawled"),
-        F.count_if(F.col(lang_col) == lang).alias("language_records"),
+        in_language.alias("language_records"),
         F.bround(F.avg(F.length(text_col)), 1).alias("avg_char_count"),
     )
 

@@ -49,7 +49,12 @@ def batch_predict(
     df: DataFrame, predictor_factory: PredictorFactory, text_col: str = "text", batch_size: int = 64,
     out: str = "predicted_label",
 ) -> DataFrame:
-    """Add a predicted label. Missing texts are predicted as empty ones."""
+    """Add a predicted label. Missing texts are predicted as empty ones.
+
+    The model runs exactly once per row, also when rows are then filtered by their label: the
+    optimizer is kept from copying the call into the filter. For the same reason it will not move
+    later filters below the model, so rows that need no label should be filtered out before.
+    """
 
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         predictor = predictor_factory()
@@ -61,7 +66,8 @@ def batch_predict(
             yield pd.Series(labels, dtype="int32")
 
     predict.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return df.withColumn(out, F.pandas_udf(predict, T.IntegerType())(F.col(text_col)))
+    model = F.pandas_udf(predict, T.IntegerType()).asNondeterministic()
+    return df.withColumn(out, model(F.col(text_col)))
 
 
 def analyze_text(

@@ -91,7 +91,8 @@ def with_bucketed_rank(
     """Exact 0-based rank inside ``keys``, given a bucket that never decreases along the order.
 
     The offsets have one row per key and bucket and read only those columns. Keys are compared as one
-    struct: that treats nulls as equal and lets the join reuse the partitioning of the window.
+    struct: that treats nulls as equal and lets the join reuse the partitioning of the window. The input
+    is read more than once and has to give the same rows each time.
     """
     marked = df.withColumns({"_key": F.struct(F.lit(0).alias("_"), *keys), "_bucket": bucket})
     lower = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -173,7 +173,7 @@ def _(t: Tables):
     return t.table("embeddings").select("vec_id", labels.argmax_label(F.col("embedding")).alias("label"))
 
 
-SYSTEM = "Phân loại bình luận. Dòng cuối: [LABEL: số]"
+SYSTEM = "Classify the comment and end with its label."
 
 
 @query("build_prompt", f"""

@@ -11,7 +11,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from commentflow.operators import dashboard, filters, lengths
+from commentflow.operators import dashboard, filters, joins, lengths
 from commentflow.schema import PLATFORMS
 from commentflow.sources import readers
 
@@ -106,3 +106,29 @@ class CommentStore:
 
     def get_processed_data(self) -> DataFrame | None:
         return None if self.processed_root is None else readers.scan_processed(self.spark, self.processed_root)
+
+    def platform_profile(self) -> DataFrame:
+        return dashboard.platform_profile(self.comments())
+
+    def platform_share(self) -> DataFrame:
+        return dashboard.platform_share(self.comments())
+
+    def create_views(self, registry: DataFrame | None = None, evaluation: DataFrame | None = None) -> list[str]:
+        """Temporary views for SQL users; returns their names.
+
+        The split view needs a processed set, the model views a registry and evaluation table.
+        """
+        views = {"raw_crawled_data": self.comments(), "v_platform_stats": self.platform_profile()}
+        processed = self.get_processed_data()
+        if processed is not None:
+            views["processed_data"] = processed
+            views["v_dataset_split_stats"] = dashboard.dataset_split_stats(processed)
+        if registry is not None:
+            views["model_registry"] = registry
+        if evaluation is not None:
+            views["model_evaluation_results"] = evaluation
+        if registry is not None and evaluation is not None:
+            views["v_model_comparison"] = joins.model_comparison_join(registry, evaluation)
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+        return list(views)

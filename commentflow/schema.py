@@ -23,7 +23,6 @@ CRAWL_RECORD_SCHEMA = _struct(
     comment_id=_S, text=_S, author=_S, likes=_I, topic=_S, keyword=_S, video_url=_S, video_id=_S,
     scraped_at=T.TimestampType(), label=_I, confidence=_D, label_method=_S,
 )
-CORPUS_SCHEMA = _struct(texts=_S)
 LIVE_EVENT_SCHEMA = _struct(text=_S, x=_D, y=_D, width=_D, height=_D)
 MODEL_EVALUATION_SCHEMA = _struct(
     model_id=_S, model_display_name=_S, model_type=_S, version=_S, accuracy=_D, macro_f1=_D,

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from commentflow.schema import CORPUS_SCHEMA, INGEST_CSV_SCHEMA, PLATFORMS, PROCESSED_SCHEMA, RAW_SCHEMA
+from commentflow.schema import CRAWL_CSV_SCHEMA, INGEST_CSV_SCHEMA, PLATFORMS, PROCESSED_SCHEMA, RAW_SCHEMA
 from commentflow.sources.paths import path_bytes, path_exists
 
 SMALLEST_SPLIT = 4 * 1024 * 1024
@@ -108,11 +108,16 @@ def read_csv(
     )
 
 
+def read_crawl_csv(spark: SparkSession, path: str, text_col: str = "text") -> DataFrame:
+    """Output of a crawl as ``text, topic, keyword, url``; one source names its text ``comment_text``."""
+    fields = [T.StructField(text_col if f.name == "text" else f.name, f.dataType) for f in CRAWL_CSV_SCHEMA.fields]
+    rows = read_csv(spark, path, T.StructType(fields), sep=",")
+    return rows.select(F.col(text_col).alias("text"), "topic", "keyword", F.col("post_url").alias("url"))
+
+
 def read_jsonl(spark: SparkSession, path: str, text_field: str = "texts") -> DataFrame:
     """JSON-lines corpus reduced to its text field, named ``text``."""
-    schema = T.StructType([T.StructField(text_field, T.StringType(), True)]) if (
-        text_field not in CORPUS_SCHEMA.fieldNames()
-    ) else CORPUS_SCHEMA
+    schema = T.StructType([T.StructField(text_field, T.StringType(), True)])
     return spark.read.schema(schema).json(path).select(F.col(text_field).alias("text"))
 
 

@@ -5,8 +5,10 @@ import re
 
 import pytest
 
+from commentflow.operators import inference
 from commentflow.plans import scratch
 from commentflow.plans.catalog import REGISTRY
+from commentflow.plans.tables import Tables
 
 SF_DIR = "/root/testdata/sf0.001"
 PYTHON_QUERIES = {"nfc", "preprocess", "preprocess_table", "batch_predict", "analyze_text"}
@@ -41,6 +43,11 @@ def test_aggregates_read_no_text(spark, key):
     assert "partial_count" in plan
 
 
+def test_the_model_runs_once_per_row(spark):
+    flagged = inference.analyze_text(Tables(spark, SF_DIR).table("documents"), inference.lexicon_factory({"idiot": 1}))
+    assert plan_of(flagged.filter("is_target").filter("predicted_label = 1")).count("EvalPython") == 1
+
+
 def test_top_lists_do_not_sort_everything(spark):
     assert "TakeOrderedAndProject" in plan_of(REGISTRY["keyword_stats"](spark, SF_DIR))
 

@@ -1,5 +1,6 @@
 """Readers and writers on temporary directories."""
 
+import csv
 import datetime
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from commentflow.operators.filters import query_by_platform
 from commentflow.plans.store import CommentStore
-from commentflow.schema import INGEST_CSV_SCHEMA, RAW_SCHEMA, topic_keyword_dim
+from commentflow.schema import INGEST_CSV_SCHEMA, RAW_SCHEMA, model_registry, topic_keyword_dim
 from commentflow.sources import readers, writers
 
 TEXTS = ['plain', 'semi;colon', 'quo"te', "two\nlines", "a,b", "Đồ ăn ngon"]
@@ -70,6 +71,18 @@ def test_plain_directory_layout_is_read(spark, tmp_path):
     assert readers.scan_platform(spark, str(root), "tiktok").count() == 1
 
 
+@pytest.mark.parametrize("column", ["text", "comment_text"])
+def test_crawl_output_with_byte_order_mark(spark, tmp_path, column):
+    path = tmp_path / "crawl.csv"
+    with path.open("w", newline="", encoding="utf-8-sig") as file:
+        writer = csv.writer(file, quoting=csv.QUOTE_ALL)
+        writer.writerow([column, "topic", "keyword", "post_url"])
+        writer.writerows([t, "the_thao", "Bóng đá", "u"] for t in TEXTS)
+    rows = readers.read_crawl_csv(spark, str(path), column)
+    assert rows.columns == ["text", "topic", "keyword", "url"]
+    assert sorted(r.text for r in rows.collect()) == sorted(TEXTS)
+
+
 def test_label_widths_may_differ_between_files(spark, tmp_path):
     for day, kind in (("2026-06-01", "int"), ("2026-06-02", "bigint")):
         df = spark.sql(f"select '1' as id, 't' as text, cast(2 as {kind}) as label")
@@ -137,3 +150,17 @@ def test_store_queries_run_end_to_end(spark, tmp_path, export):
                    store.topic_label_distribution(), store.source_label_distribution(), store.source_topic_distribution(),
                    store.topic_label_heatmap(), store.topic_distribution(), store.crawl_timeline()):
         assert result.count() > 0
+
+
+def test_views_can_be_queried_with_sql(spark, tmp_path, export):
+    root, processed = str(tmp_path / "store"), str(tmp_path / "processed")
+    writers.ingest_csv(spark, export, root, crawl_date="2026-06-01")
+    rows = CommentStore(spark, root).comments().filter("label is not null").withColumn("split_set", F.lit("train"))
+    rows.write.parquet(processed)
+    registry = model_registry(spark, [("m1", "Model", "traditional", "v1")])
+    results = spark.createDataFrame([("m1", 0.9), ("m2", 0.8)], "model_id string, accuracy double")
+    names = CommentStore(spark, root, processed).create_views(registry, results)
+    assert "v_dataset_split_stats" in names and "v_model_comparison" in names
+    assert spark.sql("select sum(total_records) from v_platform_stats").first()[0] == len(TEXTS) + 1
+    assert spark.sql("select sum(record_count) from v_dataset_split_stats").first()[0] == len(TEXTS)
+    assert [r.model_display_name for r in spark.sql("select * from v_model_comparison").collect()] == ["Model"]
