@@ -72,5 +72,5 @@ def seq2seq_prompt(text: Column, prefix: str = SEQ2SEQ_TASK) -> Column:
 
 
 def hard_vote(first: Column, second: Column, third: Column) -> Column:
-    """Majority of three; the first voter decides when all three differ."""
-    return F.when((second == third) & (first != second), second).otherwise(first)
+    """Majority of three; the first voter decides when all three differ. A missing vote is a vote too."""
+    return F.when(second.eqNullSafe(third), second).otherwise(first)

@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 from commentflow.functions.labels import label_name, registry_label_name
 from commentflow.functions.links import month_key
 from commentflow.functions.text import tokens
+from commentflow.operators.filters import drop_unlabelled
 from commentflow.operators.ranking import cap_rows, share_of
 from commentflow.schema import PLATFORMS
 
 # ---- fixed values: column names of the per-label counts -----------------------------------
 LABEL_COLUMNS = ((-1, "chưa_gán_nhãn"), (0, "bình_thường"), (1, "offensive"), (2, "hate_speech"))
+UNKNOWN_COLUMN = "không_xác_định"
 # ---- end of fixed values ------------------------------------------------------------------
 
 _PERCENT_COLUMNS = ((0, "binh_thuong"), (1, "offensive"), (2, "hate_speech"))
@@ -139,16 +141,18 @@ def topic_label_heatmap(df: DataFrame) -> DataFrame:
 
 def label_share(df: DataFrame, platform: str | None = None) -> DataFrame:
     """Each class as a percentage of all labelled rows, with the width its bar is drawn at."""
-    counted = counts_by(_of_platform(df, platform).filter(F.col("label") != -1), "label")
+    counted = counts_by(drop_unlabelled(_of_platform(df, platform)), "label")
     pct = F.bround(share_of(F.col("total").cast("double")), 1)
     return _named(counted).withColumn("pct", pct).withColumn("bar_pct", F.least(F.col("pct"), F.lit(100.0).cast("double")))
 
 
 def source_label_pivot(df: DataFrame) -> DataFrame:
     """One row per platform, one column per class name, unlabelled rows left out."""
-    labelled = df.filter(F.col("label") != -1)
-    columns = [F.nullif(F.count_if(_is(v)), F.lit(0).cast("bigint")).alias(name) for v, name in LABEL_COLUMNS if v != -1]
-    return labelled.groupBy(F.col("platform").alias("source")).agg(*columns)
+    known = [value for value, _ in LABEL_COLUMNS]
+    unknown = F.col("label").isNull() | ~F.col("label").isin(*known)
+    cells = [(name, _is(value)) for value, name in LABEL_COLUMNS if value != -1] + [(UNKNOWN_COLUMN, unknown)]
+    columns = [F.nullif(F.count_if(condition), F.lit(0).cast("bigint")).alias(name) for name, condition in cells]
+    return drop_unlabelled(df).groupBy(F.col("platform").alias("source")).agg(*columns)
 
 
 def platform_profile(

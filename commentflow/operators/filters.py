@@ -153,4 +153,5 @@ def unparsed_rows(df: DataFrame, label_col: str = "predicted_label", limit: int
 
 
 def drop_unlabelled(df: DataFrame, label_col: str = "label") -> DataFrame:
-    return df.filter(F.col(label_col) != UNLABELLED)
+    """Rows somebody looked at; a label that is missing altogether is not "unlabelled"."""
+    return df.filter(~F.col(label_col).eqNullSafe(F.lit(UNLABELLED)))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from commentflow.functions.labels import label_name
-from commentflow.operators.filters import top_topics_semi
+from commentflow.operators.filters import drop_unlabelled, top_topics_semi
 
 WHISKER = 1.5
 
@@ -144,7 +144,7 @@ def boxplot_pivot(
     df: DataFrame, platforms: Sequence[str] = ("threads", "tiktok"), text_col: str = "text"
 ) -> DataFrame:
     """One row per class name with median, q1 and q3 of every platform side by side."""
-    stats = text_length_stats(df.filter(F.col("label") != -1), text_col=text_col)
+    stats = text_length_stats(drop_unlabelled(df), text_col=text_col)
     return stats.groupBy("label_name").agg(
         *[
             F.max(F.when(F.col("platform") == p, F.col(m))).alias(f"{p}_{m}")

@@ -19,6 +19,9 @@ from pyspark.sql import types as T
 HASH_PREFIX = 3
 SALTED_FROM = 50
 SALTS = 64
+# Beyond this limit Spark no longer cuts groups in the map tasks, so the salted round has to be finer.
+MAP_SIDE_LIMIT = 1000
+FINE_SALTS = 4096
 QUANTILE_ERROR = 0.001
 
 
@@ -40,7 +43,7 @@ def cap_rows(
 
     if n >= SALTED_FROM:
         spread = [c for c in order if isinstance(c, str)] or columns
-        salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS))
+        salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS if n <= MAP_SIDE_LIMIT else FINE_SALTS))
         df = cut(df.withColumn("_salt", salt), [*keys, "_salt"]).select(*columns)
     capped = cut(df, list(keys))
     return capped.select(*columns, *([rank] if rank_col else []))

@@ -127,7 +127,7 @@ def _(t: Tables):
 
 
 @query("label_share", f"""
-with c as (select label, count(*) as total from posts where label <> -1 group by label)
+with c as (select label, count(*) as total from posts where label is distinct from -1 group by label)
 select label, total, {_NAME}, round_even(total * 100.0::double / sum(total) over (), 1) as pct,
        least(round_even(total * 100.0::double / sum(total) over (), 1), 100.0::double) as bar_pct from c""")
 def _(t: Tables):
@@ -136,14 +136,16 @@ def _(t: Tables):
 
 @query("source_label_pivot", """
 select platform as source, nullif(count(*) filter (where label = 0), 0) as "bình_thường", nullif(count(*) filter (where label = 1), 0) as offensive,
-       nullif(count(*) filter (where label = 2), 0) as hate_speech from posts where label <> -1 group by platform""")
+       nullif(count(*) filter (where label = 2), 0) as hate_speech,
+       nullif(count(*) filter (where label is null or label not in (-1, 0, 1, 2)), 0) as "không_xác_định"
+from posts where label is distinct from -1 group by platform""")
 def _(t: Tables):
     return dashboard.source_label_pivot(t.posts())
 
 
 @query("boxplot_pivot", f"""
 with s as (select label, platform, quantile_disc(length(text), 0.25) as q1, quantile_disc(length(text), 0.5) as median,
-                  quantile_disc(length(text), 0.75) as q3, {_NAME} from posts where label <> -1 group by label, platform)
+                  quantile_disc(length(text), 0.75) as q3, {_NAME} from posts where label is distinct from -1 group by label, platform)
 select label_name, max(median) filter (platform = 'threads') as threads_median, max(q1) filter (platform = 'threads') as threads_q1,
        max(q3) filter (platform = 'threads') as threads_q3, max(median) filter (platform = 'tiktok') as tiktok_median,
        max(q1) filter (platform = 'tiktok') as tiktok_q1, max(q3) filter (platform = 'tiktok') as tiktok_q3

@@ -191,7 +191,7 @@ def _(t: Tables):
     return filters.unparsed_rows(t.voters(), "llm").select("id", F.col("llm").alias("predicted_label"), "topic")
 
 
-@query("drop_unlabelled", "select id, label, topic from posts where label <> -1")
+@query("drop_unlabelled", "select id, label, topic from posts where label is distinct from -1")
 def _(t: Tables):
     return filters.drop_unlabelled(t.posts()).select("id", "label", "topic")
 

@@ -97,6 +97,15 @@ def test_heatmap_counts_every_row_of_the_topic(posts):
         assert r.binh_thuong + r.offensive + r.hate_speech < 100
 
 
+def test_missing_labels_are_not_unlabelled(posts):
+    rows, df = posts
+    assert filters.drop_unlabelled(df).count() == sum(r[4] != -1 for r in rows)
+    shares = {r.label: r for r in dashboard.label_share(df).collect()}
+    assert shares[None].total == sum(r[4] is None for r in rows) and shares[None].label_name == "không xác định"
+    pivot = {r.source: r for r in dashboard.source_label_pivot(df).collect()}
+    assert pivot["tiktok"]["không_xác_định"] == sum(r[4] is None and r[3] == "tiktok" for r in rows)
+
+
 def test_shares_sum_to_one_hundred(posts):
     _, df = posts
     assert sum(r.pct for r in dashboard.label_share(df.filter("label is not null")).collect()) == pytest.approx(100, abs=0.2)
