@@ -63,8 +63,16 @@ def top_values(df: DataFrame, col: str, n: int, count_col: str = "total") -> Dat
 def top_counted(
     counted: DataFrame, by: Sequence[str], value: str, n: int, count_col: str = "count"
 ) -> DataFrame:
-    """Rows with the largest counts inside every group, ties by value, with their rank."""
-    return cap_rows(counted, by, [F.desc(count_col), value], n, rank_col="rank")
+    """Rows with the largest counts inside every group, ties by value, with their rank.
+
+    A first cut compares counts only, which is much cheaper than sorting every value; it keeps ties,
+    on a salted key so that a group of nothing but ties stays spread out. The values decide among
+    what is left.
+    """
+    spread = Window.partitionBy(*by, "_salt").orderBy(F.desc(count_col))
+    salted = counted.withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(SALTS)))
+    contenders = salted.withColumn("_rank", F.rank().over(spread)).filter(F.col("_rank") <= n)
+    return cap_rows(contenders.select(*counted.columns), by, [F.desc(count_col), value], n, rank_col="rank")
 
 
 def share_of(value: Column, by: Sequence[str] = ()) -> Column:
