@@ -12,7 +12,7 @@ from collections.abc import Callable, Mapping
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -130,9 +130,25 @@ def preprocess(col: Column) -> Column:
     return F.coalesce(normalize_sentence(tone_marks(lowercase(nfc(col)))), F.lit(""))
 
 
-def preprocess_table(df: DataFrame, text_col: str = "text") -> DataFrame:
+def rewrite_text(
+    df: DataFrame, rewrite: Callable[[Column], Column], text_col: str = "text", observation: Observation | None = None
+) -> DataFrame:
+    """Apply a text function to a column.
+
+    An observation receives ``rows`` and ``changed`` while the result is computed for its own sake, so
+    reporting them needs no second pass.
+    """
+    old, new = F.col(text_col), rewrite(F.col(text_col))
+    if observation is None:
+        return df.withColumn(text_col, new)
+    changed = F.count_if(~F.col("_before").eqNullSafe(F.col(text_col)))
+    marked = df.withColumns({"_before": old, text_col: new})
+    return marked.observe(observation, F.count("*").alias("rows"), changed.alias("changed")).drop("_before")
+
+
+def preprocess_table(df: DataFrame, text_col: str = "text", observation: Observation | None = None) -> DataFrame:
     """Clean a text column and keep what it was as ``text_original``."""
-    return df.withColumns({"text_original": F.col(text_col), text_col: preprocess(F.col(text_col))})
+    return rewrite_text(df.withColumn("text_original", F.col(text_col)), preprocess, text_col, observation)
 
 
 def strip_translate_suffix(col: Column) -> Column:

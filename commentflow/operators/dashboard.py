@@ -193,35 +193,42 @@ def dataset_split_stats(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 def dataset_overview(df: DataFrame) -> DataFrame:
     """Per split: size, share of all labelled rows, and maps platform→rows and class→rows."""
-    named = df.withColumn("label_name", registry_label_name(F.col("label")))
-    cells = counts_by(named.filter(F.col("label_name").isNotNull()), "split_set", "platform", "label_name", name="n")
-
-    # Both maps are collected over distinct platforms or class names, never over rows.
-    def as_map(key: str, alias: str) -> DataFrame:
-        entries = F.array_sort(F.collect_list(F.struct(key, "n")))
-        return (
-            cells.groupBy("split_set", key).agg(F.sum("n").alias("n"))
-            .groupBy("split_set").agg(F.map_from_entries(entries).alias(alias))
-        )
+    named = df.withColumns(
+        {"label_name": registry_label_name(F.col("label")), "platform": F.coalesce("platform", F.lit("unknown"))}
+    )
+    split, platform, name = (F.col(c) for c in ("split_set", "platform", "label_name"))
+    counted = (
+        named.filter(name.isNotNull())
+        .groupingSets([[split, platform], [split, name], [split]], split, platform, name)
+        .agg(F.grouping_id(split, platform, name).alias("_gid"), F.count("*").alias("n"))
+    )
+    gid = F.col("_gid")
+
+    # The maps are collected over distinct platforms or class names, never over rows.
+    def as_map(key: Column, bits: int) -> Column:
+        return F.map_from_entries(F.array_sort(F.collect_list(F.when(gid == bits, F.struct(key, "n")))))
 
+    per_split = counted.groupBy("split_set").agg(
+        F.max(F.when(gid == 0b011, F.col("n"))).alias("total_records"),
+        as_map(platform, 0b001).alias("platforms"),
+        as_map(name, 0b010).alias("labels"),
+    )
     everything = F.sum("total_records").over(Window.partitionBy())
-    totals = cells.groupBy("split_set").agg(F.sum("n").alias("total_records"))
-    return (
-        totals.withColumn("ratio", F.round(F.col("total_records") / everything, 4))
-        .join(as_map("platform", "platforms"), "split_set")
-        .join(as_map("label_name", "labels"), "split_set")
+    return per_split.select(
+        "split_set", "total_records", F.round(F.col("total_records") / everything, 4).alias("ratio"), "platforms", "labels"
     )
 
 
 def dataset_overview_long(df: DataFrame) -> DataFrame:
     """``dataset_overview`` with its maps flattened to (kind, name, records) rows."""
-    wide = dataset_overview(df)
-    kinds = [
-        wide.select("split_set", "total_records", "ratio", F.lit(kind).alias("kind"),
-                    F.explode(column).alias("name", "records"))
-        for kind, column in (("platform", "platforms"), ("label", "labels"))
-    ]
-    return kinds[0].unionByName(kinds[1])
+    def rows(kind: str, column: str) -> Column:
+        return F.transform(
+            F.map_entries(column),
+            lambda e: F.struct(F.lit(kind).alias("kind"), e["key"].alias("name"), e["value"].alias("records")),
+        )
+
+    pairs = F.concat(rows("platform", "platforms"), rows("label", "labels"))
+    return dataset_overview(df).select("split_set", "total_records", "ratio", F.inline(pairs))
 
 
 def split_sizes(df: DataFrame, train_ratio: float = 0.8, by: Sequence[str] = ()) -> DataFrame:
