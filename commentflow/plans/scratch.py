@@ -1,27 +1,16 @@
-"""Where intermediate tables go."""
+"""Where intermediate tables go: always a folder that all executors share."""
 
 from __future__ import annotations
 
-import tempfile
-from functools import lru_cache
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
 
-@lru_cache(maxsize=1)
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="commentflow-")
-
-
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names, or a temporary one when Spark runs on this machine only."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if shared:
-        return f"{shared.rstrip('/')}/commentflow-{spark.sparkContext.applicationId}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_root()
+    """The folder of ``spark.checkpoint.dir``; where it is unset, one below the warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return f"{shared.rstrip('/')}/commentflow-{spark.sparkContext.applicationId}"
 
 
 def new_dir(spark: SparkSession, name: str) -> str:
