@@ -2,18 +2,30 @@
 
 from __future__ import annotations
 
-from commentflow.llm import quality_rules
+from commentflow.llm import license_scan, mixing, quality_rules
 from commentflow.llm.tables import documents
 
 
+def op2_license_scan(spark, sf_dir):
+    return license_scan.license_scan(documents(spark, sf_dir))
+
+
+def op9_mixing(spark, sf_dir):
+    return mixing.mixture(documents(spark, sf_dir))
+
+
 def op7_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
 QUERIES = {
+    "op2_license_scan": op2_license_scan,
     "op7_quality_rules": op7_quality_rules,
+    "op9_mixing": op9_mixing,
 }
 
 SQL = {
+    "op2_license_scan": license_scan.SQL,
     "op7_quality_rules": quality_rules.SQL,
+    "op9_mixing": mixing.SQL,
 }
