@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from commentflow.llm import license_scan, mixing, quality_rules
+from commentflow.llm import fingerprints, license_scan, mixing, quality_rules, sentencepiece_codec
 from commentflow.llm.tables import documents
 
 
@@ -14,12 +14,22 @@ def op9_mixing(spark, sf_dir):
     return mixing.mixture(documents(spark, sf_dir))
 
 
+def op4_fingerprints(spark, sf_dir):
+    return fingerprints.edited_fingerprints(documents(spark, sf_dir))
+
+
+def op6_sentencepiece(spark, sf_dir):
+    return sentencepiece_codec.round_trip(documents(spark, sf_dir))
+
+
 def op7_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
 QUERIES = {
     "op2_license_scan": op2_license_scan,
+    "op4_fingerprints": op4_fingerprints,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_quality_rules": op7_quality_rules,
     "op9_mixing": op9_mixing,
 }
