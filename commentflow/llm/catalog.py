@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from commentflow.llm import fingerprints, license_scan, mixing, quality_rules, sentencepiece_codec
+from commentflow.llm import fingerprints, license_scan, mixing, quality_rules, sentencepiece_codec, simhash
 from commentflow.llm.tables import documents
 
 
+def op1_simhash(spark, sf_dir):
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op2_license_scan(spark, sf_dir):
     return license_scan.license_scan(documents(spark, sf_dir))
 
@@ -27,6 +31,7 @@ def op7_quality_rules(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op2_license_scan": op2_license_scan,
     "op4_fingerprints": op4_fingerprints,
     "op6_sentencepiece": op6_sentencepiece,
