@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from commentflow.llm import fingerprints, license_scan, mixing, quality_rules, sentencepiece_codec, simhash
+from commentflow.llm import fingerprints, license_scan, mixing, quality_rules, sentencepiece_codec, simhash, toxicity
 from commentflow.llm.tables import documents
 
 
@@ -18,6 +18,11 @@ def op9_mixing(spark, sf_dir):
     return mixing.mixture(documents(spark, sf_dir))
 
 
+def op3_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return toxicity.toxicity(docs, toxicity.train(docs, toxicity.labelled(spark, sf_dir)))
+
+
 def op4_fingerprints(spark, sf_dir):
     return fingerprints.edited_fingerprints(documents(spark, sf_dir))
 
@@ -33,6 +38,7 @@ def op7_quality_rules(spark, sf_dir):
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_license_scan": op2_license_scan,
+    "op3_toxicity": op3_toxicity,
     "op4_fingerprints": op4_fingerprints,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_quality_rules": op7_quality_rules,
