@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from commentflow.llm import fingerprints, license_scan, mixing, quality_rules, sentencepiece_codec, simhash, toxicity
+from commentflow.llm import fingerprints, license_scan, line_dedup, mixing, quality_rules, sentencepiece_codec, simhash, toxicity
 from commentflow.llm.tables import documents
 
 
@@ -14,6 +14,10 @@ def op2_license_scan(spark, sf_dir):
     return license_scan.license_scan(documents(spark, sf_dir))
 
 
+def op8_line_dedup(spark, sf_dir):
+    return line_dedup.removed_lines(documents(spark, sf_dir))
+
+
 def op9_mixing(spark, sf_dir):
     return mixing.mixture(documents(spark, sf_dir))
 
@@ -42,11 +46,13 @@ QUERIES = {
     "op4_fingerprints": op4_fingerprints,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_quality_rules": op7_quality_rules,
+    "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
 }
 
 SQL = {
     "op2_license_scan": license_scan.SQL,
     "op7_quality_rules": quality_rules.SQL,
+    "op8_line_dedup": line_dedup.SQL,
     "op9_mixing": mixing.SQL,
 }
