@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from commentflow.llm import fingerprints, license_scan, line_dedup, mixing, quality_rules, sentencepiece_codec, simhash, toxicity
 from commentflow.llm.tables import documents
 
@@ -48,6 +49,7 @@ QUERIES = {
     "op7_quality_rules": op7_quality_rules,
     "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL = {
@@ -56,3 +58,6 @@ SQL = {
     "op8_line_dedup": line_dedup.SQL,
     "op9_mixing": mixing.SQL,
 }
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -230,30 +230,29 @@ def _sliced(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
         yield batch.slice(k, rows)
 
 
-def round_trip(docs: DataFrame, path: str = MODEL, threads: int = THREADS) -> DataFrame:
+def round_trip(docs: DataFrame, path: str = MODEL, threads: int = THREADS, with_ids: bool = False) -> DataFrame:
     """For each document the number of its pieces, a digest of the ids and whether decoding gives the text back.
 
-    doc_id, n_tokens, ids_sha256 (ids as 32-bit little-endian numbers), decoded boolean."""
+    doc_id, n_tokens, ids_sha256 (ids as 32-bit little-endian numbers), decoded boolean and, if asked for, ids."""
 
     def run(batches):
         coder = codec(path, threads)
         for batch in batches:
-            for part in _sliced(batch):
+            for part in _sliced(batch, 32):
                 texts = _texts(part.column(1))
-                counts, digests, same = [], [], []
-                for k in range(0, len(texts), 32):
-                    group = texts[k:k + 32]
-                    ids = list(coder.encode(group))
-                    for text, row, back in zip(group, ids, coder.decode(ids)):
-                        counts.append(len(row))
-                        digests.append(hashlib.sha256(row.astype("<i4").tobytes()).hexdigest())
-                        same.append(back == text)
-                yield pa.record_batch(
-                    [part.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(same, pa.bool_())],
-                    names=["doc_id", "n_tokens", "ids_sha256", "decoded"])
+                ids = list(coder.encode(texts))
+                same = [back == text for text, back in zip(texts, coder.decode(ids))]
+                digests = [hashlib.sha256(row.astype("<i4").tobytes()).hexdigest() for row in ids]
+                columns = [part.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(digests, pa.string()), pa.array(same, pa.bool_())]
+                names = ["doc_id", "n_tokens", "ids_sha256", "decoded"]
+                if with_ids:
+                    columns.append(pa.array(ids, pa.list_(pa.int32())))
+                    names.append("ids")
+                yield pa.record_batch(columns, names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded boolean")
+    fields = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded boolean" + ", ids array<int>" * with_ids
+    return docs.select("doc_id", "text").mapInArrow(run, fields)
 
 
 def parity(texts: list[str], path: str = MODEL) -> list[int]:
