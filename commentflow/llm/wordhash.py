@@ -19,8 +19,10 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers, _inverses
     if len(_powers) < n:
         size = 1 << max(12, (n - 1).bit_length())
-        _powers = np.cumprod(np.concatenate([[1], np.full(size - 1, _BASE, dtype=np.uint64)]).astype(np.uint64))
-        _inverses = np.cumprod(np.concatenate([[1], np.full(size - 1, _INVERSE, dtype=np.uint64)]).astype(np.uint64))
+        _powers, _inverses = (np.full(size, base, dtype=np.uint64) for base in (_BASE, _INVERSE))
+        for table in (_powers, _inverses):
+            table[0] = 1
+            np.cumprod(table, out=table)
     return _powers, _inverses
 
 
