@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from commentflow.llm import fingerprints, license_scan, line_dedup, mixing, quality_rules, sentencepiece_codec, simhash, toxicity
+from commentflow.llm import fingerprints, license_scan, line_dedup, mixing, quality_rules, sentencepiece_codec, simhash, suffix_dedup, toxicity
 from commentflow.llm.tables import documents
 
 
@@ -32,6 +32,10 @@ def op4_fingerprints(spark, sf_dir):
     return fingerprints.edited_fingerprints(documents(spark, sf_dir))
 
 
+def op5_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 def op6_sentencepiece(spark, sf_dir):
     return sentencepiece_codec.round_trip(documents(spark, sf_dir))
 
@@ -45,6 +49,7 @@ QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op3_toxicity": op3_toxicity,
     "op4_fingerprints": op4_fingerprints,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_quality_rules": op7_quality_rules,
     "op8_line_dedup": op8_line_dedup,
