@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from commentflow.llm import fingerprints, license_scan, line_dedup, mixing, quality_rules, sentencepiece_codec, simhash, suffix_dedup, toxicity
+from commentflow.llm import fingerprints, license_scan, line_dedup, mixing, quality_rules, sentencepiece_codec, simhash, substring_dedup, suffix_dedup, toxicity
 from commentflow.llm.tables import documents
 
 
@@ -44,6 +44,10 @@ def op7_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
+def op10_substring_dedup(spark, sf_dir):
+    return substring_dedup.remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_license_scan": op2_license_scan,
@@ -54,6 +58,7 @@ QUERIES = {
     "op7_quality_rules": op7_quality_rules,
     "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
+    "op10_substring_dedup": op10_substring_dedup,
     "pipeline": corpus_pipeline.run,
 }
 
