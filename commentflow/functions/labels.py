@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from commentflow.functions.text import strip_space
+from commentflow.functions.text import SPACE_CLASS, strip_space
 from commentflow.schema import LABEL_ROWS, UNKNOWN_LABEL_NAME, UNLABELLED
 
 # ---- fixed values -------------------------------------------------------------------------
-LABEL_TAG = r"\[LABEL:\s*([012])\]"
+LABEL_TAG = rf"\[LABEL:[{SPACE_CLASS}]*([012])\]"
 USER_MESSAGE = ("Bình luận: '", "'")
 SEQ2SEQ_TASK = "hate-speech-detection"
 # ---- end of fixed values ------------------------------------------------------------------

@@ -46,6 +46,9 @@ SPACE_RANGES = (
 )
 SPACE_CHARS = "".join(chr(c) for lo, hi in SPACE_RANGES for c in range(lo, hi + 1))
 
+# The same characters as a class both Java and RE2 read.
+SPACE_CLASS = "".join(rf"\x{{{lo:X}}}-\x{{{hi:X}}}" for lo, hi in SPACE_RANGES)
+
 # A word character: letter, number or underscore. Java's \w is ASCII only.
 WORD = r"[\p{L}\p{N}_]"
 

@@ -8,20 +8,23 @@ from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from commentflow.functions.text import SPACE_CLASS
+from commentflow.operators.evaluation import required_weight
+
 FEATURES = 1 << 16
 
 
 def _tfidf(text_col: str, features: int) -> list:
     return [
-        RegexTokenizer(inputCol=text_col, outputCol="_words", pattern=r"\s+"),
+        RegexTokenizer(inputCol=text_col, outputCol="_words", pattern=f"[{SPACE_CLASS}]+"),
         HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features),
         IDF(inputCol="_tf", outputCol="features", minDocFreq=2),
     ]
 
 
 def with_class_weight(df: DataFrame, weights: DataFrame, y: str = "label", out: str = "weight") -> DataFrame:
-    """Attach each row's class weight. The weights table has one row per class."""
-    return df.join(F.broadcast(weights.select(y, F.col("weight").alias(out))), y)
+    """Attach each row's class weight; a class without one is an error, not a dropped row."""
+    return df.join(weights.select(y, F.col("weight").alias(out)), y, "left").withColumn(out, required_weight(F.col(out), F.col(y)))
 
 
 def baseline_tfidf_lr(

@@ -45,9 +45,9 @@ def pack_chunks(
     )
     blocks = F.floor(F.size("_joined") / max_len).cast("int")
     numbers = F.when(blocks > 0, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array().cast("array<int>"))
-    return batches.select("batch", "_joined", F.explode(numbers).alias("block")).select(
-        "batch", "block", F.slice("_joined", F.col("block") * max_len + 1, max_len).alias("tokens")
-    )
+    # Cut inside the row: past the explode a block carries its own tokens only.
+    cut = F.transform(numbers, lambda b: F.slice("_joined", b * max_len + 1, max_len))
+    return batches.select("batch", F.posexplode(cut).alias("block", "tokens"))
 
 
 def corpus_stats(

@@ -16,7 +16,7 @@ from commentflow.functions.labels import label_name, registry_label_name
 from commentflow.functions.links import month_key
 from commentflow.functions.text import tokens
 from commentflow.operators.filters import drop_unlabelled
-from commentflow.operators.ranking import cap_rows, share_of
+from commentflow.operators.ranking import limit_rows, share_of
 from commentflow.schema import PLATFORMS
 
 # ---- fixed values: column names of the per-label counts -----------------------------------
@@ -282,7 +282,7 @@ def summary_report(df: DataFrame, days: int = 7, top_n: int = 10) -> DataFrame:
     order = [
         F.when(is_day, F.col("crawl_date")).desc_nulls_last(), F.when(~is_day, F.col("value")).desc_nulls_last(), F.col("key"),
     ]
-    first = cap_rows(listed, ["section"], order, max(days, top_n), rank_col="rank").filter(
+    first = limit_rows(listed, ["section"], order, max(days, top_n), rank_col="rank").filter(
         F.col("rank") <= F.when(is_day, days).otherwise(top_n)
     )
     columns = ["section", F.col("rank").cast("bigint").alias("rank"), "key", "value"]

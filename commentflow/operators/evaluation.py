@@ -281,11 +281,17 @@ def log_loss(scores: str | Column, y: str | Column) -> Column:
     return _neg_log_softmax(as_column(scores), as_column(y))
 
 
+def required_weight(weight: Column, y: Column) -> Column:
+    """The weight itself; a missing one raises when a row of its class is read."""
+    return F.coalesce(weight, F.raise_error(F.concat(F.lit("no weight for class "), F.coalesce(y.cast("string"), F.lit("null")))).cast("double"))
+
+
 def weighted_log_loss(
     df: DataFrame, weights: DataFrame, scores: str = "logits", y: str = "label"
 ) -> DataFrame:
-    """Class-weighted mean cross-entropy; ``weights`` has one row per class and is broadcast."""
-    weighted = df.join(F.broadcast(weights.select(y, "weight")), y)
+    """Class-weighted mean cross-entropy; ``weights`` has one row per class, and a class without one is an error."""
+    joined = df.join(weights.select(y, "weight"), y, "left")
+    weighted = joined.withColumn("weight", required_weight(F.col("weight"), F.col(y)))
     loss = log_loss(scores, y)
     return weighted.agg(
         F.round(F.sum(F.col("weight") * loss) / F.sum("weight"), 4).alias("weighted_log_loss")

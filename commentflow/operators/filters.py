@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commentflow.functions.text import strip_space
+from commentflow.functions.text import SPACE_CLASS, strip_space
 from commentflow.operators.ranking import top_values
 from commentflow.schema import PLATFORMS, UNLABELLED
 
@@ -18,10 +18,14 @@ UI_CAPTIONS = (
     "Đăng lại", "Hàng đầu", "Xem hoạt động", "Theo dõi",
 )
 REPLY_PREFIX = "Đang trả lời"
-RELATIVE_TIME = r"^\d+\s*(giờ|phút|ngày|tuần|tháng|giây)"
-COUNTER = r"^[\d,./km\s]+$"
+RELATIVE_UNITS = ("giờ", "phút", "ngày", "tuần", "tháng", "giây")
+COUNTER_CHARS = ",./km"
 # ---- end of fixed values ------------------------------------------------------------------
 
+# Digits and white space of every script; both patterns read the same in Java and RE2.
+RELATIVE_TIME = rf"^\p{{Nd}}+[{SPACE_CLASS}]*({'|'.join(RELATIVE_UNITS)})"
+COUNTER = rf"^[\p{{Nd}}{COUNTER_CHARS}{SPACE_CLASS}]+$"
+
 
 def _and_also(
     df: DataFrame,

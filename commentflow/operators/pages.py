@@ -18,33 +18,58 @@ from commentflow.operators.dedup import (
     COMMENTS_PER_POST, cap_per_group, dedup_exact_in_group, dedup_prefix80,
 )
 
-ANCHOR = r"(?is)<a\s[^>]*?href=\"([^\"]*)\""
+ANCHOR = r"(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)"
 INVISIBLE = r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->"
 SEGMENT = r"(?is)<p(?:\s[^>]*)?>(.*?)</p>"
 TAG = r"(?s)<[^>]*>"
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+NUMERIC_ENTITY = r"^(?:[xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
+
+# ---- fixed values -------------------------------------------------------------------------
+ENTITIES = (
+    ("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("nbsp", "\u00a0"), ("hellip", "…"), ("ndash", "–"), ("mdash", "—"),
+    ("lsquo", "‘"), ("rsquo", "’"), ("ldquo", "“"), ("rdquo", "”"), ("laquo", "«"), ("raquo", "»"), ("bull", "•"),
+    ("middot", "·"), ("copy", "©"), ("reg", "®"), ("trade", "™"), ("euro", "€"), ("times", "×"), ("deg", "°"),
+)
+# ---- end of fixed values ------------------------------------------------------------------
 
 
 def extract_anchors(
     pages: DataFrame, pattern: str | None = None, cap: int | None = None, site: str = VIDEO_SITE,
     html_col: str = "html", key_col: str = "page_id",
 ) -> DataFrame:
-    """Distinct link targets of each page in order of appearance, made absolute."""
-    hrefs = F.regexp_extract_all(html_col, F.lit(ANCHOR), F.lit(1))
+    """Distinct absolute link targets of each page in order of appearance.
+
+    Comments, scripts and styles hold no links; a value may stand in double quotes, single quotes or none."""
+    raw = F.regexp_extract_all(F.regexp_replace(html_col, INVISIBLE, ""), F.lit(ANCHOR), F.lit(1))
+    hrefs = F.transform(raw, lambda h: decode_entities(F.regexp_replace(h, "^[\"']|[\"']$", "")))
     if pattern is not None:
         hrefs = F.filter(hrefs, lambda h: h.rlike(pattern))
-    links = F.array_distinct(hrefs)
+    links = F.array_distinct(F.transform(hrefs, lambda h: absolute_url(h, site)))
     if cap is not None:
         links = F.slice(links, 1, cap)
-    return pages.select(key_col, F.posexplode(links).alias("position", "_href")).select(
-        key_col, "position", absolute_url(F.col("_href"), site).alias("url")
-    )
+    return pages.select(key_col, F.posexplode(links).alias("position", "url"))
+
+
+def decode_entities(text: Column) -> Column:
+    """Named and numeric character references as characters; the ampersand comes last, so nothing is decoded twice."""
+    def numeric(part: Column, i: Column) -> Column:
+        code = F.substring_index(part, ";", 1)
+        number = F.when(F.lower(F.left(code, F.lit(1))) == "x", F.conv(F.substr(code, F.lit(2)), 16, 10)).otherwise(code).cast("int")
+        valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number.cast("bigint")), 8, "0")), "UTF-32")).otherwise("\ufffd")
+        rest = F.substr(part, F.locate(";", part) + 1)
+        return F.when(i == 0, part).when(part.rlike(NUMERIC_ENTITY), F.concat(char, rest)).otherwise(F.concat(F.lit("&#"), part))
+
+    named = reduce(lambda c, e: F.replace(c, F.lit(f"&{e[0]};"), F.lit(e[1])), ENTITIES, text)
+    spelled = F.when(named.contains("&#"), F.array_join(F.transform(F.split(named, "&#"), numeric), "")).otherwise(named)
+    decoded = F.replace(spelled, F.lit("&amp;"), F.lit("&"))
+    return F.when(text.contains("&"), decoded).otherwise(text)
 
 
 def plain_text(fragment: Column) -> Column:
     """Visible text of an HTML fragment: tags dropped, entities decoded, whitespace trimmed."""
     bare = F.regexp_replace(fragment, TAG, "")
-    return strip_space(reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), ENTITIES, bare))
+    return strip_space(decode_entities(bare))
 
 
 def segment_array(html: Column) -> Column:
@@ -54,8 +79,10 @@ def segment_array(html: Column) -> Column:
     return F.regexp_extract_all(closed, F.lit(SEGMENT), F.lit(1))
 
 
-def keep_comment(text: Column, shortest: int = 5) -> Column:
-    """The crawl's rules for text worth keeping."""
+def keep_comment(text: Column, shortest: int = 5, interface_rules: bool = True) -> Column:
+    """The crawl's rules for text worth keeping; one source shows no interface lines and needs the length only."""
+    if not interface_rules:
+        return (text != "") & filters.long_enough(text, shortest)
     return (
         (text != "")
         & filters.no_ui_caption(text)
@@ -67,7 +94,7 @@ def keep_comment(text: Column, shortest: int = 5) -> Column:
 
 
 def extract_segments(
-    pages: DataFrame, shortest: int = 5, skip_first: bool = False, html_col: str = "html"
+    pages: DataFrame, shortest: int = 5, skip_first: bool = False, html_col: str = "html", interface_rules: bool = True,
 ) -> DataFrame:
     """One row per kept text segment with its position on the page.
 
@@ -79,7 +106,7 @@ def extract_segments(
     rows = pages.select(*others, F.posexplode(texts).alias("position", "text"))
     if skip_first:
         rows = rows.filter(F.col("position") > 0)
-    return rows.filter(keep_comment(F.col("text"), shortest))
+    return rows.filter(keep_comment(F.col("text"), shortest, interface_rules))
 
 
 def url_topic(url: Column) -> Column:
@@ -94,11 +121,11 @@ def url_keyword(url: Column) -> Column:
 
 def clean_crawl(
     pages: DataFrame, shortest: int = 5, cap: int = COMMENTS_PER_POST, skip_first: bool = False,
-    url_col: str = "url", key_col: str = "page_id",
+    url_col: str = "url", key_col: str = "page_id", interface_rules: bool = True,
 ) -> DataFrame:
     """Stored pages to comments: segments, duplicates inside a page, cap, duplicates across pages."""
     order = [key_col, "position"]
-    segments = extract_segments(pages, shortest, skip_first)
+    segments = extract_segments(pages, shortest, skip_first, interface_rules=interface_rules)
     unique = dedup_exact_in_group(segments, [url_col], order_by=order)
     capped = cap_per_group(unique, [url_col], cap, order)
     url = F.col(url_col)

@@ -1,57 +1,63 @@
 """Ranking, top-k and share helpers that stay balanced when one key holds most of the rows.
 
-* A per-group limit is a ``row_number() <= k`` filter: Spark then cuts every group to ``k`` rows in
-  each map task before the shuffle. For limits that are not tiny a first round over a salted key
-  keeps the reducer of a hot key from receiving ``k`` rows per map task.
-* An exact rank (no limit) ranks inside order-preserving buckets of a group and adds the number of
-  rows in the lower buckets, so no task ever sorts a whole group.
+* ``first_rows`` and ``limit_rows`` are a ``row_number() <= k`` filter: Spark cuts every group to ``k`` rows in each
+  map task before the shuffle.
+* ``with_rank`` ranks exactly: rows are dealt to blocks by ranges of (keys, order), ranked inside each block, and
+  get the number of the group's rows in earlier blocks added. Blocks hold about ``BLOCK_ROWS`` rows each, so their
+  number follows the table and no task sorts a whole group.
+* ``cap_rows`` cuts groups on a salted key first, which Spark does in the map tasks where it can, and ranks what
+  is left. The plan is the same for every limit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from commentflow.plans.scratch import stored
 
 HASH_PREFIX = 3
-SALTED_FROM = 50
 SALTS = 64
-# Beyond this limit Spark no longer cuts groups in the map tasks, so the salted round has to be finer.
-MAP_SIDE_LIMIT = 1000
-FINE_SALTS = 4096
-QUANTILE_ERROR = 0.001
+BLOCK_ROWS = 1_000_000
 
 
 def _order(order_by: str | Column | Sequence[str | Column]) -> list[str | Column]:
     return list(order_by) if isinstance(order_by, (list, tuple)) else [order_by]
 
 
-def cap_rows(
+def _blocks(df: DataFrame, block_rows: int) -> int:
+    return max(1, -(-df.count() // block_rows))
+
+
+def limit_rows(
     df: DataFrame, keys: Sequence[str | Column], order_by, n: int, rank_col: str | None = None
 ) -> DataFrame:
-    """First ``n`` rows of every group in the given order."""
-    order = _order(order_by)
+    """First ``n`` rows of every group, for groups or limits known to be small."""
     rank = rank_col or "_rank"
-    columns = df.columns
+    window = Window.partitionBy(*keys).orderBy(*_order(order_by))
+    cut = df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
+    return cut.select(*df.columns, *([rank] if rank_col else []))
 
-    def cut(frame: DataFrame, by: list) -> DataFrame:
-        window = Window.partitionBy(*by).orderBy(*order)
-        return frame.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
 
-    if n >= SALTED_FROM:
-        spread = [c for c in order if isinstance(c, str)] or columns
-        salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS if n <= MAP_SIDE_LIMIT else FINE_SALTS))
-        df = cut(df.withColumn("_salt", salt), [*keys, "_salt"]).select(*columns)
-    capped = cut(df, list(keys))
-    return capped.select(*columns, *([rank] if rank_col else []))
+def cap_rows(
+    df: DataFrame, keys: Sequence[str | Column], order_by, n: int, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """First ``n`` rows of every group in the given order."""
+    order = _order(order_by)
+    named = {f"_key{i}": k if isinstance(k, Column) else F.col(k) for i, k in enumerate(keys)}
+    spread = [c for c in order if isinstance(c, str)] or df.columns
+    salt = F.pmod(F.xxhash64(*spread), F.lit(_blocks(df, block_rows)))
+    salted = df.withColumns({**named, "_salt": salt})
+    left = limit_rows(salted, [*named, "_salt"], order, n).drop("_salt")
+    ranked = with_rank(left, list(named), order, out="_rank", block_rows=block_rows)
+    return ranked.filter(F.col("_rank") < n).select(*df.columns)
 
 
 def first_rows(df: DataFrame, keys: Sequence[str | Column], order_by) -> DataFrame:
     """First row of every group."""
-    return cap_rows(df, keys, order_by, 1)
+    return limit_rows(df, keys, order_by, 1)
 
 
 def top_values(df: DataFrame, col: str, n: int, count_col: str = "total") -> DataFrame:
@@ -72,7 +78,7 @@ def top_counted(
     spread = Window.partitionBy(*by, "_salt").orderBy(F.desc(count_col))
     salted = counted.withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(SALTS)))
     contenders = salted.withColumn("_rank", F.rank().over(spread)).filter(F.col("_rank") <= n)
-    return cap_rows(contenders.select(*counted.columns), by, [F.desc(count_col), value], n, rank_col="rank")
+    return limit_rows(contenders.select(*counted.columns), by, [F.desc(count_col), value], n, rank_col="rank")
 
 
 def share_of(value: Column, by: Sequence[str] = ()) -> Column:
@@ -80,32 +86,16 @@ def share_of(value: Column, by: Sequence[str] = ()) -> Column:
     return value * 100.0 / F.sum(value).over(Window.partitionBy(*by))
 
 
-def with_numeric_bucket(df: DataFrame, col: str, buckets: int, out: str) -> DataFrame:
-    """Add an order-preserving bucket number of a numeric column, buckets being roughly equal in size.
-
-    The borders are approximate quantiles: at most ``buckets`` numbers, from a mergeable sketch.
-    """
-    steps = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(df.approxQuantile(col, steps, min(QUANTILE_ERROR, 0.25 / buckets)))) if steps else []
-    if not cuts:
-        return df.withColumn(out, F.lit(0))
-    bucketizer = Bucketizer(
-        splits=[float("-inf"), *cuts, float("inf")], inputCol="_bucket_key", outputCol="_bucket_value"
-    )
-    marked = bucketizer.transform(df.withColumn("_bucket_key", F.col(col).cast("double")))
-    return marked.withColumn(out, F.col("_bucket_value").cast("int")).drop("_bucket_key", "_bucket_value")
-
-
 def with_bucketed_rank(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column], bucket: Column, out: str = "rank"
 ) -> DataFrame:
     """Exact 0-based rank inside ``keys``, given a bucket that never decreases along the order.
 
     The offsets have one row per key and bucket and read only those columns. Keys are compared as one
-    struct: that treats nulls as equal and lets the join reuse the partitioning of the window. The input
-    is read more than once and has to give the same rows each time.
+    struct, and so are buckets: that treats nulls as equal and lets the join reuse the partitioning of the
+    window. The input is read more than once and has to give the same rows each time.
     """
-    marked = df.withColumns({"_key": F.struct(F.lit(0).alias("_"), *keys), "_bucket": bucket})
+    marked = df.withColumns({"_key": F.struct(F.lit(0).alias("_"), *keys), "_bucket": F.struct(bucket.alias("_"))})
     lower = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         marked.groupBy("_key", "_bucket")
@@ -120,19 +110,27 @@ def with_bucketed_rank(
 
 
 def with_rank(
-    df: DataFrame, keys: Sequence[str] = (), order_by: str = "id", buckets: int | None = None, out: str = "rank"
+    df: DataFrame, keys: Sequence[str] = (), order_by="id", out: str = "rank", block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """Exact 0-based rank by a unique, non-null column, inside ``keys`` or over the whole table.
+    """Exact 0-based rank in the order of any sortable columns, inside ``keys`` or over the whole table.
 
-    A numeric column is ranked in its own order. Other values, such as random string ids, are ranked
-    in the order of their hash, which spreads evenly whatever they look like.
+    Nulls come first and are ranked like any value; rows equal in the whole order share out their ranks
+    arbitrarily. The ranked rows are written to the shared folder, so each keeps its block and rank.
     """
-    if isinstance(df.schema[order_by].dataType, T.NumericType):
-        marked = with_numeric_bucket(df, order_by, buckets or _default_buckets(df), "_cut")
-        return with_bucketed_rank(marked, keys, [order_by], F.col("_cut"), out).drop("_cut")
-    hashed = df.withColumn("_hash", F.md5(F.col(order_by).cast("string")))
-    return with_bucketed_rank(hashed, keys, ["_hash", order_by], F.substring("_hash", 1, HASH_PREFIX), out).drop("_hash")
-
-
-def _default_buckets(df: DataFrame) -> int:
-    return max(2, min(1024, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    order = _order(order_by)
+    dealt = df.repartitionByRange(_blocks(df, block_rows), *keys, *order).withColumn("_block", F.spark_partition_id())
+    inside = Window.partitionBy("_block", *keys).orderBy(*order)
+    ranked = stored(dealt.withColumn("_inside", F.row_number().over(inside) - 1), "ranked")
+    key = F.struct(F.lit(0).alias("_"), *keys)
+    lower = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    # Only the first group of a block can have rows in earlier blocks, so few offsets are left.
+    offsets = (
+        ranked.groupBy(key.alias("_key"), "_block")
+        .agg(F.count("*").alias("_rows"))
+        .select("_key", "_block", F.sum("_rows").over(lower).alias("_offset"))
+        .filter("_offset > 0")
+    )
+    marked = ranked.withColumn("_key", key)
+    return marked.join(offsets, ["_key", "_block"], "left").select(
+        *df.columns, (F.col("_inside") + F.coalesce("_offset", F.lit(0))).cast("bigint").alias(out)
+    )

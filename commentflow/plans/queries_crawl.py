@@ -6,39 +6,64 @@ from pyspark.sql import functions as F
 
 from commentflow.operators import corpus, pages
 from commentflow.operators.inference import lexicon_factory
+from commentflow.operators.pages import ANCHOR, INVISIBLE
 from commentflow.operators.sampling import train_test_split
 from commentflow.plans.registry import query
 from commentflow.plans.scratch import new_dir
-from commentflow.plans.tables import LEXICON, Tables
+from commentflow.plans.tables import LEXICON, Tables, entities_sql
 from commentflow.streaming import counts, ingest, moderation
 from commentflow.streaming.sinks import read_sink
 
 ONCE = {"availableNow": True}
 
 
-@query("extract_anchors", r"""
-with a as (select page_id, list_filter(regexp_extract_all(html, '(?is)<a\s[^>]*?href="([^"]*)"', 1), lambda h: starts_with(h, '/')) as hrefs
-           from pages),
-e as (select page_id, unnest(hrefs) as href, unnest(range(len(hrefs))) as pos from a),
-d as (select page_id, href, row_number() over (partition by page_id order by min(pos)) - 1 as position from e group by page_id, href)
-select page_id, cast(position as int) as position, concat('https://www.tiktok.com', href) as url from d where position < 10""", ())
+def _anchors_sql(keep: str, cap: str) -> str:
+    href = entities_sql("regexp_replace(h, '^[\"'']|[\"'']$', '', 'g')")
+    pattern = ANCHOR.replace("'", "''")
+    return f"""
+with a as (select page_id, regexp_extract_all(regexp_replace(html, '{INVISIBLE}', '', 'g'), '{pattern}', 1) as raw from pages),
+h as (select page_id, list_transform(raw, lambda h: {href}) as hrefs from a),
+k as (select page_id, list_filter(hrefs, lambda h: {keep}) as hrefs from h),
+e as (select page_id, unnest(hrefs) as href, unnest(range(len(hrefs))) as pos from k),
+u as (select page_id, case when starts_with(href, 'http') then href else concat('https://www.tiktok.com', href) end as url, pos from e),
+d as (select page_id, url, row_number() over (partition by page_id order by min(pos)) - 1 as position from u group by page_id, url)
+select page_id, cast(position as int) as position, url from d{cap}"""
+
+
+@query("extract_anchors", _anchors_sql("true", ""), ())
+def _(t: Tables):
+    return pages.extract_anchors(t.table("pages"))
+
+
+@query("extract_anchors_rooted", _anchors_sql("starts_with(h, '/')", " where position < 10"), ())
+def _(t: Tables):
+    return pages.extract_anchors(t.table("pages"), pattern="^/", cap=10)
+
+
+@query("extract_segments", "select page_id, url, cast(position as int) as position, text from segments", ("paragraphs", "segments"))
 def _(t: Tables):
-    return pages.extract_anchors(t.texts("pages"), pattern="^/", cap=10)
+    return pages.extract_segments(t.table("pages"))
 
 
-@query("extract_segments", "select page_id, url, cast(position as int) as position, text from segments", ("segments",))
+@query("clean_crawl", "select text, topic, keyword, url from crawl", ("paragraphs", "segments", "crawl"))
 def _(t: Tables):
-    return pages.extract_segments(t.texts("pages"))
+    return pages.clean_crawl(t.table("pages"))
 
 
-@query("clean_crawl", "select text, topic, keyword, url from crawl", ("segments", "crawl"))
+@query("clean_crawl_plain", """
+with s as (select * from paragraphs where length(text) >= 3),
+once as (select *, row_number() over (partition by url, text order by page_id, position) as r1 from s),
+capped as (select *, row_number() over (partition by url order by page_id, position) as r2 from once where r1 = 1),
+firsts as (select *, row_number() over (partition by lower(left(text, 80)) order by page_id, position) as r3 from capped where r2 <= 500)
+select text, regexp_extract(url, '^https?://([^/?#]+)', 1) as topic, regexp_extract(url, '^https?://[^/?#]+/([^/?#]*)', 1) as keyword, url
+from firsts where r3 = 1""", ("paragraphs",))
 def _(t: Tables):
-    return pages.clean_crawl(t.texts("pages"))
+    return pages.clean_crawl(t.table("pages"), shortest=3, interface_rules=False)
 
 
-@query("crawl_totals", "select topic, keyword, url, count(*) as total from crawl group by all", ("segments", "crawl"))
+@query("crawl_totals", "select topic, keyword, url, count(*) as total from crawl group by all", ("paragraphs", "segments", "crawl"))
 def _(t: Tables):
-    return pages.crawl_totals(pages.clean_crawl(t.texts("pages")))
+    return pages.crawl_totals(pages.clean_crawl(t.table("pages")))
 
 
 # ---- corpus -------------------------------------------------------------------------------
@@ -52,7 +77,7 @@ j as (select rk // 1000 as batch, flatten(list(words order by rk)) as toks from
 @query("tokenize_truncate", f"""
 select id, array_to_string({_WORDS}, ' ') as tokens, cast(len({_WORDS}) as int) as token_count from posts""")
 def _(t: Tables):
-    rows = corpus.tokenize_truncate(t.posts(text_work=True).select("id", "text"))
+    rows = corpus.tokenize_truncate(t.posts().select("id", "text"))
     return rows.select("id", F.array_join("tokens", " ").alias("tokens"), "token_count")
 
 
@@ -63,7 +88,7 @@ n as (select batch, word, row_number() over (partition by batch order by rk, pos
 select batch, cast(seq // 256 as int) as block, string_agg(word, ' ' order by seq) as tokens
 from n group by batch, seq // 256 having count(*) = 256""")
 def _(t: Tables):
-    packed = corpus.pack_chunks(t.posts(text_work=True).select("id", "text"))
+    packed = corpus.pack_chunks(t.posts().select("id", "text"))
     return packed.select("batch", "block", F.array_join("tokens", " ").alias("tokens"))
 
 
@@ -73,7 +98,7 @@ select (select count(*) from w) as samples, (select cast(sum(len(words)) as bigi
        count(*) filter (where h >= 1) as train_rows, count(*) filter (where h < 1) as test_rows
 from (select cast('0x' || substr(md5(cast(id as varchar)), 1, 8) as bigint) % 100 as h from posts)""")
 def _(t: Tables):
-    return corpus.corpus_stats(t.posts(text_work=True).select("id", "text"))
+    return corpus.corpus_stats(t.posts().select("id", "text"))
 
 
 @query("train_test_split", "select id, split_set from split_posts", ("posts", "split_posts"))

@@ -16,7 +16,7 @@ _TOKENS = r"len(list_filter(string_split_regex(text, '\s+'), lambda x: x <> ''))
 
 
 def _split(t: Tables):
-    return train_test_split(t.posts(text_work=True), 20)
+    return train_test_split(t.posts(), 20)
 
 
 @query("label_distribution", f"select label, count(*) as total, {_NAME} from posts group by label")
@@ -113,7 +113,12 @@ def _(t: Tables):
     return dashboard.crawl_timeline(t.posts())
 
 
-@query("topic_distribution", "select topic, count(*) as total from posts group by topic order by total desc, topic limit 10")
+@query("topic_distribution", "select topic, count(*) as total from posts group by topic")
+def _(t: Tables):
+    return dashboard.topic_distribution(t.posts())
+
+
+@query("topic_distribution_top", "select topic, count(*) as total from posts group by topic order by total desc, topic limit 10")
 def _(t: Tables):
     return dashboard.topic_distribution(t.posts(), top_n=10)
 
@@ -339,24 +344,24 @@ select {keys}n, ngram, count, cast(rank as int) as rank from (
 
 @query("ngrams_global", _ngram_sql("", (1, 2, 3)))
 def _(t: Tables):
-    return ngrams.ngrams_global(t.posts(text_work=True))
+    return ngrams.ngrams_global(t.posts())
 
 
 @query("ngrams_by_label", _ngram_sql("label", (1, 2, 3)))
 def _(t: Tables):
-    return ngrams.ngrams_by_label(t.posts(text_work=True))
+    return ngrams.ngrams_by_label(t.posts())
 
 
 @query("ngrams_by_source", _ngram_sql("source", (1, 2, 3)))
 def _(t: Tables):
-    return ngrams.ngrams_by_source(t.posts(text_work=True))
+    return ngrams.ngrams_by_source(t.posts())
 
 
 @query("unigrams_label_source", _ngram_sql("label, source", (1,)))
 def _(t: Tables):
-    return ngrams.unigrams_label_source(t.posts(text_work=True))
+    return ngrams.unigrams_label_source(t.posts())
 
 
 @query("unigrams_topic_label", _ngram_sql("topic, label", (1,)))
 def _(t: Tables):
-    return ngrams.unigrams_topic_label(t.posts(text_work=True))
+    return ngrams.unigrams_topic_label(t.posts())

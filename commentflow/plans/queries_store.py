@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from commentflow.operators import dedup, filters, joins
 from commentflow.plans.registry import query
 from commentflow.plans.scratch import new_dir
+from commentflow.plans.store import CommentStore
 from commentflow.plans.tables import MODELS, Tables
 from commentflow.functions import labels as label_functions
 from commentflow.operators import evaluation
@@ -34,10 +35,10 @@ def _(t: Tables):
     return readers.scan_all(t.spark, t.store_root())
 
 
-@query("scan_processed", f"select {_STORED}, split_set from split_posts where label >= 0", ("posts", "split_posts"))
+@query("scan_processed", f"select {_STORED}, split_set from split_posts", ("posts", "split_posts"))
 def _(t: Tables):
     root = new_dir(t.spark, "processed")
-    rows = train_test_split(t.posts().filter(F.col("label") >= 0), 20)
+    rows = train_test_split(t.posts(), 20)
     rows.withColumn("id", F.col("id").cast("string")).select(*POST_COLUMNS, "split_set").write.parquet(root)
     return readers.scan_processed(t.spark, root)
 
@@ -103,10 +104,67 @@ def _(t: Tables):
     return filters.query_by_date(t.posts(), "2024-02-01", "2024-03-15").select(*POST_COLUMNS)
 
 
-@query("query_by_platform",
-       f"select {_ALL} from posts where platform = 'threads' and label = 0 order by id limit 100")
+@query("query_by_platform", f"select {_ALL} from posts where platform = 'threads'")
 def _(t: Tables):
-    return filters.query_by_platform(t.posts(), "threads", label=0, limit=100).select(*POST_COLUMNS)
+    return filters.query_by_platform(t.posts(), "threads").select(*POST_COLUMNS)
+
+
+# The same filters over the partitioned store, with their optional arguments.
+
+def _store(t: Tables) -> CommentStore:
+    return CommentStore(t.spark, t.store_root())
+
+
+@query("store_query_by_platform_label_limit",
+       f"select {_STORED} from posts where platform = 'threads' and label = 0 order by cast(id as varchar) limit 100")
+def _(t: Tables):
+    return _store(t).query_by_platform("threads", label=0, limit=100).select(*POST_COLUMNS)
+
+
+@query("store_query_by_label_platform", f"select {_STORED} from posts where label = 1 and platform = 'tiktok'")
+def _(t: Tables):
+    return _store(t).query_by_label(1, platform="tiktok").select(*POST_COLUMNS)
+
+
+@query("store_query_by_date_platform_label", f"""
+select {_STORED} from posts where crawl_date between date '2024-02-01' and date '2024-03-15' and platform = 'tiktok' and label = 0""")
+def _(t: Tables):
+    return _store(t).query_by_date("2024-02-01", "2024-03-15", platform="tiktok", label=0).select(*POST_COLUMNS)
+
+
+@query("store_query_by_one_day", f"select {_STORED} from posts where crawl_date = date '2024-02-01'")
+def _(t: Tables):
+    return _store(t).query_by_date("2024-02-01").select(*POST_COLUMNS)
+
+
+@query("store_query_by_topic_platform_label", f"select {_STORED} from posts where topic = 'src3' and platform = 'threads' and label = 0")
+def _(t: Tables):
+    return _store(t).query_by_topic("src3", platform="threads", label=0).select(*POST_COLUMNS)
+
+
+@query("store_query_by_keyword_platform", f"select {_STORED} from posts where contains(lower(keyword), 'src5') and platform = 'threads'")
+def _(t: Tables):
+    return _store(t).query_by_keyword("src5", platform="threads", exact=False).select(*POST_COLUMNS)
+
+
+@query("store_label_distribution_platform",
+       "select label, count(*) as total from posts where platform = 'tiktok' group by label")
+def _(t: Tables):
+    return _store(t).label_distribution(platform="tiktok").select("label", "total")
+
+
+@query("store_daily_count_range", """
+select crawl_date, platform, count(*) as total from posts
+where platform = 'tiktok' and crawl_date between date '2024-01-10' and date '2024-02-20' group by crawl_date, platform""")
+def _(t: Tables):
+    return _store(t).daily_count("2024-01-10", "2024-02-20", platform="tiktok").select("crawl_date", "platform", "total")
+
+
+@query("store_comment_key", """
+with k as (select cast(id as varchar) as id, coalesce(nullif(regexp_extract(url, '/video/(\\d+)', 1), ''), 'unknown') as video from posts)
+select id, concat(video, '_', row_number() over (partition by video order by id) - 1) as comment_id from k""".replace("\\\\", "\\"))
+def _(t: Tables):
+    return dedup.comment_key(_store(t).comments().select("id", "url")).select("id", "comment_id")
 
 
 @query("query_by_topic", f"select {_ALL} from posts where lower(topic) = 'src3'")
@@ -139,7 +197,7 @@ def _(t: Tables):
 @query("drop_missing_text", f"""
 select id, lower({_CUT}) as text from posts where text is not null and {_CUT} <> ''""")
 def _(t: Tables):
-    return filters.drop_missing_text(t.posts(text_work=True)).select("id", "text")
+    return filters.drop_missing_text(t.posts()).select("id", "text")
 
 
 @query("training_rows", "select text, cast(label as int) as label from posts where text is not null and label is not null")
@@ -152,7 +210,7 @@ _LINES = "with lines as (select doc_id, unnest(string_split(text, chr(10))) as t
 
 
 def _lines(t: Tables):
-    return t.texts("documents").select("doc_id", F.explode(F.split("text", "\n")).alias("text"))
+    return t.table("documents").select("doc_id", F.explode(F.split("text", "\n")).alias("text"))
 
 
 @query("min_length", f"{_LINES} select doc_id, text from lines where length(text) >= 5", ())
@@ -162,25 +220,24 @@ def _(t: Tables):
 
 @query("drop_ui_labels", f"""{_LINES}
 select doc_id, text from lines
-where text not in ('Trả lời', 'Xem thêm', 'Thích', 'Phản hồi', 'Chia sẻ', 'Xem bản dịch', 'Xem tất cả',
-                   'Đăng lại', 'Hàng đầu', 'Xem hoạt động', 'Theo dõi')""", ())
+where text not in ({", ".join(f"'{c}'" for c in filters.UI_CAPTIONS)})""", ())
 def _(t: Tables):
     return filters.drop_ui_labels(_lines(t))
 
 
-@query("drop_reply_lines", f"{_LINES} select doc_id, text from lines where not starts_with(text, 'Đang trả lời')", ())
+@query("drop_reply_lines", f"{_LINES} select doc_id, text from lines where not starts_with(text, '{filters.REPLY_PREFIX}')", ())
 def _(t: Tables):
     return filters.drop_reply_lines(_lines(t))
 
 
-@query("drop_relative_time", rf"""{_LINES}
-select doc_id, text from lines where not regexp_matches(text, '^\d+\s*(giờ|phút|ngày|tuần|tháng|giây)')""", ())
+@query("drop_relative_time", f"""{_LINES}
+select doc_id, text from lines where not regexp_matches(text, '{filters.RELATIVE_TIME}')""", ())
 def _(t: Tables):
     return filters.drop_relative_time(_lines(t))
 
 
-@query("drop_counters", rf"""{_LINES}
-select doc_id, text from lines where not regexp_matches(lower(text), '^[\d,./km\s]+$')""", ())
+@query("drop_counters", f"""{_LINES}
+select doc_id, text from lines where not regexp_matches(lower(text), '{filters.COUNTER}')""", ())
 def _(t: Tables):
     return filters.drop_counters(_lines(t))
 
@@ -209,7 +266,7 @@ select n.id, n.topic, n.keyword, n.url from keyed n
 where not exists (select 1 from keyed s where s.label >= 0 and s.cut = n.cut and s.topic = n.topic
                   and s.keyword = n.keyword and s.url = n.url)""")
 def _(t: Tables):
-    posts = t.posts(text_work=True)
+    posts = t.posts()
     return joins.incremental_anti(posts, posts.filter(F.col("label") >= 0)).select("id", "topic", "keyword", "url")
 
 

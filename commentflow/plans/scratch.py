@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -16,3 +16,10 @@ def scratch_root(spark: SparkSession) -> str:
 def new_dir(spark: SparkSession, name: str) -> str:
     """A path nobody has used yet; nothing is created."""
     return f"{scratch_root(spark)}/{name}-{uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write to a new folder below the shared one and read it back: later plans start at the files."""
+    path = new_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,11 +7,13 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from commentflow.functions.text import SPACE_CLASS
+from commentflow.operators.filters import COUNTER, RELATIVE_TIME, REPLY_PREFIX, UI_CAPTIONS
+from commentflow.operators.pages import ENTITIES, INVISIBLE, NUMERIC_ENTITY, SEGMENT, TAG
 from commentflow.operators.sampling import stratified_kfold
 from commentflow.plans.scratch import scratch_root
 from commentflow.schema import CLASSES
-from commentflow.sources.paths import path_exists
-from commentflow.sources.readers import read_spread
+from commentflow.sources.paths import parquet_or_none
 from commentflow.sources.writers import write_comments
 
 MODELS = ("model_a", "model_b", "llm")
@@ -20,6 +22,21 @@ LEXICON = {
     "scum": 2, "trash": 2, "worthless": 2, "pathetic": 2, "disgusting": 2,
 }
 
+TAGLESS = f"regexp_replace(raw, '{TAG}', '', 'g')"
+
+
+def entities_sql(expr: str) -> str:
+    """Character references decoded in the checking dialect."""
+    for name, char in ENTITIES:
+        expr = f"replace({expr}, '&{name};', '{char.replace(chr(39), chr(39) * 2)}')"
+    code = "string_split(p, ';')[1]"
+    number = f"cast(case when lower({code}[1]) = 'x' then concat('0x', {code}[2:]) else {code} end as int)"
+    char = f"case when {number} between 1 and 55295 or {number} between 57344 and 1114111 then chr({number}) else chr(65533) end"
+    return (
+        f"replace(array_to_string(list_transform(string_split({expr}, '&#'), lambda p, i: case when i = 1 then p "
+        f"when regexp_matches(p, '{NUMERIC_ENTITY}') then concat({char}, substr(p, strpos(p, ';') + 1)) else concat('&#', p) end), ''), '&amp;', '&')")
+
+
 # The same views in the checking dialect.
 CTES = {
     "posts": """
@@ -54,28 +71,21 @@ union all select id, label, fold, 'llm', llm from folds""",
 select *, case when cast('0x' || substr(md5(cast(id as varchar)), 1, 8) as bigint) % 100 < 20
                then 'test' else 'train' end as split_set
 from posts""",
-    "segments": r"""
-select page_id, url, position, text from (
-  select page_id, url, position,
-         regexp_replace(replace(replace(replace(replace(replace(replace(
-           regexp_replace(raw, '(?s)<[^>]*>', '', 'g'),
-           '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'),
-           '^\s+|\s+$', '', 'g') as text
+    "paragraphs": f"""
+select page_id, url, position, regexp_replace({entities_sql(TAGLESS)}, '^[{SPACE_CLASS}]+|[{SPACE_CLASS}]+$', '', 'g') as text
+from (
+  select page_id, url, unnest(parts) as raw, unnest(range(len(parts))) as position
   from (
-    select page_id, url, unnest(parts) as raw, unnest(range(len(parts))) as position
-    from (
-      select page_id, url, regexp_extract_all(
-        regexp_replace(
-          regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', '', 'g'),
-          '(?i)<p(\s[^>]*)?>', '</p><p>', 'g'),
-        '(?is)<p(?:\s[^>]*)?>(.*?)</p>', 1) as parts
-      from pages)))
+    select page_id, url, regexp_extract_all(
+      regexp_replace(regexp_replace(html, '{INVISIBLE}', '', 'g'), '(?i)<p(\\s[^>]*)?>', '</p><p>', 'g'), '{SEGMENT}', 1) as parts
+    from pages))""",
+    "segments": f"""
+select page_id, url, position, text from paragraphs
 where text <> ''
-  and text not in ('Trả lời', 'Xem thêm', 'Thích', 'Phản hồi', 'Chia sẻ', 'Xem bản dịch', 'Xem tất cả',
-                   'Đăng lại', 'Hàng đầu', 'Xem hoạt động', 'Theo dõi')
-  and not starts_with(text, 'Đang trả lời')
-  and not regexp_matches(text, '^\d+\s*(giờ|phút|ngày|tuần|tháng|giây)')
-  and not regexp_matches(lower(text), '^[\d,./km\s]+$')
+  and text not in ({", ".join(f"'{c}'" for c in UI_CAPTIONS)})
+  and not starts_with(text, '{REPLY_PREFIX}')
+  and not regexp_matches(text, '{RELATIVE_TIME}')
+  and not regexp_matches(lower(text), '{COUNTER}')
   and length(text) >= 5""",
 }
 CRAWL_CTES = {
@@ -113,13 +123,9 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def texts(self, name: str) -> DataFrame:
-        """A table about to go through per-row text work."""
-        return read_spread(self.spark, self.path(name))
-
-    def posts(self, text_work: bool = False) -> DataFrame:
+    def posts(self) -> DataFrame:
         """Comments: documents with a label where one was given."""
-        documents = self.texts("documents") if text_work else self.table("documents")
+        documents = self.table("documents")
         label = (
             F.when(F.col("toxic").isNull() & F.col("quality").isNull(), -1)
             .when((F.col("toxic") == 1) & (F.col("quality") == 0), 2)
@@ -171,7 +177,7 @@ class Tables:
         if key not in _STORES:
             digest = hashlib.md5(self.sf_dir.encode()).hexdigest()[:12]
             root = f"{scratch_root(self.spark)}/store-{digest}"
-            if not path_exists(self.spark, f"{root}/_SUCCESS"):
+            if parquet_or_none(self.spark, root) is None:
                 posts = self.posts().withColumn("id", F.col("id").cast("string"))
                 write_comments(posts, root, mode="overwrite")
             _STORES[key] = root

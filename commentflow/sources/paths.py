@@ -1,17 +1,26 @@
-"""File-system questions asked before a plan is built."""
+"""Reads of folders that may not be there."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+_MISSING = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists on whatever file system its scheme names."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
-
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes below a path, from one request to its file system."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(hadoop_path).getLength()
+def parquet_or_none(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, base: str | None = None
+) -> DataFrame | None:
+    """The Parquet files below a path, or None when the path does not exist."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    if base is not None:
+        reader = reader.option("basePath", base)
+    try:
+        df = reader.parquet(path)
+        df.schema  # noqa: B018  a remote session looks at the path only now
+    except AnalysisException as error:
+        if (error.getCondition() or "").split(".")[0] in _MISSING:
+            return None
+        raise
+    return df

@@ -15,41 +15,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from commentflow.schema import CRAWL_CSV_SCHEMA, INGEST_CSV_SCHEMA, PLATFORMS, PROCESSED_SCHEMA, RAW_SCHEMA
-from commentflow.sources.paths import path_bytes, path_exists
-
-SMALLEST_SPLIT = 4 * 1024 * 1024
+from commentflow.sources.paths import parquet_or_none
 
 _DATE = T.StructField("crawl_date", T.DateType(), True)
 _PLATFORM = T.StructField("platform", T.StringType(), True)
 
 
-def _hive_dir(root: str, platform: str) -> str:
-    return f"{root.rstrip('/')}/platform={platform}"
-
-
-def _plain_dir(root: str, platform: str) -> str:
-    return f"{root.rstrip('/')}/{platform}"
-
-
-def _read_hive(spark: SparkSession, root: str, platforms: Sequence[str], schema: T.StructType) -> DataFrame:
+def _read_hive(spark: SparkSession, root: str, platforms: Sequence[str], schema: T.StructType) -> DataFrame | None:
+    """All given platforms that have a ``platform=`` directory, as one relation."""
     full = T.StructType([*schema.fields, _PLATFORM, _DATE])
-    paths = [_hive_dir(root, p) for p in platforms]
-    return spark.read.schema(full).option("basePath", root).parquet(*paths)
+    paths = [f"{root.rstrip('/')}/platform={p}" for p in platforms]
+    there = [path for path in paths if parquet_or_none(spark, path, full, base=root) is not None]
+    return spark.read.schema(full).option("basePath", root).parquet(*there) if there else None
 
 
-def _read_plain(spark: SparkSession, root: str, platform: str, schema: T.StructType) -> DataFrame:
-    columns = [*schema.fieldNames(), "platform", "crawl_date"]
-    df = spark.read.schema(T.StructType([*schema.fields, _DATE])).parquet(_plain_dir(root, platform))
-    return df.withColumn("platform", F.lit(platform)).select(columns)
+def _read_plain(spark: SparkSession, root: str, platform: str, schema: T.StructType) -> DataFrame | None:
+    df = parquet_or_none(spark, f"{root.rstrip('/')}/{platform}", T.StructType([*schema.fields, _DATE]))
+    if df is None:
+        return None
+    return df.withColumn("platform", F.lit(platform)).select(*schema.fieldNames(), "platform", "crawl_date")
 
 
 def scan_platform(
     spark: SparkSession, root: str, platform: str, schema: T.StructType = RAW_SCHEMA
 ) -> DataFrame:
-    """All comments of one platform with ``platform`` and ``crawl_date``."""
-    if path_exists(spark, _hive_dir(root, platform)):
-        return _read_hive(spark, root, [platform], schema)
-    return _read_plain(spark, root, platform, schema)
+    """All comments of one platform with ``platform`` and ``crawl_date``, from both layouts."""
+    return scan_all(spark, root, [platform], schema)
 
 
 def scan_all(
@@ -59,10 +50,8 @@ def scan_all(
     schema: T.StructType = RAW_SCHEMA,
 ) -> DataFrame:
     """Comments of every platform that has data; an error when none has."""
-    hive = [p for p in platforms if path_exists(spark, _hive_dir(root, p))]
-    plain = [p for p in platforms if p not in hive and path_exists(spark, _plain_dir(root, p))]
-    parts = [_read_hive(spark, root, hive, schema)] if hive else []
-    parts += [_read_plain(spark, root, p, schema) for p in plain]
+    found = [_read_hive(spark, root, platforms, schema), *(_read_plain(spark, root, p, schema) for p in platforms)]
+    parts = [df for df in found if df is not None]
     if not parts:
         raise ValueError(f"no comments of {tuple(platforms)} under {root}")
     return reduce(DataFrame.unionByName, parts)
@@ -72,20 +61,7 @@ def scan_processed(
     spark: SparkSession, root: str, schema: T.StructType = PROCESSED_SCHEMA
 ) -> DataFrame | None:
     """The processed set with its ``split_set``, or None when it was never written."""
-    if not path_exists(spark, root):
-        return None
-    return spark.read.schema(schema).parquet(root)
-
-
-def read_spread(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet table with work for every core.
-
-    Splits are never smaller than 4 MiB or one row group. A table below that size per core would leave
-    cores idle through per-row work like text clean-up, so it is dealt out first; a larger one is read
-    as it is.
-    """
-    df, cores = spark.read.parquet(path), spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if path_bytes(spark, path) < cores * SMALLEST_SPLIT else df
+    return parquet_or_none(spark, root, schema)
 
 
 def read_csv(

@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from commentflow.operators.joins import DIGEST, STORED_KEY, row_digest, unknown_rows
-from commentflow.sources.paths import path_exists
-from commentflow.streaming.sinks import PRODUCTION_TRIGGER, read_sink, write_batch
+from commentflow.sources.paths import parquet_or_none
+from commentflow.streaming.sinks import PRODUCTION_TRIGGER, write_batch
 
 
 def stream_ingest_dedup(
@@ -30,14 +30,14 @@ def stream_ingest_dedup(
     no text. A batch compares itself with lower batch numbers only, so replaying it gives the same
     rows.
     """
-    digest_only = T.StructType([T.StructField(DIGEST, T.BinaryType())])
+    digest_only = T.StructType([T.StructField(DIGEST, T.BinaryType()), T.StructField("batch_id", T.LongType())])
 
     def load(batch: DataFrame, batch_id: int) -> None:
         fresh = batch.withColumn(DIGEST, row_digest(keys, text_col))
         known = [] if stored is None else [stored.select(row_digest(keys, text_col).alias(DIGEST))]
-        if path_exists(batch.sparkSession, sink):
-            earlier = read_sink(batch.sparkSession, sink, digest_only).filter(F.col("batch_id") < batch_id)
-            known.append(earlier.select(DIGEST))
+        earlier = parquet_or_none(batch.sparkSession, sink, digest_only)
+        if earlier is not None:
+            known.append(earlier.filter(F.col("batch_id") < batch_id).select(DIGEST))
         unseen = unknown_rows(fresh, reduce(DataFrame.unionByName, known)) if known else fresh
         write_batch(unseen, sink, batch_id)
 

@@ -30,7 +30,7 @@ def test_no_cross_join_and_no_unexpected_python(spark, key):
         assert "EvalPython" not in plan and "InPandas" not in plan and "InArrow" not in plan
 
 
-@pytest.mark.parametrize("key", ["cap_per_group", "dedup_prefix80", "dedup_exact_in_group", "ngrams_by_label"])
+@pytest.mark.parametrize("key", ["dedup_prefix80", "dedup_exact_in_group", "ngrams_by_label"])
 def test_group_limits_are_applied_before_the_shuffle(spark, key):
     plan = plan_of(REGISTRY[key](spark, SF_DIR))
     assert re.search(r"WindowGroupLimit .*Partial", plan)
@@ -58,21 +58,16 @@ def test_summary_counts_the_rows_once(spark):
     assert "ReusedExchange" in plan_of(df)
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster():
-    class Conf:
-        @staticmethod
-        def get(_, default):
-            return default
-
-    class Context:
-        master, applicationId = "spark://host:7077", "app"
-
-        @staticmethod
-        def getCheckpointDir():
-            return None
+def test_scratch_is_shared():
+    class Conf(dict):
+        pass
 
     class Session:
-        conf, sparkContext = Conf, Context
+        class sparkContext:
+            applicationId = "app"
+
+        conf = Conf({"spark.sql.warehouse.dir": "s3a://lake/warehouse"})
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch.scratch_root(Session)
+    assert scratch.scratch_root(Session) == "s3a://lake/warehouse/_scratch/commentflow-app"
+    Session.conf["spark.checkpoint.dir"] = "hdfs://shared/"
+    assert scratch.scratch_root(Session) == "hdfs://shared/commentflow-app"

@@ -22,39 +22,49 @@ def skewed(spark):
     return rows, df
 
 
-@pytest.mark.parametrize("n", [1, 3, 49, 50, 500, 2_000])
-def test_cap_rows(skewed, n):
+@pytest.mark.parametrize("block_rows", [100, 1_000_000])
+@pytest.mark.parametrize("n", [1, 50, 999, 1_000, 5_000])
+def test_cap_rows(skewed, n, block_rows):
     rows, df = skewed
     groups = defaultdict(list)
     for i, url, _ in rows:
         groups[url].append(i)
     expected = {i for ids in groups.values() for i in sorted(ids)[:n]}
-    assert {r.id for r in dedup.cap_per_group(df, cap=n).collect()} == expected
-    descending = ranking.cap_rows(df, ["url"], F.desc("id"), n)
+    assert {r.id for r in ranking.cap_rows(df, ["url"], "id", n, block_rows).collect()} == expected
+    descending = ranking.cap_rows(df, ["url"], F.desc("id"), n, block_rows)
     assert {r.id for r in descending.collect()} == {i for ids in groups.values() for i in sorted(ids)[-n:]}
 
 
-@pytest.mark.parametrize("buckets", [1, 2, 16, 200])
-def test_exact_rank_inside_groups_and_overall(skewed, buckets):
+@pytest.mark.parametrize("block_rows", [40, 500, 1_000_000])
+def test_exact_rank_inside_groups_and_overall(skewed, block_rows):
     rows, df = skewed
     groups = defaultdict(list)
     for i, url, _ in rows:
         groups[url].append(i)
     expected = {i: k for ids in groups.values() for k, i in enumerate(sorted(ids))}
-    got = {r.id: r["rank"] for r in ranking.with_rank(df, ["url"], "id", buckets).collect()}
+    got = {r.id: r["rank"] for r in ranking.with_rank(df, ["url"], "id", block_rows=block_rows).collect()}
     assert got == expected
-    overall = {r.id: r["rank"] for r in ranking.with_rank(df, (), "id", buckets).collect()}
+    overall = {r.id: r["rank"] for r in ranking.with_rank(df, (), "id", block_rows=block_rows).collect()}
     assert overall == {i: k for k, i in enumerate(sorted(i for i, _, _ in rows))}
 
 
-def test_string_ids_are_ranked_completely(skewed):
+def test_string_ids_are_ranked_in_their_order(spark, skewed):
     rows, df = skewed
-    strings = df.withColumn("id", F.concat(F.lit("id-"), F.col("id").cast("string")))
-    ranks = defaultdict(list)
-    for r in ranking.with_rank(strings, ["url"]).collect():
-        ranks[r.url].append(r["rank"])
-    assert all(sorted(v) == list(range(len(v))) for v in ranks.values())
-    assert sum(map(len, ranks.values())) == len(rows)
+    strings = df.withColumn("id", F.format_string("%08d", "id"))
+    expected = {r.id: r["rank"] for r in ranking.with_rank(df, ["url"]).collect()}
+    got = {int(r.id): r["rank"] for r in ranking.with_rank(strings, ["url"], block_rows=300).collect()}
+    assert got == expected
+    few = spark.createDataFrame([(f"{i:03d}", "https://h/video/7") for i in range(6)], "id string, url string")
+    assert [r.comment_id for r in dedup.comment_key(few).orderBy("id").collect()] == [f"7_{i}" for i in range(6)]
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_null_ids_keep_their_row_and_rank(spark, kind):
+    df = spark.createDataFrame([(1, "a"), (None, "a"), (2, "b"), (None, None)], f"id {'bigint' if kind == 'bigint' else 'int'}, url string")
+    df = df.withColumn("id", F.col("id").cast(kind))
+    got = sorted(((r.url or "", r.id is not None, r["rank"]) for r in ranking.with_rank(df, ["url"], block_rows=1).collect()))
+    assert got == [("", False, 0), ("a", False, 0), ("a", True, 1), ("b", True, 0)]
+    assert ranking.with_rank(df.limit(0), ["url"]).count() == 0
 
 
 def test_rank_survives_planning_without_broadcast(spark, skewed):
@@ -62,7 +72,7 @@ def test_rank_survives_planning_without_broadcast(spark, skewed):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        ranked = ranking.with_rank(df, ["url"], "id", 16)
+        ranked = ranking.with_rank(df, ["url"], "id", block_rows=400)
         assert ranked.count() == df.count()
         assert ranked.filter("url is null").count() == df.filter("url is null").count() > 0
     finally:

@@ -164,3 +164,10 @@ def test_views_can_be_queried_with_sql(spark, tmp_path, export):
     assert spark.sql("select sum(total_records) from v_platform_stats").first()[0] == len(TEXTS) + 1
     assert spark.sql("select sum(record_count) from v_dataset_split_stats").first()[0] == len(TEXTS)
     assert [r.model_display_name for r in spark.sql("select * from v_model_comparison").collect()] == ["Model"]
+
+
+def test_both_directory_layouts_are_read(spark, tmp_path):
+    row = spark.createDataFrame([("1", "t", "tp", "k", "u", 0)], RAW_SCHEMA)
+    row.write.parquet(str(tmp_path / "tiktok" / "crawl_date=2026-06-01"))
+    row.write.parquet(str(tmp_path / "platform=tiktok" / "crawl_date=2026-06-02"))
+    assert readers.scan_platform(spark, str(tmp_path), "tiktok").count() == 2
