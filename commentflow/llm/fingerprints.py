@@ -90,8 +90,9 @@ def _with_next(docs: DataFrame, groups: int) -> DataFrame:
     its last row, marked as tail, the document that follows it.
 
     Only ids are read to find the borders: quantiles first, then the largest id of each group."""
-    found = docs.approxQuantile("doc_id", [k / groups for k in range(1, groups)], 0.2 / groups)
-    borders = np.unique(np.asarray(found, dtype=np.float64))
+    steps = [k / groups for k in range(1, groups)] or [0.5]
+    found = docs.agg(F.percentile_approx("doc_id", steps, 10 * groups).alias("q")).first()["q"] if groups > 1 else None
+    borders = np.unique(np.asarray(found or [], dtype=np.float64))
 
     @F.pandas_udf("int")
     def group_of(ids: pd.Series) -> pd.Series:

@@ -203,7 +203,7 @@ def _anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return docs.select(_row_key().alias("row_key"), "text").mapInArrow(run, "anchor bigint, row_key bigint, first int, n int")
 
 
-def _runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
+def _runs(docs: DataFrame, length: int, gram: int, group_runs: int) -> DataFrame:
     """anchor, salt, salted, row_key, first, d1, d2 (digest) and bytes of each run whose anchor occurs twice."""
     anchors = _anchors(docs, length, gram)
     again = anchors.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1")
@@ -221,7 +221,7 @@ def _runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
                         piece = data[r["first"]:r["first"] + r["n"] + length - 1]
                         digest = xxhash.xxh3_128_intdigest(piece)
                         high, low = digest >> 64, digest & 0xFFFFFFFFFFFFFFFF
-                        salts = -(-r["times"] // GROUP_RUNS)
+                        salts = -(-r["times"] // group_runs)
                         rows.append((r["anchor"], low % salts, salts > 1, key, r["first"], _signed(high), _signed(low), piece))
                         if len(rows) >= 4096:
                             yield _batch(rows)
@@ -303,9 +303,9 @@ def _judge(distinct: DataFrame, length: int) -> DataFrame:
     return dealt.select("anchor", "salt", "salted", "d1", "d2", "bytes", "times").mapInArrow(run, _FOUND)
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_runs: int = GROUP_RUNS) -> DataFrame:
     """row_key and spans (flat start, end, start, ...; in bytes, may overlap) of the repeated strings of each text."""
-    runs = stored(_runs(docs, length, gram), "runs")
+    runs = stored(_runs(docs, length, gram, group_runs), "runs")
     distinct = runs.groupBy("anchor", "salt", "salted", "d1", "d2").agg(F.count("*").alias("times"), F.first("bytes").alias("bytes"))
     found = stored(_judge(distinct, length), "verdicts")
     # Windows of salted blocks: repeated if another run of any block holds them too.
@@ -321,9 +321,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         F.flatten(F.collect_list("spans")).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_runs: int = GROUP_RUNS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept, the remaining bytes, of every text."""
-    spans = repeated_spans(docs, length, gram)
+    spans = repeated_spans(docs, length, gram, group_runs)
     rows = docs.select("doc_id", _row_key().alias("row_key"), "text").join(spans, "row_key", "left").select("doc_id", "text", "spans")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
