@@ -7,9 +7,10 @@ which only ever receives the texts a cheap JVM-side check could not prove to be
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 from collections.abc import Callable, Mapping
-from functools import reduce
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
@@ -33,12 +34,6 @@ ASCII_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 TRANSLATE_SUFFIX = "translate"
 # ---- end of fixed values ------------------------------------------------------------------
 
-# Code points that can only occur in text that is already NFC: none of them decomposes or combines.
-NFC_STABLE_RANGES = (
-    (0x0000, 0x02FF), (0x1E00, 0x1EFF), (0x2010, 0x2027), (0x2030, 0x205E),
-    (0x2600, 0x27BF), (0x1F300, 0x1FAFF),
-)
-
 # Unicode whitespace; Java's \s is ASCII only.
 SPACE_RANGES = (
     (0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
@@ -70,7 +65,46 @@ _LATIN_SPACE = [r for r in SPACE_RANGES if r[1] < 0x100]
 _OTHER_SPACE = [r for r in SPACE_RANGES if r[1] >= 0x100]
 SPACE = f"[{_ranges(_LATIN_SPACE)}{_rare(_OTHER_SPACE)}]"
 
-_NOT_SURELY_NFC = f"[^{_ranges(NFC_STABLE_RANGES)}]"
+
+
+def _as_ranges(points: list[int]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for p in points:
+        if out and p == out[-1][1] + 1:
+            out[-1] = (out[-1][0], p)
+        else:
+            out.append((p, p))
+    return out
+
+
+@lru_cache(maxsize=1)
+def nfc_doubtful_ranges() -> tuple[tuple[int, int], ...]:
+    """Code points that can occur in text which is not NFC.
+
+    These are the ones that change on their own, have a combining class, or compose with what precedes them:
+    second parts of canonical pairs and the vowels and tails of Hangul."""
+    points = {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}
+    for cp in range(0x80, sys.maxunicode + 1):
+        ch = chr(cp)
+        if unicodedata.combining(ch):
+            points.add(cp)
+        parts = unicodedata.decomposition(ch)
+        if parts and parts[0] != "<":
+            if unicodedata.normalize("NFC", ch) != ch:
+                points.add(cp)
+            points.update(int(part, 16) for part in parts.split()[1:])
+    return tuple(_as_ranges(sorted(points)))
+
+
+@lru_cache(maxsize=1)
+def _not_surely_nfc() -> str:
+    """The doubtful code points as a class; the widest gaps between them are rejected first."""
+    ranges = nfc_doubtful_ranges()
+    gaps = [(a[1] + 1, b[0] - 1) for a, b in zip(ranges, ranges[1:])]
+    wide = sorted(sorted(gaps, key=lambda g: g[0] - g[1])[:8])
+    return f"[[^{_ranges([(0, ranges[0][0] - 1), *wide])}]&&[{_ranges(ranges)}]]"
+
+
 _EMOJI = _rare(EMOJI_RANGES)
 _INVALID = rf"[^\p{{L}}\p{{N}}_{_ranges(EXTRA_TEXT_RANGES)}{_ranges(SPACE_RANGES)}]"
 # One pass for emoji, invalid characters, punctuation and whitespace runs together, as a single
@@ -88,8 +122,8 @@ def _compose() -> Callable[[Column], Column]:
 
 
 def nfc(col: Column) -> Column:
-    """Unicode NFC. Texts made of NFC-stable code points never leave the JVM."""
-    doubtful = F.when(col.rlike(_NOT_SURELY_NFC), col)
+    """Unicode NFC. Only texts with a code point that may not be composed leave the JVM."""
+    doubtful = F.when(col.rlike(_not_surely_nfc()), col)
     return F.coalesce(_compose()(doubtful), col)
 
 

@@ -9,15 +9,16 @@ from __future__ import annotations
 import re
 import sys
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from commentflow.functions.labels import flag_target
-from commentflow.functions.text import strip_space
+from commentflow.functions.text import WORD, strip_space
 
 # Predictors travel to the executors by value, so those need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -26,6 +27,13 @@ Predictor = Callable[[Sequence[str]], Sequence[int]]
 PredictorFactory = Callable[[], Predictor]
 
 
+@dataclass(frozen=True)
+class ColumnPredictor:
+    """A predictor that is an expression over the text column."""
+
+    column: Callable[[Column], Column]
+
+
 class LexiconPredictor:
     """Highest label among the listed words a text contains, 0 when it contains none."""
 
@@ -45,17 +53,39 @@ def lexicon_factory(words: Mapping[str, int]) -> PredictorFactory:
     return lambda: LexiconPredictor(words)
 
 
+def lexicon_column(words: Mapping[str, int]) -> ColumnPredictor:
+    """The same predictor as a built-in expression: one word-bounded pattern for each label, the highest first."""
+    by_label: dict[int, list[str]] = {}
+    for word, label in words.items():
+        by_label.setdefault(label, []).append(re.escape(word.lower()))
+
+    def predict(text: Column) -> Column:
+        lowered = F.lower(F.coalesce(text, F.lit("")))
+        found = F.lit(0)
+        for label in sorted(by_label):
+            pattern = rf"(?<!{WORD})(?:{'|'.join(sorted(by_label[label], key=len, reverse=True))})(?!{WORD})"
+            found = F.greatest(found, F.when(lowered.rlike(pattern), F.lit(label)).otherwise(F.lit(0)))
+        return found
+
+    return ColumnPredictor(predict)
+
+
 def batch_predict(
-    df: DataFrame, predictor_factory: PredictorFactory, text_col: str = "text", batch_size: int = 64,
+    df: DataFrame, predictor_factory: PredictorFactory | ColumnPredictor, text_col: str = "text", batch_size: int = 64,
     out: str = "predicted_label",
 ) -> DataFrame:
     """Add a predicted label. Missing texts are predicted as empty ones.
 
+    A column predictor becomes part of the plan. A factory is called in the tasks:
+
     The model runs exactly once per row, also when rows are then filtered by their label: the
     optimizer is kept from copying the call into the filter. For the same reason it will not move
     later filters below the model, so rows that need no label should be filtered out before.
     """
 
+    if isinstance(predictor_factory, ColumnPredictor):
+        return df.withColumn(out, predictor_factory.column(F.col(text_col)).cast("int"))
+
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         predictor = predictor_factory()
         for texts in batches:
@@ -71,7 +101,7 @@ def batch_predict(
 
 
 def analyze_text(
-    df: DataFrame, predictor_factory: PredictorFactory, text_col: str = "text", batch_size: int = 64
+    df: DataFrame, predictor_factory: PredictorFactory | ColumnPredictor, text_col: str = "text", batch_size: int = 64
 ) -> DataFrame:
     """Trim, ignore blank texts, predict and flag what moderation acts on."""
     trimmed = df.withColumn(text_col, strip_space(F.col(text_col))).filter(F.col(text_col) != "")

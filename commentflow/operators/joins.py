@@ -29,9 +29,16 @@ def row_digest(columns: Sequence[str], text_col: str = "text") -> Column:
 def incremental_anti(
     new: DataFrame, stored: DataFrame, keys: Sequence[str] = STORED_KEY, text_col: str = "text"
 ) -> DataFrame:
-    """New rows that are not stored yet. Duplicates inside the new rows stay."""
+    """New rows that are not stored yet. Duplicates inside the new rows stay.
+
+    ``stored`` is either a table of digests, as ``scan_digests`` reads them, or rows with the keys."""
     fresh = new.withColumn(DIGEST, row_digest(keys, text_col))
-    return unknown_rows(fresh, stored.select(row_digest(keys, text_col).alias(DIGEST))).select(*new.columns)
+    return unknown_rows(fresh, digests(stored, keys, text_col)).select(*new.columns)
+
+
+def digests(stored: DataFrame, keys: Sequence[str], text_col: str) -> DataFrame:
+    """Stored digests where the table has them; only rows without any are hashed."""
+    return stored.select(DIGEST) if DIGEST in stored.columns else stored.select(row_digest(keys, text_col).alias(DIGEST))
 
 
 def unknown_rows(fresh: DataFrame, known: DataFrame) -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from commentflow.operators import corpus, pages
-from commentflow.operators.inference import lexicon_factory
+from commentflow.operators.inference import lexicon_column
+from commentflow.operators.joins import DIGEST, row_digest
 from commentflow.operators.pages import ANCHOR, INVISIBLE
 from commentflow.operators.sampling import train_test_split
 from commentflow.plans.registry import query
-from commentflow.plans.scratch import new_dir
+from commentflow.plans.scratch import new_dir, stored
 from commentflow.plans.tables import LEXICON, Tables, entities_sql
 from commentflow.streaming import counts, ingest, moderation
 from commentflow.streaming.sinks import read_sink
@@ -132,7 +133,7 @@ def _(t: Tables):
     timed = _stream(t, "conversations").withColumn("ts", F.timestamp_seconds(F.lit(1704067200) + F.col("conv_id")))
     sink, checkpoint = new_dir(t.spark, "flagged"), new_dir(t.spark, "flagged-state")
     moderation.stream_moderation(
-        timed, sink, checkpoint, lexicon_factory(LEXICON), ["conv_id", "turn"], trigger=ONCE
+        timed, sink, checkpoint, lexicon_column(LEXICON), ["conv_id", "turn"], trigger=ONCE
     ).awaitTermination()
     return t.spark.read.parquet(sink).select("conv_id", "turn", "predicted_label", "is_target")
 
@@ -145,9 +146,11 @@ where not exists (select 1 from s where s.cut = d.cut and s.source = d.source an
 def _(t: Tables):
     documents = t.table("documents")
     labelled = documents.join(t.table("labels").select("doc_id"), "doc_id", "left_semi")
+    keys = ("text", "source", "lang")
+    known = stored(labelled.select(row_digest(keys).alias(DIGEST)), "known-digests")
     sink, checkpoint = new_dir(t.spark, "loaded"), new_dir(t.spark, "loaded-state")
     ingest.stream_ingest_dedup(
-        _stream(t, "documents"), sink, checkpoint, stored=labelled, keys=("text", "source", "lang"), trigger=ONCE
+        _stream(t, "documents"), sink, checkpoint, stored=known, keys=keys, trigger=ONCE
     ).awaitTermination()
     return read_sink(t.spark, sink).select("doc_id", "source", "lang")
 

@@ -72,7 +72,7 @@ def _(t: Tables):
 
 @query("batch_predict", f"select id, {lexicon_sql('text')} as predicted_label from posts")
 def _(t: Tables):
-    predicted = inference.batch_predict(t.posts().select("id", "text"), inference.lexicon_factory(LEXICON))
+    predicted = inference.batch_predict(t.posts().select("id", "text"), inference.lexicon_column(LEXICON))
     return predicted.select("id", "predicted_label")
 
 
@@ -80,7 +80,7 @@ def _(t: Tables):
 select conv_id, turn, {lexicon_sql('text')} as predicted_label, {lexicon_sql('text')} in (1, 2) as is_target
 from conversations where regexp_replace(text, '^\\s+|\\s+$', '', 'g') <> ''""", ())
 def _(t: Tables):
-    flagged = inference.analyze_text(t.table("conversations"), inference.lexicon_factory(LEXICON))
+    flagged = inference.analyze_text(t.table("conversations"), inference.lexicon_column(LEXICON))
     return flagged.select("conv_id", "turn", "predicted_label", "is_target")
 
 

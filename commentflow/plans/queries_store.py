@@ -45,18 +45,18 @@ def _(t: Tables):
 
 def _export(t: Tables, path: str) -> None:
     out = t.posts().select(*[F.col("url" if f == "post_url" else f).alias(f) for f in INGEST_CSV_SCHEMA.fieldNames()])
-    out.write.option("sep", ";").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    writers.write_csv_export(out, path, sep=";")
 
 
 @query("ingest_csv", "select text, topic, keyword, url, cast(label as bigint) as label, platform, date '2024-07-01' as crawl_date from posts")
 def _(t: Tables):
     csv, root = new_dir(t.spark, "export"), new_dir(t.spark, "ingested")
     _export(t, csv)
-    writers.ingest_csv(t.spark, csv, root, crawl_date=date(2024, 7, 1))
+    writers.ingest_csv(t.spark, csv, root, crawl_date=date(2024, 7, 1), escaped=True)
     return readers.scan_all(t.spark, root).drop("id")
 
 
-@query("assign_ids", "select md5(concat(url, chr(1), text)) as content_id, url, topic from posts")
+@query("assign_ids", "select md5(concat(length(url), ':', url, coalesce(concat(length(text), ':', text), '-'))) as content_id, url, topic from posts")
 def _(t: Tables):
     return writers.assign_ids(t.posts(), "content_id", ("url", "text")).select("content_id", "url", "topic")
 
@@ -79,7 +79,7 @@ def _(t: Tables):
     rows = t.posts().select(filters.strip_space(F.col("text")).alias("text"), "topic", "keyword",
                             F.col("url").alias("post_url"))
     writers.write_csv_export(rows, path)
-    return readers.read_csv(t.spark, path, rows.schema, sep=",")
+    return readers.read_csv(t.spark, path, rows.schema, sep=",", escaped=True)
 
 
 @query("file_inventory")
@@ -267,7 +267,9 @@ where not exists (select 1 from keyed s where s.label >= 0 and s.cut = n.cut and
                   and s.keyword = n.keyword and s.url = n.url)""")
 def _(t: Tables):
     posts = t.posts()
-    return joins.incremental_anti(posts, posts.filter(F.col("label") >= 0)).select("id", "topic", "keyword", "url")
+    root = new_dir(t.spark, "labelled")
+    writers.write_comments(posts.filter(F.col("label") >= 0).withColumn("id", F.col("id").cast("string")), root)
+    return joins.incremental_anti(posts, readers.scan_digests(t.spark, root)).select("id", "topic", "keyword", "url")
 
 
 @query("align_predictions", """

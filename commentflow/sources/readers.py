@@ -10,10 +10,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from commentflow.operators.joins import DIGEST
 from commentflow.schema import CRAWL_CSV_SCHEMA, INGEST_CSV_SCHEMA, PLATFORMS, PROCESSED_SCHEMA, RAW_SCHEMA
 from commentflow.sources.paths import parquet_or_none
 
@@ -57,6 +58,11 @@ def scan_all(
     return reduce(DataFrame.unionByName, parts)
 
 
+def scan_digests(spark: SparkSession, root: str, platforms: Sequence[str] = PLATFORMS) -> DataFrame:
+    """The stored digests of all comments, without their texts."""
+    return scan_all(spark, root, platforms, T.StructType([T.StructField(DIGEST, T.BinaryType())])).select(DIGEST)
+
+
 def scan_processed(
     spark: SparkSession, root: str, schema: T.StructType = PROCESSED_SCHEMA
 ) -> DataFrame | None:
@@ -65,14 +71,16 @@ def scan_processed(
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType = INGEST_CSV_SCHEMA, sep: str = ";", multi_line: bool = True
+    spark: SparkSession, path: str, schema: T.StructType = INGEST_CSV_SCHEMA, sep: str = ";", multi_line: bool = False,
+    escaped: bool = False,
 ) -> DataFrame:
-    """Delimited file with a header; quoted fields may hold doubled quotes and line breaks.
+    """Delimited file with a header; quoted fields may hold doubled quotes.
 
-    A file whose fields may hold line breaks cannot be split, so it is one task. Exports known to have
-    one record per line should say ``multi_line=False`` and are read in splits.
+    Files have one record per line and are read in splits. Exports of ``write_csv_export`` spell line breaks
+    as two characters, which ``escaped=True`` turns back. Files with line breaks inside quotes need
+    ``multi_line=True``; such a file cannot be split and is one task.
     """
-    return (
+    rows = (
         spark.read.schema(schema)
         .option("sep", sep)
         .option("header", True)
@@ -82,12 +90,22 @@ def read_csv(
         .option("enforceSchema", False)
         .csv(path)
     )
+    if not escaped:
+        return rows
+    return rows.withColumns({f.name: unescape_breaks(F.col(f.name)) for f in schema if f.dataType == T.StringType()})
+
+
+def unescape_breaks(text: Column) -> Column:
+    parts = F.transform(
+        F.split(text, r"\\\\"),
+        lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.array_join(parts, "\\")
 
 
-def read_crawl_csv(spark: SparkSession, path: str, text_col: str = "text") -> DataFrame:
+def read_crawl_csv(spark: SparkSession, path: str, text_col: str = "text", multi_line: bool = False) -> DataFrame:
     """Output of a crawl as ``text, topic, keyword, url``; one source names its text ``comment_text``."""
     fields = [T.StructField(text_col if f.name == "text" else f.name, f.dataType) for f in CRAWL_CSV_SCHEMA.fields]
-    rows = read_csv(spark, path, T.StructType(fields), sep=",")
+    rows = read_csv(spark, path, T.StructType(fields), sep=",", multi_line=multi_line)
     return rows.select(F.col(text_col).alias("text"), "topic", "keyword", F.col("post_url").alias("url"))
 
 

@@ -7,14 +7,19 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from commentflow.operators.joins import DIGEST, STORED_KEY, row_digest
 from commentflow.schema import PLATFORMS, RAW_SCHEMA
 from commentflow.sources.readers import read_csv, require_columns
 
 
 def content_id(*cols: str | Column) -> Column:
-    """Identifier that is the same on every run for the same content."""
-    return F.md5(F.concat_ws("\u0001", *cols))
+    """Identifier that is the same on every run for the same content.
+
+    Every value is preceded by its length, and null is told apart from all values."""
+    parts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]))
 
 
 def assign_ids(df: DataFrame, id_col: str = "id", content: Sequence[str] = ()) -> DataFrame:
@@ -23,7 +28,7 @@ def assign_ids(df: DataFrame, id_col: str = "id", content: Sequence[str] = ()) -
 
 
 def write_comments(df: DataFrame, root: str, mode: str = "append") -> None:
-    """Write comments under ``platform``/``crawl_date`` directories.
+    """Write comments under ``platform``/``crawl_date`` directories, each with the digest of its key.
 
     The rebalance hint brings the rows of a directory together and lets adaptive execution split a
     directory that is too large for one task, so a dominant platform does not end up in one file.
@@ -32,7 +37,7 @@ def write_comments(df: DataFrame, root: str, mode: str = "append") -> None:
     (
         require_columns(df, columns)
         .withColumn("label", F.col("label").cast(RAW_SCHEMA["label"].dataType))
-        .select(*columns)
+        .select(*columns, row_digest(STORED_KEY).alias(DIGEST))
         .hint("rebalance", "platform", "crawl_date")
         .write.partitionBy("platform", "crawl_date")
         .mode(mode)
@@ -67,18 +72,28 @@ def ingest_csv(
     platforms: Sequence[str] = PLATFORMS,
     content_ids: bool = False,
     mode: str = "append",
-    multi_line: bool = True,
+    multi_line: bool = False,
+    escaped: bool = False,
 ) -> None:
-    """Load a ``;`` separated export into the comment store."""
+    """Load a ``;`` separated export into the comment store; see ``read_csv`` for the two forms of line breaks."""
     day = F.current_date() if crawl_date is None else crawl_date
-    rows = read_csv(spark, csv_path, multi_line=multi_line)
+    rows = read_csv(spark, csv_path, multi_line=multi_line, escaped=escaped)
     write_comments(comments_from_csv(rows, day, platforms, content_ids), root, mode)
 
 
-def write_csv_export(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Comma separated files with a header and every field quoted."""
+def escape_breaks(text: Column) -> Column:
+    """Line breaks and backslashes as two characters each, so that a record stays on one line."""
+    for plain, written in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(plain), F.lit(written))
+    return text
+
+
+def write_csv_export(df: DataFrame, path: str, mode: str = "append", sep: str = ",") -> None:
+    """Separated files with a header, every field quoted and one record per line (``read_csv(..., escaped=True)``)."""
+    texts = {f.name: escape_breaks(F.col(f.name)) for f in df.schema if f.dataType == T.StringType()}
     (
-        df.write.mode(mode)
+        df.withColumns(texts).write.mode(mode)
+        .option("sep", sep)
         .option("header", True)
         .option("quoteAll", True)
         .option("escape", '"')

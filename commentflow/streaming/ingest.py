@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from commentflow.operators.joins import DIGEST, STORED_KEY, row_digest, unknown_rows
+from commentflow.operators.joins import DIGEST, STORED_KEY, digests, row_digest, unknown_rows
 from commentflow.sources.paths import parquet_or_none
 from commentflow.streaming.sinks import PRODUCTION_TRIGGER, write_batch
 
@@ -26,15 +26,15 @@ def stream_ingest_dedup(
 ) -> StreamingQuery:
     """Append rows whose key is neither in ``stored`` nor in an earlier batch of the sink.
 
-    The sink keeps each row's digest as a column, so later batches read 32 bytes per stored row and
-    no text. A batch compares itself with lower batch numbers only, so replaying it gives the same
+    The sink keeps each row's digest as a column, as the store does, so a batch reads 32 bytes per stored
+    row and hashes no stored text. A batch compares itself with lower batch numbers only, so replaying it gives the same
     rows.
     """
     digest_only = T.StructType([T.StructField(DIGEST, T.BinaryType()), T.StructField("batch_id", T.LongType())])
 
     def load(batch: DataFrame, batch_id: int) -> None:
         fresh = batch.withColumn(DIGEST, row_digest(keys, text_col))
-        known = [] if stored is None else [stored.select(row_digest(keys, text_col).alias(DIGEST))]
+        known = [] if stored is None else [digests(stored, keys, text_col)]
         earlier = parquet_or_none(batch.sparkSession, sink, digest_only)
         if earlier is not None:
             known.append(earlier.filter(F.col("batch_id") < batch_id).select(DIGEST))

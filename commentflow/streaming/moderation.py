@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from commentflow.operators.inference import PredictorFactory, analyze_text
+from commentflow.operators.inference import ColumnPredictor, PredictorFactory, analyze_text
 from commentflow.streaming.sinks import PRODUCTION_TRIGGER
 
 
@@ -15,7 +15,7 @@ def stream_moderation(
     stream: DataFrame,
     sink: str,
     checkpoint: str,
-    predictor_factory: PredictorFactory,
+    predictor_factory: PredictorFactory | ColumnPredictor,
     key_cols: Sequence[str],
     event_time: str = "ts",
     delay: str = "10 minutes",

@@ -198,6 +198,9 @@ def test_batch_predict_and_analyze(spark):
     factory = inference.lexicon_factory({"idiot": 1, "scum": 2})
     assert {r.id: r.predicted_label for r in inference.batch_predict(df, factory, batch_size=2).collect()} == {1: 1, 2: 2, 3: 0, 4: 0, 5: 0}
     assert {r.id: r.is_target for r in inference.analyze_text(df, factory).collect()} == {1: True, 2: True, 3: False}
+    column = inference.lexicon_column({"idiot": 1, "scum": 2})
+    assert {r.id: r.predicted_label for r in inference.batch_predict(df, column).collect()} == {1: 1, 2: 2, 3: 0, 4: 0, 5: 0}
+    assert {r.id: r.is_target for r in inference.analyze_text(df, column).collect()} == {1: True, 2: True, 3: False}
 
 
 def test_predictors_need_no_package_on_the_executors(tmp_path):

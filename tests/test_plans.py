@@ -11,7 +11,7 @@ from commentflow.plans.catalog import REGISTRY
 from commentflow.plans.tables import Tables
 
 SF_DIR = "/root/testdata/sf0.001"
-PYTHON_QUERIES = {"nfc", "preprocess", "preprocess_table", "batch_predict", "analyze_text"}
+PYTHON_QUERIES = {"nfc", "preprocess", "preprocess_table"}
 STREAMS = {"stream_moderation", "stream_ingest_dedup", "stream_daily_count"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")

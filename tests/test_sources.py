@@ -6,12 +6,13 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from commentflow.operators import joins
 from commentflow.operators.filters import query_by_platform
 from commentflow.plans.store import CommentStore
 from commentflow.schema import INGEST_CSV_SCHEMA, RAW_SCHEMA, model_registry, topic_keyword_dim
 from commentflow.sources import readers, writers
 
-TEXTS = ['plain', 'semi;colon', 'quo"te', "two\nlines", "a,b", "Đồ ăn ngon"]
+TEXTS = ['plain', 'semi;colon', 'quo"te', "two\nlines", "a,b", "Đồ ăn ngon", "back\\\\slash\\n", "cr\r\nlf"]
 
 
 @pytest.fixture
@@ -28,8 +29,8 @@ def export(spark, tmp_path):
 
 def test_ingest_writes_partitions_and_reads_back(spark, tmp_path, export):
     root = str(tmp_path / "store")
-    writers.ingest_csv(spark, export, root, crawl_date="2026-06-01")
-    writers.ingest_csv(spark, export, root, crawl_date=datetime.date(2026, 6, 2), content_ids=True)
+    writers.ingest_csv(spark, export, root, crawl_date="2026-06-01", multi_line=True)
+    writers.ingest_csv(spark, export, root, crawl_date=datetime.date(2026, 6, 2), content_ids=True, multi_line=True)
     df = readers.scan_all(spark, root)
     assert set(df.columns) == {*RAW_SCHEMA.fieldNames(), "platform", "crawl_date"}
     assert sorted(r.text for r in df.filter("crawl_date = '2026-06-01'").collect()) == sorted([*TEXTS, "unlabelled"])
@@ -39,7 +40,7 @@ def test_ingest_writes_partitions_and_reads_back(spark, tmp_path, export):
 
 
 def test_content_ids_are_stable(spark, export):
-    rows = readers.read_csv(spark, export)
+    rows = readers.read_csv(spark, export, multi_line=True)
     first, second = (
         {r.id for r in writers.comments_from_csv(rows, "2026-06-01", content_ids=True).collect()} for _ in range(2)
     )
@@ -49,7 +50,7 @@ def test_content_ids_are_stable(spark, export):
 def test_filters_on_partition_columns_prune_directories(spark, tmp_path, export):
     root = str(tmp_path / "store")
     for day in ("2026-06-01", "2026-06-02", "2026-06-03"):
-        writers.ingest_csv(spark, export, root, crawl_date=day)
+        writers.ingest_csv(spark, export, root, crawl_date=day, multi_line=True)
     store = CommentStore(spark, root)
     df = store.query_by_date("2026-06-02", platform="tiktok")
     assert len(df.inputFiles()) > 0
@@ -78,7 +79,7 @@ def test_crawl_output_with_byte_order_mark(spark, tmp_path, column):
         writer = csv.writer(file, quoting=csv.QUOTE_ALL)
         writer.writerow([column, "topic", "keyword", "post_url"])
         writer.writerows([t, "the_thao", "Bóng đá", "u"] for t in TEXTS)
-    rows = readers.read_crawl_csv(spark, str(path), column)
+    rows = readers.read_crawl_csv(spark, str(path), column, multi_line=True)
     assert rows.columns == ["text", "topic", "keyword", "url"]
     assert sorted(r.text for r in rows.collect()) == sorted(TEXTS)
 
@@ -108,11 +109,12 @@ def test_missing_roots(spark, tmp_path):
 
 def test_csv_export_round_trip(spark, tmp_path):
     path = str(tmp_path / "csv")
-    df = spark.createDataFrame([(t, "a", "b", "c") for t in TEXTS], "text string, topic string, keyword string, post_url string")
+    texts = [*TEXTS, "back\\slash\\n", "cr\r\nlf", "\\"]
+    df = spark.createDataFrame([(t, "a", "b", "c") for t in texts], "text string, topic string, keyword string, post_url string")
     writers.write_csv_export(df, path)
-    writers.write_csv_export(df.limit(1), path)
-    back = readers.read_csv(spark, path, df.schema, sep=",")
-    assert sorted(r.text for r in back.collect()) == sorted([*TEXTS, TEXTS[0]])
+    writers.write_csv_export(df.filter("text = 'plain'"), path)
+    back = readers.read_csv(spark, path, df.schema, sep=",", escaped=True)
+    assert sorted(r.text for r in back.collect()) == sorted([*texts, "plain"])
 
 
 def test_jsonl_inventory_head_and_required_columns(spark, tmp_path):
@@ -134,7 +136,7 @@ def test_topic_plan_has_ten_keywords_per_topic(spark):
 
 def test_store_queries_run_end_to_end(spark, tmp_path, export):
     root = str(tmp_path / "store")
-    writers.ingest_csv(spark, export, root, crawl_date="2026-06-01")
+    writers.ingest_csv(spark, export, root, crawl_date="2026-06-01", multi_line=True)
     store = CommentStore(spark, root)
     total = len(TEXTS) + 1
     assert store.query_by_label(0).count() + store.query_by_label(1).count() + store.query_by_label(2).count() == len(TEXTS)
@@ -154,7 +156,7 @@ def test_store_queries_run_end_to_end(spark, tmp_path, export):
 
 def test_views_can_be_queried_with_sql(spark, tmp_path, export):
     root, processed = str(tmp_path / "store"), str(tmp_path / "processed")
-    writers.ingest_csv(spark, export, root, crawl_date="2026-06-01")
+    writers.ingest_csv(spark, export, root, crawl_date="2026-06-01", multi_line=True)
     rows = CommentStore(spark, root).comments().filter("label is not null").withColumn("split_set", F.lit("train"))
     rows.write.parquet(processed)
     registry = model_registry(spark, [("m1", "Model", "traditional", "v1")])
@@ -171,3 +173,18 @@ def test_both_directory_layouts_are_read(spark, tmp_path):
     row.write.parquet(str(tmp_path / "tiktok" / "crawl_date=2026-06-01"))
     row.write.parquet(str(tmp_path / "platform=tiktok" / "crawl_date=2026-06-02"))
     assert readers.scan_platform(spark, str(tmp_path), "tiktok").count() == 2
+
+
+def test_content_ids_tell_nulls_and_borders_apart(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None), ("a", ""), ("", "a"), ("ab", "c"), ("a", "bc")], "x string, y string")
+    assert df.select(writers.content_id("x", "y").alias("i")).distinct().count() == 6
+
+
+def test_stored_digests_spare_the_stored_texts(spark, tmp_path, export):
+    root = str(tmp_path / "store")
+    writers.ingest_csv(spark, export, root, crawl_date="2026-06-01", multi_line=True)
+    new = readers.scan_all(spark, root).limit(3).unionByName(readers.scan_all(spark, root).limit(1).withColumn("text", F.lit("unseen")))
+    kept = joins.incremental_anti(new, readers.scan_digests(spark, root))
+    assert [r.text for r in kept.collect()] == ["unseen"]
+    plan = readers.scan_digests(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<row_digest:binary>" in plan and "sha2" not in plan
