@@ -119,7 +119,7 @@ def accuracy(
 def class_report(
     df: DataFrame, y: str = "label", p: str = "prediction", classes: Sequence[int] = CLASSES, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Precision, recall, F1 and support per class plus macro and weighted averages."""
+    """Precision, recall, F1 and support per class, the accuracy (under ``f1``), macro and weighted averages."""
     counts = confusion_counts(df, y, p, classes, by)
     support = [F.col(f"actual{c}") for c in classes]
     total = sum(support[1:], support[0])
@@ -133,6 +133,8 @@ def class_report(
     lines = [
         row(REPORT_NAMES.get(c, str(c)), _precision(c), _recall(c), _f1(c), F.col(f"actual{c}")) for c in classes
     ]
+    none = F.lit(None).cast("double")
+    lines.append(row("accuracy", none, none, _accuracy(), F.col("rows")))
     lines += [
         row(f"{kind} avg", avg(_precision, classes), avg(_recall, classes), avg(_f1, classes), total)
         for kind, avg in (("macro", _macro), ("weighted", _weighted))

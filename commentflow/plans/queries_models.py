@@ -9,6 +9,7 @@ from commentflow.plans.queries_crawl import lexicon_sql
 from commentflow.plans.queries_store import _EVALUATED, OOF, evaluation_rows
 from commentflow.plans.registry import query
 from commentflow.plans.tables import LEXICON, MODELS, Tables
+from commentflow.schema import CLASSES
 
 _VOTERS = ("posts", "voters")
 _FOLDS = ("posts", "voters", "folds")
@@ -150,6 +151,7 @@ def _(t: Tables):
 with {_cells('model')}
 select model, case c when 0 then 'clean' when 1 then 'offensive' else 'hate' end as class, round(p, 4) as precision,
        round(r, 4) as recall, round(f, 4) as f1, act as support from scored
+union all select model, 'accuracy', null, null, round(max(ok) / max(n), 4), cast(max(n) as bigint) from scored group by model
 union all select model, 'macro avg', round(avg(p), 4), round(avg(r), 4), round(avg(f), 4), cast(sum(act) as bigint) from scored group by model
 union all select model, 'weighted avg', round(sum(p * act) / sum(act), 4), round(sum(r * act) / sum(act), 4),
        round(sum(f * act) / sum(act), 4), cast(sum(act) as bigint) from scored group by model""", OOF)
@@ -279,3 +281,21 @@ def _(t: Tables):
 @query("baseline_tfidf_svm")
 def _(t: Tables):
     return _baseline(t, baselines.baseline_tfidf_svm)
+
+
+# What of the baselines SQL can state: a prediction that is a class for every row of the test split.
+_PREDICTED = "select id, label, true as is_class from split_posts where split_set = 'test' and label >= 0"
+
+
+def _predicted(rows):
+    return rows.select("id", "label", F.col("prediction").isin(*CLASSES).alias("is_class"))
+
+
+@query("baseline_tfidf_lr_rows", _PREDICTED, ("posts", "split_posts"))
+def _(t: Tables):
+    return _predicted(_baseline(t, baselines.baseline_tfidf_lr))
+
+
+@query("baseline_tfidf_svm_rows", _PREDICTED, ("posts", "split_posts"))
+def _(t: Tables):
+    return _predicted(_baseline(t, baselines.baseline_tfidf_svm))

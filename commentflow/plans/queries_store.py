@@ -12,6 +12,7 @@ from commentflow.plans.scratch import new_dir
 from commentflow.plans.store import CommentStore
 from commentflow.plans.tables import MODELS, Tables
 from commentflow.functions import labels as label_functions
+from commentflow.functions.links import path_date
 from commentflow.operators import evaluation
 from commentflow.operators.sampling import train_test_split
 from commentflow.schema import INGEST_CSV_SCHEMA, RAW_SCHEMA, model_registry, topic_keyword_dim
@@ -87,6 +88,14 @@ def _(t: Tables):
     return readers.file_inventory(readers.scan_all(t.spark, t.store_root(), schema=RAW_SCHEMA))
 
 
+@query("file_inventory_rows", "select platform, crawl_date, count(*) as total from posts group by platform, crawl_date")
+def _(t: Tables):
+    files = readers.file_inventory(readers.scan_all(t.spark, t.store_root(), schema=RAW_SCHEMA))
+    day = path_date(F.col("file_path")).cast("date")
+    platform = F.regexp_extract("file_path", "platform=([^/]+)", 1)
+    return files.groupBy(platform.alias("platform"), day.alias("crawl_date")).agg(F.sum("row_count").alias("total"))
+
+
 @query("table_head", "select id, text, topic, label from posts order by id limit 5")
 def _(t: Tables):
     return readers.table_head(t.posts(), ["id", "text", "topic", "label"])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from commentflow.operators.inference import lexicon_factory
 from commentflow.streaming import counts, ingest, moderation
-from commentflow.streaming.sinks import read_sink
+from commentflow.streaming.sinks import late_rows, read_sink
 
 ONCE = {"availableNow": True}
 POST = "text string, topic string, keyword string, url string"
@@ -77,15 +77,19 @@ def test_daily_counts_over_restarts_with_late_rows(spark, tmp_path):
 
     def run():
         stream = spark.readStream.schema(EVENT).parquet(str(source))
-        counts.stream_daily_count(stream, sink, state, trigger=ONCE).awaitTermination()
+        started = counts.stream_daily_count(stream, sink, state, trigger=ONCE)
+        started.awaitTermination()
+        late.append(late_rows(started))
         return {(r.crawl_date.day, r.platform): r.total for r in counts.latest_counts(spark, sink).collect()}
 
+    late = []
     put(spark, source, [(1, at(1, 23), "", "p"), (2, at(2, 0), "", "p"), (3, at(2, 5), "", "q")], EVENT)
     assert run() == {(1, "p"): 1, (2, "p"): 1, (2, "q"): 1}
     put(spark, source, [(4, at(2, 9), "", "p"), (5, at(9), "", "p")], EVENT)
     assert run() == {(1, "p"): 1, (2, "p"): 2, (2, "q"): 1, (9, "p"): 1}
     put(spark, source, [(6, at(2, 9), "", "p"), (7, at(9, 1), "", "p")], EVENT)
     assert run() == {(1, "p"): 1, (2, "p"): 2, (2, "q"): 1, (9, "p"): 2}
+    assert late == [0, 0, 1]
 
 
 @pytest.mark.parametrize("zone", ["UTC", "Asia/Ho_Chi_Minh"])
