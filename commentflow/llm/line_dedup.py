@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commentflow.llm.tables import BLANKS, fresh, let, stored
+from commentflow.llm.tables import BLANKS, fresh, let, sieved, stored
 
 THRESHOLD = 1
 MIN_NEAR = 20
@@ -57,7 +57,7 @@ def _segment(line: Column, size: Column, k: int, pieces: int, shift: int) -> Col
 
 
 def _keys(line: Column, threshold: int) -> Column:
-    """Array of (key, indexed): the line's own segments are indexed, all of them probe."""
+    """Array of (key, indexed): the line's own segments are indexed, all of them probe. Keys outside the line are null."""
     pieces = threshold + 1
     out = []
     for less in range(threshold + 1):
@@ -67,7 +67,7 @@ def _keys(line: Column, threshold: int) -> Column:
             high = min(k, less + (threshold - k))
             for shift in range(low, high + 1):
                 out.append(F.struct(_segment(line, size, k, pieces, shift).alias("key"), F.lit(less == 0 and shift == 0).alias("indexed")))
-    return F.filter(F.array(*out), lambda s: s["key"].isNotNull())
+    return F.array(*out)
 
 
 def edit_distance(a: Column, b: Column, threshold: int) -> Column:
@@ -113,14 +113,16 @@ def edit_distance(a: Column, b: Column, threshold: int) -> Column:
 def near_pairs(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Pairs (a1, a2, b1, b2, distance) of the hashes of different lines within ``threshold`` edits."""
     lines = _lines(docs).where(F.char_length("line") >= MIN_NEAR)
-    rows = lines.select("id1", "id2", F.explode(_keys(F.col("line"), threshold)).alias("k")).select("id1", "id2", "k.key")
-    # Most keys belong to one line only.
-    shared = rows.groupBy("key").agg(F.min("id1").alias("x"), F.max("id1").alias("y")).where("x <> y").select("key")
-    wanted = stored(rows.join(shared, "key", "left_semi").select("id1", "id2").distinct(), "line-ids")
+    rows = lines.select("id1", "id2", F.explode(_keys(F.col("line"), threshold)).alias("k")).select(
+        "id1", "id2", "k.key").where("key is not null")
+    # Most keys belong to one line only; what cannot share one stays where it is.
+    shared = stored(rows.groupBy("key").agg(F.min("id1").alias("x"), F.max("id1").alias("y")).where("x <> y").select("key"), "line-keys")
+    wanted = stored(sieved(rows, "key", shared).join(shared, "key", "left_semi").select("id1", "id2").distinct(), "line-ids")
     # Equal lines merge in the map tasks before their text moves.
-    texts = lines.groupBy("id1", "id2").agg(F.first("line").alias("line")).join(wanted, ["id1", "id2"], "left_semi")
+    merged = sieved(lines, "id1", wanted.select("id1")).groupBy("id1", "id2").agg(F.first("line").alias("line"))
+    texts = merged.join(wanted, ["id1", "id2"], "left_semi")
     keyed = stored(texts, "line-texts").select(
-        "id1", "id2", "line", F.explode(F.array_distinct(_keys(F.col("line"), threshold))).alias("k")).select("id1", "id2", "line", "k.*")
+        "id1", "id2", "line", F.explode(_keys(F.col("line"), threshold)).alias("k")).select("id1", "id2", "line", "k.*").where("key is not null")
     own = keyed.where("indexed").select("key", F.col("id1").alias("a1"), F.col("id2").alias("a2"), F.col("line").alias("a"))
     probes = keyed.select("key", F.col("id1").alias("b1"), F.col("id2").alias("b2"), F.col("line").alias("b"))
     longer = F.char_length("b") > F.char_length("a")

@@ -49,3 +49,39 @@ def fresh(df: DataFrame, *stems: str) -> list[str]:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Bits of a sieve: 2 MB of bitmap, whatever it is made from.
+SIEVE_BITS = 1 << 24
+_BITMAP = 32768
+
+
+def maybe_in(df: DataFrame, key: str, wanted: DataFrame, out: str) -> DataFrame:
+    """Add a boolean that is true for every row whose ``key`` is among ``wanted``, its only column, and for few others.
+
+    The wanted keys become one bitmap of fixed size, which every task gets. Joins behind it stay exact; the sieve
+    only keeps rows that cannot match from being moved. With many more keys than bits it lets all rows pass."""
+    column = wanted.columns[0]
+
+    def place(c: str) -> Column:
+        return F.pmod(F.xxhash64(F.lit(3), F.col(c)), F.lit(SIEVE_BITS))
+
+    bitmaps = (
+        wanted.select(place(column).alias("_p"))
+        .groupBy((F.col("_p") / _BITMAP).cast("int").alias("_bucket"))
+        .agg(F.bitmap_construct_agg(F.col("_p") % _BITMAP).alias("_bits"))
+    )
+    bucket, bits, at = fresh(df, "bucket", "bits", "at")
+    placed = df.withColumn(at, place(key)).withColumn(bucket, (F.col(at) / _BITMAP).cast("int"))
+    # At most SIEVE_BITS / 8 bytes.
+    joined = placed.join(F.broadcast(bitmaps.toDF(bucket, bits)), bucket, "left")
+    bit = F.col(at) % _BITMAP
+    byte = F.conv(F.hex(F.substring(F.col(bits), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = (F.call_function("shiftright", byte, (bit % 8).cast("int")) % 2) == 1
+    return joined.withColumn(out, F.coalesce(found, F.lit(False))).drop(bucket, bits, at)
+
+
+def sieved(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose ``key`` may be among ``wanted``: all that are, and few others."""
+    flag, = fresh(df, "maybe")
+    return maybe_in(df, key, wanted, flag).where(flag).drop(flag)
