@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commentflow.llm.tables import partitions, stored
+from commentflow.llm.tables import maybe_in, partitions, sieved, stored
 from commentflow.llm.windows import anchored_runs, byte_grams, covered
 
 LENGTH = 200
@@ -206,10 +206,10 @@ def _anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
 def _runs(docs: DataFrame, length: int, gram: int, group_runs: int) -> DataFrame:
     """anchor, salt, salted, row_key, first, d1, d2 (digest) and bytes of each run whose anchor occurs twice."""
     anchors = _anchors(docs, length, gram)
-    again = anchors.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1")
-    wanted = anchors.join(again, "anchor").groupBy("row_key").agg(
-        F.collect_set(F.struct("anchor", "times", "first", "n")).alias("runs"))
-    texts = docs.select(_row_key().alias("row_key"), "text").join(wanted, "row_key")
+    again = stored(anchors.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1"), "anchors")
+    found = sieved(anchors, "anchor", again.select("anchor")).join(again, "anchor")
+    wanted = stored(found.groupBy("row_key").agg(F.collect_set(F.struct("anchor", "times", "first", "n")).alias("runs")), "wanted-runs")
+    texts = sieved(docs.select(_row_key().alias("row_key"), "text"), "row_key", wanted.select("row_key")).join(wanted, "row_key")
 
     def run(batches):
         for batch in batches:
@@ -281,7 +281,7 @@ def _judge(distinct: DataFrame, length: int) -> DataFrame:
         many = [k for k, row in enumerate(block) if alone[row[:2]] > 1]
         for k, mask in zip(many, repeated_windows([block[k][5] for k in many], [block[k][6] for k in many], length) if many else ()):
             masks[k] = mask
-        out = []
+        out, told = [], set()
         for row, mask in zip(block, masks):
             if mask is None:
                 mask = np.full(len(row[5]) - length + 1, row[6] > 1)
@@ -289,7 +289,11 @@ def _judge(distinct: DataFrame, length: int) -> DataFrame:
                 out.append((row[3], row[4], _spans(mask), None, None, None))
             if row[2]:
                 data = row[5]
-                out += [(row[3], row[4], None, xxhash.xxh3_128_digest(data[s:s + length]), s, bool(m)) for s, m in enumerate(mask.tolist())]
+                for s, known in enumerate(mask.tolist()):
+                    window = xxhash.xxh3_128_digest(data[s:s + length])
+                    if not known or window not in told:  # of windows known to repeat, one for the block will do
+                        told.add(window)
+                        out.append((row[3], row[4], None, window, s, known))
             if len(out) >= 4096:
                 yield found(out)
                 out = []
@@ -313,18 +317,24 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     twice = loose.groupBy("window").agg(F.count("*").alias("n")).where("n > 1")
     extra = loose.where("not known").join(twice, "window", "left_semi").select("d1", "d2", F.array("at", F.col("at") + 1).alias("spans"))
     verdicts = found.where("window is null").select("d1", "d2", "spans").unionByName(extra)
-    merged = verdicts.groupBy("d1", "d2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    placed = runs.select("d1", "d2", "row_key", "first").join(merged, ["d1", "d2"])
+    placed = runs.select("d1", "d2", "row_key", "first").join(verdicts, ["d1", "d2"])
     # A window that starts at s covers s, ..., s + length - 1.
     moved = F.transform("spans", lambda x, i: x + F.col("first") + F.when(i % 2 == 1, F.lit(length - 1)).otherwise(0))
     return placed.select("row_key", moved.alias("spans")).groupBy("row_key").agg(
         F.flatten(F.collect_list("spans")).alias("spans"))
 
 
+def with_spans(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """The rows with the spans of their row_key, null for none; texts that have none are not moved."""
+    told = maybe_in(rows, "row_key", spans.select("row_key"), "_maybe")
+    whole = told.where("not _maybe").withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
+    return whole.unionByName(told.where("_maybe").join(spans, "row_key", "left")).drop("_maybe")
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_runs: int = GROUP_RUNS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept, the remaining bytes, of every text."""
-    spans = repeated_spans(docs, length, gram, group_runs)
-    rows = docs.select("doc_id", _row_key().alias("row_key"), "text").join(spans, "row_key", "left").select("doc_id", "text", "spans")
+    spans = stored(repeated_spans(docs, length, gram, group_runs), "spans")
+    rows = with_spans(docs.select("doc_id", _row_key().alias("row_key"), "text"), spans).select("doc_id", "text", "spans")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
