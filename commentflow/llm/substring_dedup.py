@@ -29,8 +29,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from commentflow.llm.suffix_dedup import _buffers, _signed
-from commentflow.llm.tables import stored
+from commentflow.llm.suffix_dedup import _buffers, _signed, with_spans
+from commentflow.llm.tables import sieved, stored
 from commentflow.llm.windows import anchored_runs, covered
 from commentflow.llm.wordhash import shingles, word_bounds, word_hashes
 
@@ -82,14 +82,17 @@ def _joined(text: bytes) -> tuple[bytes, np.ndarray]:
 
 
 def _runs(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """anchor, row_key, doc_id, first, n, d1, d2 (digest), words of each run whose anchor occurs in two documents."""
+    """anchor, row_key, doc_id, first, n, d1, d2 (digest of its words) of each run whose anchor occurs in two documents."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     anchors = _anchors(docs, window, gram)
-    again = anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
-    wanted = anchors.join(again, "anchor", "left_semi").groupBy("row_key").agg(F.collect_set(F.struct("anchor", "first", "n")).alias("runs"))
-    texts = docs.select(_row_key().alias("row_key"), "doc_id", "text").join(wanted, "row_key").select("row_key", "doc_id", "text", "runs")
+    ends = anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+    again = stored(ends.where("a < b").select("anchor"), "word-anchors")
+    found = sieved(anchors, "anchor", again).join(again, "anchor", "left_semi")
+    wanted = stored(found.groupBy("row_key").agg(F.collect_set(F.struct("anchor", "first", "n")).alias("runs")), "wanted-word-runs")
+    keyed = sieved(docs.select(_row_key().alias("row_key"), "doc_id", "text"), "row_key", wanted.select("row_key"))
+    texts = keyed.join(wanted, "row_key").select("row_key", "doc_id", "text", "runs")
     fields = [("anchor", "bigint", pa.int64()), ("row_key", "bigint", pa.int64()), ("doc_id", kind, None), ("first", "int", pa.int32()),
-              ("n", "int", pa.int32()), ("d1", "bigint", pa.int64()), ("d2", "bigint", pa.int64()), ("words", "binary", pa.binary())]
+              ("n", "int", pa.int32()), ("d1", "bigint", pa.int64()), ("d2", "bigint", pa.int64())]
 
     def run(batches):
         for batch in batches:
@@ -102,7 +105,7 @@ def _runs(docs: DataFrame, window: int, gram: int) -> DataFrame:
                     for r in runs:
                         piece = line[at[r["first"]]:at[r["first"] + r["n"] + window - 1] - 1]
                         digest = xxhash.xxh3_128_intdigest(piece)
-                        rows.append((r["anchor"], key, doc_id, r["first"], r["n"], _signed(digest >> 64), _signed(digest & 0xFFFFFFFFFFFFFFFF), piece))
+                        rows.append((r["anchor"], key, doc_id, r["first"], r["n"], _signed(digest >> 64), _signed(digest & 0xFFFFFFFFFFFFFFFF)))
                         if len(rows) >= 4096:
                             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=[f[0] for f in fields])
                             rows = []
@@ -112,40 +115,46 @@ def _runs(docs: DataFrame, window: int, gram: int) -> DataFrame:
     return texts.mapInArrow(run, ", ".join(f"{n} {t}" for n, t, _ in fields))
 
 
-def _kmers(runs: DataFrame, window: int) -> DataFrame:
-    """k1, k2 (digest), d1, d2, at and doc_id for every k-mer of ``runs(d1, d2, doc_id, words)``."""
-    kind = runs.schema["doc_id"].dataType.simpleString()
+def _kmers(docs: DataFrame, picked: DataFrame, window: int) -> DataFrame:
+    """k1, k2 (digest), d1, d2, at and doc_id for every k-mer of the runs ``picked(row_key, runs(first, n, d1, d2))``."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    keyed = sieved(docs.select(_row_key().alias("row_key"), "doc_id", "text"), "row_key", picked.select("row_key"))
+    texts = keyed.join(picked, "row_key").select("doc_id", "text", "runs")
 
     def run(batches):
         for batch in batches:
-            for k in range(0, batch.num_rows, 1024):
-                part = batch.slice(k, 1024)
-                high, low, of, at = [], [], [], []
-                for i, words in enumerate(part.column(3).to_pylist()):
-                    ends = np.append(np.flatnonzero(np.frombuffer(words, dtype=np.uint8) == 0x20), len(words)).tolist()
-                    begin = 0
-                    for s in range(len(ends) - window + 1):
-                        digest = xxhash.xxh3_128_intdigest(words[begin:ends[s + window - 1]])
-                        high.append(_signed(digest >> 64))
-                        low.append(_signed(digest & 0xFFFFFFFFFFFFFFFF))
-                        of.append(i)
-                        at.append(s)
-                        begin = ends[s] + 1
-                take = pa.array(of, pa.int64())
+            for k in range(0, batch.num_rows, 32):
+                part = batch.slice(k, 32)
+                high, low, d1, d2, places, of = [], [], [], [], [], []
+                for i, (text, runs) in enumerate(zip(part.column(1).to_pylist(), part.column(2).to_pylist())):
+                    line, at = _joined((text or "").encode("utf-8"))
+                    at = at.tolist()
+                    for r in runs:
+                        for s in range(r["n"]):
+                            begin = r["first"] + s
+                            digest = xxhash.xxh3_128_intdigest(line[at[begin]:at[begin + window] - 1])
+                            high.append(_signed(digest >> 64))
+                            low.append(_signed(digest & 0xFFFFFFFFFFFFFFFF))
+                            d1.append(r["d1"])
+                            d2.append(r["d2"])
+                            places.append(s)
+                            of.append(i)
                 yield pa.record_batch(
-                    [pa.array(high, pa.int64()), pa.array(low, pa.int64()), part.column(0).take(take), part.column(1).take(take),
-                     pa.array(at, pa.int32()), part.column(2).take(take)],
+                    [pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
+                     pa.array(places, pa.int32()), part.column(0).take(pa.array(of, pa.int64()))],
                     names=["k1", "k2", "d1", "d2", "at", "doc_id"])
 
-    return runs.select("d1", "d2", "doc_id", "words").mapInArrow(run, f"k1 bigint, k2 bigint, d1 bigint, d2 bigint, at int, doc_id {kind}")
+    return texts.mapInArrow(run, f"k1 bigint, k2 bigint, d1 bigint, d2 bigint, at int, doc_id {kind}")
 
 
-def _sources(runs: DataFrame, window: int) -> DataFrame:
+def _sources(docs: DataFrame, runs: DataFrame, window: int) -> DataFrame:
     """For each different run its pieces: array of (at, n, doc_id), the least document that has these k-mers."""
     distinct = stored(runs.groupBy("anchor", "d1", "d2").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("words").alias("words")), "distinct-runs")
-    several = distinct.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").select("anchor")
-    edges = _kmers(distinct.join(several, "anchor", "left_semi"), window)
+        F.min(F.struct("doc_id", "row_key", "first", "n")).alias("src")).select("anchor", "d1", "d2", "src.*"), "distinct-runs")
+    several = stored(distinct.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").select("anchor"), "several-runs")
+    picked = stored(distinct.join(several, "anchor", "left_semi").groupBy("row_key").agg(
+        F.collect_list(F.struct("first", "n", "d1", "d2")).alias("runs")), "picked-runs")
+    edges = _kmers(docs, picked, window)
     least = edges.groupBy("k1", "k2").agg(F.min("doc_id").alias("source"))
     judged = edges.join(least, ["k1", "k2"]).groupBy("d1", "d2").agg(
         F.collect_list(F.struct("at", F.lit(1).alias("n"), F.col("source").alias("doc_id"))).alias("pieces"))
@@ -193,7 +202,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     runs = stored(_runs(docs, window, gram), "word-runs")
     occurrences = runs.select("row_key", "doc_id", "first", "n", "d1", "d2").dropDuplicates(["row_key", "first"])
     paths = stored(_paths(occurrences), "paths")
-    pieces = _sources(runs, window).join(paths, ["d1", "d2"]).groupBy("path_key", "path_no").agg(
+    pieces = _sources(docs, runs, window).join(paths, ["d1", "d2"]).groupBy("path_key", "path_no").agg(
         F.flatten(F.collect_list(F.transform("pieces", lambda p: F.struct(
             (F.col("offset") + p["at"]).alias("at"), p["n"].alias("n"), p["doc_id"].alias("doc_id"))))).alias("pieces"))
     heads = paths.where("offset = 0").join(pieces, ["path_key", "path_no"]).select("d1", "d2", "pieces")
@@ -207,8 +216,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and kept, the remaining words joined by one blank, of every text."""
-    spans = repeated_spans(docs, window, gram)
-    rows = docs.select("doc_id", _row_key().alias("row_key"), "text").join(spans, "row_key", "left").select("doc_id", "text", "spans")
+    spans = stored(repeated_spans(docs, window, gram), "word-spans")
+    rows = with_spans(docs.select("doc_id", _row_key().alias("row_key"), "text"), spans).select("doc_id", "text", "spans")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
