@@ -50,7 +50,9 @@ class MinHash:
 
     def signature(self, data: bytes) -> np.ndarray:
         """The minima of the permuted shingles, reduced to 16 bits; all ones for a text without words."""
-        x = self.shingles(data)
+        return self.minima(self.shingles(data))
+
+    def minima(self, x: np.ndarray) -> np.ndarray:
         least = np.full(self.n, np.iinfo(np.uint64).max, dtype=np.uint64)
         for k in range(0, len(x), _BLOCK):
             values = self.a[:, None] * x[None, k:k + _BLOCK]

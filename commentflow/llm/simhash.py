@@ -95,7 +95,7 @@ def _moved(planes: np.ndarray, at: np.ndarray, d: int) -> np.ndarray:
 def bit_sliced(fps: np.ndarray, ends: np.ndarray, radius: int = RADIUS):
     """Pairs (i, j) of rows, i < j < ends[i], whose fingerprints differ in ``radius`` bits or fewer, by growing j - i.
 
-    ``ends[i]`` is the end of the run of rows that row i is compared with. ``radius`` is below 7."""
+    ``ends[i]`` is the end of the run of rows that row i is compared with. ``radius`` is below 32."""
     n = len(fps)
     if n < 2:
         return
@@ -110,23 +110,22 @@ def bit_sliced(fps: np.ndarray, ends: np.ndarray, radius: int = RADIUS):
         if not len(at):
             return
         over = ~alive[at]
-        one, two, four = (np.zeros(len(at), dtype=np.uint64) for _ in range(3))
+        tally = [np.zeros(len(at), dtype=np.uint64) for _ in range(max(3, (radius + 1).bit_length()))]
         for b in range(64):
             x = planes[b, at] ^ _moved(planes[b], at, d)
-            carry = one & x
-            one ^= x
-            x = two & carry
-            two ^= carry
-            over |= four & x
-            four ^= x
+            for plane in tally:
+                carry = plane & x
+                plane ^= x
+                x = carry
+            over |= x
             if b % 8 == 7 and b < 63:
-                live = (over | _beyond(one, two, four, radius)) != full
+                live = (over | _beyond(tally, radius)) != full
                 if not live.all():
-                    at, over, one, two, four = at[live], over[live], one[live], two[live], four[live]
+                    at, over, tally = at[live], over[live], [plane[live] for plane in tally]
                     if not len(at):
                         break
         if len(at):
-            hit = ~(over | _beyond(one, two, four, radius))
+            hit = ~(over | _beyond(tally, radius))
             if hit.any():
                 bits = np.unpackbits(hit.view(np.uint8), bitorder="little").reshape(-1, 64)
                 rows, columns = np.nonzero(bits)
@@ -134,11 +133,11 @@ def bit_sliced(fps: np.ndarray, ends: np.ndarray, radius: int = RADIUS):
                 yield i, i + d
 
 
-def _beyond(one, two, four, radius):
-    """Lanes whose three-bit counter is above the radius."""
-    above, same = np.zeros_like(one), np.full_like(one, 0xFFFFFFFFFFFFFFFF)
-    for plane, bit in ((four, 4), (two, 2), (one, 1)):
-        if radius & bit:
+def _beyond(tally, radius):
+    """Lanes whose counter, given by its bit planes from the lowest, is above the radius."""
+    above, same = np.zeros_like(tally[0]), np.full_like(tally[0], 0xFFFFFFFFFFFFFFFF)
+    for k, plane in reversed(list(enumerate(tally))):
+        if radius >> k & 1:
             same = same & plane
         else:
             above |= same & plane

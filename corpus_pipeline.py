@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from commentflow.llm import line_dedup, mixing, sentencepiece_codec, simhash, toxicity
+from commentflow.llm import line_dedup, mixing, near_dedup, sentencepiece_codec, toxicity
 from commentflow.llm.tables import documents, stored
 
 
@@ -23,8 +23,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return simhash.keep_one(docs)
+    """One document of each group of documents linked by five-word shingles alike by 0.8 or more."""
+    return near_dedup.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
