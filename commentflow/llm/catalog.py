@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from commentflow.llm import fingerprints, license_scan, line_dedup, mixing, quality_rules, sentencepiece_codec, simhash, substring_dedup, suffix_dedup, toxicity
+from commentflow.llm import (
+    fingerprints, license_scan, line_dedup, mixing, packing, quality_rules, resampling, sentencepiece_codec, simhash, spelling,
+    substring_dedup, suffix_dedup, toxicity,
+)
 from commentflow.llm.tables import documents
 
 
@@ -48,6 +51,19 @@ def op10_substring_dedup(spark, sf_dir):
     return substring_dedup.remove_repeats(documents(spark, sf_dir)).drop("kept")
 
 
+def op11_resampling(spark, sf_dir):
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return resampling.resample(documents(spark, sf_dir), target).drop("n_words")
+
+
+def op12_packing(spark, sf_dir):
+    return packing.pack(documents(spark, sf_dir), with_ids=False)
+
+
+def op13_spelling(spark, sf_dir):
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_license_scan": op2_license_scan,
@@ -59,6 +75,9 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_resampling": op11_resampling,
+    "op12_packing": op12_packing,
+    "op13_spelling": op13_spelling,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -67,6 +86,8 @@ SQL = {
     "op7_quality_rules": quality_rules.SQL,
     "op8_line_dedup": line_dedup.SQL,
     "op9_mixing": mixing.SQL,
+    "op11_resampling": resampling.SQL,
+    "op13_spelling": spelling.SQL,
 }
 
 if corpus_pipeline.ORACLE_SQL is not None:
