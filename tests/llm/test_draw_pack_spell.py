@@ -2,9 +2,11 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 from collections import Counter, defaultdict
+from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -92,10 +94,15 @@ def test_resampling_without_rows_or_targets(spark):
 
 # ---- packing ------------------------------------------------------------------------------
 
-def plain_ids(text):
+@lru_cache
+def tokenizer():
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(packing.TOKENIZER).encode(text or "", add_special_tokens=False).ids + [1]
+    return Tokenizer.from_file(packing.TOKENIZER)
+
+
+def plain_ids(text):
+    return tokenizer().encode(text or "", add_special_tokens=False).ids + [1]
 
 
 def check_packed(rows, packed, sizes, step_windows=packing.STEP_WINDOWS):
@@ -156,15 +163,40 @@ def test_packing_without_rows(spark):
         packing.pack(table(spark, odd_rows()), sizes=(100, 50))
 
 
+BITS = ["word", "Ünï", "漢字", "'s", "don't", "12", "...", "\n", "\t", " ", "  ", " \n ", "<|endoftext|>", " ", " ", "!", ",", "x" * 60, "\u0301", "_",
+        "\u00a0", "\u3000", "Ⅷ", "²", "🙂", "\u0e31", "\U00010400", "\x1c", "\x85", "ᲀ"]
+
+
+def mixed_texts(seed, n=500):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(BITS) + rng.choice(["", " ", " ", "  "]) for _ in range(rng.randint(0, 40))) for _ in range(n)]
+
+
+def test_ids_are_those_of_the_tokenizer():
+    quick, slow = packing.Encoder(packing.TOKENIZER, packing.RANKS), packing.Encoder(packing.TOKENIZER, None)
+    texts = mixed_texts(9) + [" " * 10_000 + "x", "\n" * 5000, "y" * 20_000]
+    for bit in BITS:  # texts of few different characters, so that either library gets some
+        texts += [bit, f" {bit}{bit} word{bit}", f"{bit} \n{bit}"]
+    assert sum(quick._odd.search(t) is None for t in texts) > 30
+    for text in texts:
+        assert np.frombuffer(quick(text), dtype="<i4").tolist() == np.frombuffer(slow(text), dtype="<i4").tolist() == plain_ids(text)[:-1]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_ids_of_a_table_are_those_of_the_tokenizer(spark):
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    quick, slow = packing.Encoder(packing.TOKENIZER, packing.RANKS), packing.Encoder(packing.TOKENIZER, None)
+    assert all(quick(t) == slow(t) for t in texts)
+
+
 def test_units_give_the_ids_of_whole_texts():
-    rng = random.Random(9)
-    bits = ["word", "Ünï", "漢字", "'s", "don't", "12", "...", "\n", "\t", " ", "  ", " \n ", "<|endoftext|>", " ", " ", "!", ",", "x" * 60, "́", "_"]
-    texts = ["".join(rng.choice(bits) + rng.choice(["", " ", " ", "  "]) for _ in range(rng.randint(0, 40))) for _ in range(500)]
-    units = packing._units(packing.TOKENIZER)
+    texts, one = mixed_texts(3), lambda t: tokenizer().encode(t, add_special_tokens=False).ids
+    many = lambda units: [one(u) for u in units]
+    units = Units(one, many)
     for _ in range(2):  # new units, then known ones
         for text, ids in zip(texts, units.join(texts)):
             assert np.frombuffer(ids, dtype="<i4").tolist() == plain_ids(text)[:-1]
-    small = Units(units._encode, most=3)
+    small = Units(one, many, most=3)
     assert [small.join([t])[0] for t in texts[:50]] == units.join(texts[:50])
 
 
