@@ -42,9 +42,9 @@ def baseline_tfidf_svm(
     df: DataFrame, text_col: str = "text", y: str = "label", weight_col: str | None = None,
     max_iter: int = 20, reg: float = 0.01, features: int = FEATURES,
 ) -> PipelineModel:
-    """TF-IDF with one linear SVM per class."""
+    """TF-IDF with one linear SVM per class, fitted one after another: threads that share one plan have failed to ship their tasks."""
     svm = LinearSVC(featuresCol="features", maxIter=max_iter, regParam=reg)
-    classifier = OneVsRest(classifier=svm, featuresCol="features", labelCol=y, parallelism=3)
+    classifier = OneVsRest(classifier=svm, featuresCol="features", labelCol=y, parallelism=1)
     if weight_col is not None:
         classifier = classifier.setWeightCol(weight_col)
     return Pipeline(stages=[*_tfidf(text_col, features), classifier]).fit(df)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from commentflow.functions.text import tokens
@@ -33,21 +33,30 @@ def pack_chunks(
 ) -> DataFrame:
     """Fixed-size token blocks: the tokens of each batch of rows are joined and cut, the rest dropped.
 
-    A batch holds ``batch_rows`` consecutive rows of at most ``max_len`` tokens, so the joined array
-    is bounded. Batches come from a bucketed rank; nothing is sorted in one place.
+    A batch holds ``batch_rows`` consecutive rows. The sum of the token counts before a row, inside its batch, tells
+    which blocks its tokens belong to, so rows are cut where they are and no more than a block is ever put together.
     """
     short = tokenize_truncate(df.filter(F.col(text_col).isNotNull()), text_col, max_len, tokenizer)
     ranked = with_rank(short.select(order_by, "tokens"), (), order_by, out="_rank")
-    batches = ranked.groupBy(F.floor(F.col("_rank") / batch_rows).alias("batch")).agg(
-        F.flatten(
-            F.transform(F.array_sort(F.collect_list(F.struct("_rank", "tokens"))), lambda r: r["tokens"])
-        ).alias("_joined")
+    before = Window.partitionBy("batch").orderBy("_rank").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (
+        ranked.withColumn("batch", F.floor(F.col("_rank") / batch_rows))
+        .withColumn("_at", F.coalesce(F.sum(F.size("tokens")).over(before), F.lit(0)))
+        .withColumn("_end", F.col("_at") + F.size("tokens"))
+        .filter("_end > _at")
     )
-    blocks = F.floor(F.size("_joined") / max_len).cast("int")
-    numbers = F.when(blocks > 0, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array().cast("array<int>"))
-    # Cut inside the row: past the explode a block carries its own tokens only.
-    cut = F.transform(numbers, lambda b: F.slice("_joined", b * max_len + 1, max_len))
-    return batches.select("batch", F.posexplode(cut).alias("block", "tokens"))
+
+    def piece(block: Column) -> Column:
+        start, end = F.greatest(F.col("_at"), block * max_len), F.least(F.col("_end"), (block + 1) * max_len)
+        return F.struct(
+            block.cast("int").alias("block"), start.alias("start"),
+            F.slice("tokens", (start - F.col("_at") + 1).cast("int"), (end - start).cast("int")).alias("part"))
+
+    blocks = F.sequence(F.floor(F.col("_at") / max_len), F.floor((F.col("_end") - 1) / max_len))
+    pieces = placed.select("batch", F.inline(F.transform(blocks, piece)))
+    ordered = F.array_sort(F.collect_list(F.struct("start", "part")))
+    joined = pieces.groupBy("batch", "block").agg(F.flatten(F.transform(ordered, lambda p: p["part"])).alias("tokens"))
+    return joined.filter(F.size("tokens") == max_len)
 
 
 def corpus_stats(

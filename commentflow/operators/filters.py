@@ -94,9 +94,9 @@ def filter_source_in(df: DataFrame, sources: Sequence[str] = PLATFORMS, source_c
 
 
 def top_topics_semi(df: DataFrame, top_n: int = 10, topic_col: str = "topic") -> DataFrame:
-    """Rows of the most frequent topics. The broadcast side holds ``top_n`` values."""
+    """Rows of the most frequent topics; whether these are broadcast is left to the planner, which sees their size."""
     top = top_values(df, topic_col, top_n).select(topic_col)
-    return df.join(F.broadcast(top), topic_col, "left_semi")
+    return df.join(top, topic_col, "left_semi")
 
 
 def drop_missing_text(df: DataFrame, text_col: str = "text") -> DataFrame:

@@ -1,7 +1,7 @@
 """Crawl post-processing over stored pages.
 
-Links and text segments of a page are picked out with array expressions inside the row, so no
-shuffle is needed until rows of different pages meet.
+A page becomes an array of tokens (texts, tags, comments, scripts) in one pass. Links and text segments are picked out
+of it with array expressions inside the row, so no shuffle is needed until rows of different pages meet.
 """
 
 from __future__ import annotations
@@ -18,10 +18,20 @@ from commentflow.operators.dedup import (
     COMMENTS_PER_POST, cap_per_group, dedup_exact_in_group, dedup_prefix80,
 )
 
-ANCHOR = r"(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)"
-INVISIBLE = r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->"
-SEGMENT = r"(?is)<p(?:\s[^>]*)?>(.*?)</p>"
-TAG = r"(?s)<[^>]*>"
+# One alternation reads a page from left to right, so what is inside a comment, a script or a quoted value is never
+# taken for markup. Comments, scripts and styles that are not closed run to the end of the page. A quote opens a value
+# only behind an equals sign; one that is never closed is an ordinary character.
+_REST = r"[^>=]*(?:=\s*(?:\"[^\"]*\"|'[^']*'|)[^>=]*)*>"
+TOKEN = (
+    r"(?is)<!--.*?(?:-->|\z)"
+    + "".join(rf"|<{name}(?:\s{_REST}|>).*?(?:</{name}\s*>|\z)" for name in ("script", "style"))
+    + rf"|</?[a-z]{_REST}|<[!?/][^>]*>|[^<]+|<"
+)
+ATTRIBUTE = r"(?is)[^\s=>\"'/]+\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"']+)"
+HREF = r"(?is)^href\s*=\s*"
+LINK, OPENS, CLOSES = r"(?i)^<a\s", r"(?i)^<p[\s>/]", r"(?i)^</p\s*>"
+#: Characters that stand for the start and the end of a paragraph; pages lose them if they hold any.
+START, END = "\x01", "\x02"
 NUMERIC_ENTITY = r"^(?:[xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
 
 # ---- fixed values -------------------------------------------------------------------------
@@ -40,8 +50,11 @@ def extract_anchors(
     """Distinct absolute link targets of each page in order of appearance.
 
     Comments, scripts and styles hold no links; a value may stand in double quotes, single quotes or none."""
-    raw = F.regexp_extract_all(F.regexp_replace(html_col, INVISIBLE, ""), F.lit(ANCHOR), F.lit(1))
-    hrefs = F.transform(raw, lambda h: decode_entities(F.regexp_replace(h, "^[\"']|[\"']$", "")))
+    links = F.filter(tokens(F.col(html_col)), lambda t: t.rlike(LINK))
+    # The first attribute of that name counts, and no part of another one's value.
+    named = F.transform(links, lambda t: F.get(F.filter(F.regexp_extract_all(t, F.lit(ATTRIBUTE), F.lit(0)), lambda a: a.rlike(HREF)), F.lit(0)))
+    values = F.transform(F.filter(named, lambda a: a.isNotNull()), lambda a: F.regexp_replace(a, HREF, ""))
+    hrefs = F.transform(values, lambda h: decode_entities(F.regexp_replace(h, "^[\"']|[\"']$", "")))
     if pattern is not None:
         hrefs = F.filter(hrefs, lambda h: h.rlike(pattern))
     links = F.array_distinct(F.transform(hrefs, lambda h: absolute_url(h, site)))
@@ -66,17 +79,27 @@ def decode_entities(text: Column) -> Column:
     return F.when(text.contains("&"), decoded).otherwise(text)
 
 
-def plain_text(fragment: Column) -> Column:
-    """Visible text of an HTML fragment: tags dropped, entities decoded, whitespace trimmed."""
-    bare = F.regexp_replace(fragment, TAG, "")
-    return strip_space(decode_entities(bare))
+def _possessive(pattern: str) -> str:
+    """The same pattern without steps back, which long tags would need a deep stack for."""
+    return pattern.replace("[^>=]*", "[^>=]*+").replace("[^>=]*+)*>", "[^>=]*+)*+>")
+
+
+def tokens(html: Column) -> Column:
+    """The texts, tags, comments, scripts and styles of a page, in order."""
+    return F.regexp_extract_all(html, F.lit(_possessive(TOKEN)), F.lit(0))
 
 
 def segment_array(html: Column) -> Column:
-    """Raw content of every paragraph; an unclosed paragraph ends where the next one opens."""
-    visible = F.regexp_replace(html, INVISIBLE, "")
-    closed = F.regexp_replace(visible, r"(?i)<p(\s[^>]*)?>", "</p><p>")
-    return F.regexp_extract_all(closed, F.lit(SEGMENT), F.lit(1))
+    """Visible text of every paragraph; one that is not closed ends where the next one opens, or with the page."""
+    def shown(token: Column) -> Column:
+        markup = token.startswith("<") & (F.length(token) > 1)
+        mark = F.when(token.rlike(OPENS), F.lit(START)).when(token.rlike(CLOSES), F.lit(END)).otherwise(F.lit(""))
+        return F.when(markup, mark).otherwise(token)
+
+    marked = F.array_join(F.transform(tokens(F.translate(html, START + END, "")), shown), "")
+    opened = F.split(marked, START)
+    parts = F.slice(opened, F.lit(2), F.greatest(F.size(opened) - 1, F.lit(0)))
+    return F.transform(parts, lambda p: strip_space(decode_entities(F.substring_index(p, END, 1))))
 
 
 def keep_comment(text: Column, shortest: int = 5, interface_rules: bool = True) -> Column:
@@ -102,8 +125,7 @@ def extract_segments(
     """
     others = [c for c in pages.columns if c != html_col]
     # Cleaned inside the array: past the explode a text is a plain column, evaluated once for all rules.
-    texts = F.transform(segment_array(F.col(html_col)), plain_text)
-    rows = pages.select(*others, F.posexplode(texts).alias("position", "text"))
+    rows = pages.select(*others, F.posexplode(segment_array(F.col(html_col))).alias("position", "text"))
     if skip_first:
         rows = rows.filter(F.col("position") > 0)
     return rows.filter(keep_comment(F.col("text"), shortest, interface_rules))

@@ -7,6 +7,9 @@
   number follows the table and no task sorts a whole group.
 * ``cap_rows`` cuts groups on a salted key first, which Spark does in the map tasks where it can, and ranks what
   is left. The plan is the same for every limit.
+
+Both write their input to the shared folder first: it is run once, and the count, the sample of the ranges and the
+ranking read the files.
 """
 
 from __future__ import annotations
@@ -45,13 +48,13 @@ def cap_rows(
     df: DataFrame, keys: Sequence[str | Column], order_by, n: int, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """First ``n`` rows of every group in the given order."""
-    order = _order(order_by)
+    order, df = _order(order_by), stored(df, "to-cap")
     named = {f"_key{i}": k if isinstance(k, Column) else F.col(k) for i, k in enumerate(keys)}
     spread = [c for c in order if isinstance(c, str)] or df.columns
     salt = F.pmod(F.xxhash64(*spread), F.lit(_blocks(df, block_rows)))
     salted = df.withColumns({**named, "_salt": salt})
     left = limit_rows(salted, [*named, "_salt"], order, n).drop("_salt")
-    ranked = with_rank(left, list(named), order, out="_rank", block_rows=block_rows)
+    ranked = with_rank(left, list(named), order, "_rank", block_rows)
     return ranked.filter(F.col("_rank") < n).select(*df.columns)
 
 
@@ -117,7 +120,7 @@ def with_rank(
     Nulls come first and are ranked like any value; rows equal in the whole order share out their ranks
     arbitrarily. The ranked rows are written to the shared folder, so each keeps its block and rank.
     """
-    order = _order(order_by)
+    order, df = _order(order_by), stored(df, "to-rank")
     dealt = df.repartitionByRange(_blocks(df, block_rows), *keys, *order).withColumn("_block", F.spark_partition_id())
     inside = Window.partitionBy("_block", *keys).orderBy(*order)
     ranked = stored(dealt.withColumn("_inside", F.row_number().over(inside) - 1), "ranked")

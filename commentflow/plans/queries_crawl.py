@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from commentflow.operators import corpus, pages
 from commentflow.operators.inference import lexicon_column
 from commentflow.operators.joins import DIGEST, row_digest
-from commentflow.operators.pages import ANCHOR, INVISIBLE
+from commentflow.operators.pages import ATTRIBUTE, HREF, LINK
 from commentflow.operators.sampling import train_test_split
 from commentflow.plans.registry import query
 from commentflow.plans.scratch import new_dir, stored
-from commentflow.plans.tables import LEXICON, Tables, entities_sql
-from commentflow.streaming import counts, ingest, moderation
+from commentflow.plans.tables import LEXICON, Tables, entities_sql, tokens_sql
+from commentflow.streaming import counts, ingest, moderation, routing
 from commentflow.streaming.sinks import read_sink
 
 ONCE = {"availableNow": True}
@@ -20,9 +20,11 @@ ONCE = {"availableNow": True}
 
 def _anchors_sql(keep: str, cap: str) -> str:
     href = entities_sql("regexp_replace(h, '^[\"'']|[\"'']$', '', 'g')")
-    pattern = ANCHOR.replace("'", "''")
+    attribute, tokens = ATTRIBUTE.replace("'", "''"), tokens_sql("html")
     return f"""
-with a as (select page_id, regexp_extract_all(regexp_replace(html, '{INVISIBLE}', '', 'g'), '{pattern}', 1) as raw from pages),
+with t as (select page_id, list_filter({tokens}, lambda t: regexp_matches(t, '{LINK}')) as links from pages),
+n as (select page_id, list_transform(links, lambda t: list_filter(regexp_extract_all(t, '{attribute}'), lambda a: regexp_matches(a, '{HREF}'))[1]) as named from t),
+a as (select page_id, list_transform(list_filter(named, lambda a: a is not null), lambda a: regexp_replace(a, '{HREF}', '')) as raw from n),
 h as (select page_id, list_transform(raw, lambda h: {href}) as hrefs from a),
 k as (select page_id, list_filter(hrefs, lambda h: {keep}) as hrefs from h),
 e as (select page_id, unnest(hrefs) as href, unnest(range(len(hrefs))) as pos from k),
@@ -138,6 +140,45 @@ def _(t: Tables):
     return t.spark.read.parquet(sink).select("conv_id", "turn", "predicted_label", "is_target")
 
 
+_DELAY = 10  # seconds
+
+
+@query("stream_moderation_routed", f"""
+with timed as (
+    select conv_id, turn, text, 1704067200 + conv_id as moment, (conv_id * 4) // (max(conv_id) over () + 1) as part from conversations),
+arrived as (
+    select * replace (case when conv_id % 11 = 0 then 3 else part end as part) from timed
+    union all select * replace (part + 1 as part) from timed where conv_id % 7 = 0 and conv_id % 11 <> 0 and part < 3),
+tops as (select part, max(max(moment)) over (order by part rows between unbounded preceding and 1 preceding) as top from arrived where {_CLEAN} <> '' group by part),
+judged as (
+    select a.*, coalesce(moment <= top - {_DELAY}, false) as late from arrived a left join tops using (part) where {_CLEAN} <> ''),
+routed as (
+    select *, case when late then 'late' when row_number() over (partition by conv_id, turn, late order by part) = 1 then 'kept' else 'repeated' end as route
+    from judged)
+select conv_id, turn, cast(part as int) as part, route, case when route = 'kept' then {lexicon_sql('text')} end as predicted_label from routed""", ())
+def _(t: Tables):
+    """Four files, one a micro-batch: some comments come again in the next file, some only in the last."""
+    spark, said = t.spark, t.table("conversations")
+    size = said.agg(F.max("conv_id")).first()[0] + 1
+    late = F.col("conv_id") % 11 == 0
+    part = F.floor(F.col("conv_id") * 4 / size).cast("int")
+    timed = said.select("conv_id", "turn", "text", F.timestamp_seconds(F.lit(1704067200) + F.col("conv_id")).alias("ts"),
+                        F.when(late, F.lit(3)).otherwise(part).alias("part"))
+    again = timed.filter((F.col("conv_id") % 7 == 0) & ~late & (F.col("part") < 3)).withColumn("part", F.col("part") + 1)
+    arrived = stored(timed.unionByName(again), "arrived")
+    source = new_dir(spark, "arriving")
+    for k in range(4):
+        arrived.filter(F.col("part") == k).coalesce(1).write.mode("append").parquet(source)
+    sink, rest, checkpoint = (new_dir(spark, name) for name in ("routed", "rest", "routed-state"))
+    stream = spark.readStream.schema(arrived.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    routing.stream_moderation_routed(
+        stream, sink, rest, checkpoint, lexicon_column(LEXICON), ["conv_id", "turn"], delay=f"{_DELAY} seconds", trigger=ONCE
+    ).awaitTermination()
+    columns = ["conv_id", "turn", "part", "route", "predicted_label"]
+    kept = read_sink(spark, sink).withColumn("route", F.lit(routing.KEPT)).select(*columns)
+    return kept.unionByName(read_sink(spark, rest).withColumn("predicted_label", F.lit(None).cast("int")).select(*columns))
+
+
 @query("stream_ingest_dedup", rf"""
 with d as (select doc_id, {_CLEAN} as cut, source, lang from documents),
 s as (select d.* from d join labels using (doc_id))

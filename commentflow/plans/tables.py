@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from commentflow.functions.text import SPACE_CLASS
 from commentflow.operators.filters import COUNTER, RELATIVE_TIME, REPLY_PREFIX, UI_CAPTIONS
-from commentflow.operators.pages import ENTITIES, INVISIBLE, NUMERIC_ENTITY, SEGMENT, TAG
+from commentflow.operators.pages import CLOSES, ENTITIES, NUMERIC_ENTITY, OPENS, TOKEN
 from commentflow.operators.sampling import stratified_kfold
 from commentflow.plans.scratch import scratch_root
 from commentflow.schema import CLASSES
@@ -22,7 +22,12 @@ LEXICON = {
     "scum": 2, "trash": 2, "worthless": 2, "pathetic": 2, "disgusting": 2,
 }
 
-TAGLESS = f"regexp_replace(raw, '{TAG}', '', 'g')"
+def tokens_sql(html: str) -> str:
+    return f"regexp_extract_all({html}, '{TOKEN.replace(chr(39), chr(39) * 2)}')"
+
+
+_SHOWN = f"""case when t[1] <> '<' or length(t) = 1 then t
+when regexp_matches(t, '{OPENS}') then chr(1) when regexp_matches(t, '{CLOSES}') then chr(2) else '' end"""
 
 
 def entities_sql(expr: str) -> str:
@@ -72,12 +77,11 @@ select *, case when cast('0x' || substr(md5(cast(id as varchar)), 1, 8) as bigin
                then 'test' else 'train' end as split_set
 from posts""",
     "paragraphs": f"""
-select page_id, url, position, regexp_replace({entities_sql(TAGLESS)}, '^[{SPACE_CLASS}]+|[{SPACE_CLASS}]+$', '', 'g') as text
+select page_id, url, position, regexp_replace({entities_sql("string_split(raw, chr(2))[1]")}, '^[{SPACE_CLASS}]+|[{SPACE_CLASS}]+$', '', 'g') as text
 from (
   select page_id, url, unnest(parts) as raw, unnest(range(len(parts))) as position
   from (
-    select page_id, url, regexp_extract_all(
-      regexp_replace(regexp_replace(html, '{INVISIBLE}', '', 'g'), '(?i)<p(\\s[^>]*)?>', '</p><p>', 'g'), '{SEGMENT}', 1) as parts
+    select page_id, url, string_split(array_to_string(list_transform({tokens_sql("translate(html, chr(1) || chr(2), '')")}, lambda t: {_SHOWN}), ''), chr(1))[2:] as parts
     from pages))""",
     "segments": f"""
 select page_id, url, position, text from paragraphs

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from commentflow.streaming.sinks import PRODUCTION_TRIGGER, read_sink, write_batch
+from commentflow.sources.leveled import Leveled
+from commentflow.streaming.sinks import PRODUCTION_TRIGGER
 
 
 def utc_instant(ntz: Column) -> Column:
@@ -44,17 +45,30 @@ def stream_daily_count(
     delay: str = "1 day",
     trigger: Mapping[str, object] = PRODUCTION_TRIGGER,
 ) -> StreamingQuery:
-    """Write the counts each micro-batch changed; ``latest_counts`` reads the current state back."""
+    """Write the counts each micro-batch changed; ``latest_counts`` reads the current state back.
+
+    The sink is merged as it grows: a count that a later batch replaced goes, and few folders are left."""
+    table = count_table(stream.sparkSession, sink, keys)
     return (
         running_daily_counts(stream, keys, event_time, delay)
         .writeStream.outputMode("update")
-        .foreachBatch(lambda changed, batch_id: write_batch(changed, sink, batch_id))
+        .foreachBatch(lambda changed, batch_id: table.add(changed.withColumn("batch_id", F.lit(batch_id).cast("bigint")), batch_id + 1))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
     )
 
 
-def latest_counts(spark, sink: str, keys: Sequence[str] = ("platform",)) -> DataFrame:
+def count_table(spark: SparkSession, sink: str, keys: Sequence[str]) -> Leveled:
+    def newest(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("crawl_date", *keys).agg(F.max_by("total", "batch_id").alias("total"), F.max("batch_id").alias("batch_id"))
+
+    return Leveled(spark, sink, newest)
+
+
+def latest_counts(spark: SparkSession, sink: str, keys: Sequence[str] = ("platform",)) -> DataFrame:
     """Newest count of every day and key in the sink."""
-    return read_sink(spark, sink).groupBy("crawl_date", *keys).agg(F.max_by("total", "batch_id").alias("total"))
+    rows = count_table(spark, sink, keys).read()
+    if rows is None:
+        raise FileNotFoundError(f"{sink} holds no batch")
+    return rows.drop("batch_id")

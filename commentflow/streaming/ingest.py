@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from commentflow.operators.joins import DIGEST, STORED_KEY, digests, row_digest, unknown_rows
-from commentflow.sources.paths import parquet_or_none
+from commentflow.operators.joins import DIGEST, STORED_KEY, digests, row_digest
+from commentflow.sources.digest_index import ROWS_PER_BUCKET, DigestIndex
 from commentflow.streaming.sinks import PRODUCTION_TRIGGER, write_batch
 
 
@@ -23,23 +20,25 @@ def stream_ingest_dedup(
     keys: Sequence[str] = STORED_KEY,
     text_col: str = "text",
     trigger: Mapping[str, object] = PRODUCTION_TRIGGER,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> StreamingQuery:
     """Append rows whose key is neither in ``stored`` nor in an earlier batch of the sink.
 
-    The sink keeps each row's digest as a column, as the store does, so a batch reads 32 bytes per stored
-    row and hashes no stored text. A batch compares itself with lower batch numbers only, so replaying it gives the same
+    An index of digests lies beside the sink's batches. It starts with the digests of ``stored``, which is read only
+    when the index is made; every batch reads the buckets its own digests fall into, whatever the size of store and
+    sink, and adds its digests. A batch compares itself with lower batch numbers only, so replaying it gives the same
     rows.
     """
-    digest_only = T.StructType([T.StructField(DIGEST, T.BinaryType()), T.StructField("batch_id", T.LongType())])
+    index = DigestIndex(stream.sparkSession, f"{sink}/_digests", rows_per_bucket)
+    if stored is not None and index.state() is None:
+        index.build(digests(stored, keys, text_col))
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.withColumn(DIGEST, row_digest(keys, text_col))
-        known = [] if stored is None else [digests(stored, keys, text_col)]
-        earlier = parquet_or_none(batch.sparkSession, sink, digest_only)
-        if earlier is not None:
-            known.append(earlier.filter(F.col("batch_id") < batch_id).select(DIGEST))
-        unseen = unknown_rows(fresh, reduce(DataFrame.unionByName, known)) if known else fresh
-        write_batch(unseen, sink, batch_id)
+        fresh = batch.withColumn(DIGEST, row_digest(keys, text_col)).persist()
+        write_batch(index.unknown(fresh, batch_id), sink, batch_id)
+        written = batch.sparkSession.read.parquet(f"{sink}/batch_id={batch_id}")
+        index.add(written.select(DIGEST), batch_id + 1)
+        fresh.unpersist()
 
     return (
         stream.writeStream.foreachBatch(load)

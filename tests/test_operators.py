@@ -160,6 +160,31 @@ def test_ngram_counts(posts, sizes, by):
     assert {(*[r[b] for b in by], r.n, r.ngram, r["rank"]) for r in top} == best
 
 
+@pytest.mark.parametrize("seeds, keep", [(2, 1 << 20), (256, 1 << 20), (256, 0)])
+def test_level_wise_top_lists_equal_full_counts(spark, monkeypatch, seeds, keep):
+    """Few seeds give weak bounds, no room for a kept set counts everything: the lists are the same."""
+    monkeypatch.setattr(ngrams, "SEED_WORDS", seeds)
+    monkeypatch.setattr(ngrams, "KEEP_BYTES", keep)
+    rng = random.Random(7)
+    words = [f"w{k}" for k in range(60)]
+    rows = [(k % 3 if k % 11 else None, " ".join(rng.choices(words, [1 / (i + 1) for i in range(60)], k=rng.randint(0, 30)))) for k in range(200)]
+    rows.append((9, "a single row of its own group"))
+    df = spark.createDataFrame(rows, "label int, text string")
+    for by in ([], ["label"]):
+        counted = defaultdict(list)
+        for r in ngrams.count_ngrams(df, by).collect():
+            counted[(*[r[b] for b in by], r.n)].append((-r["count"], r.ngram))
+        want = {(*g, gram, -c, k) for g, items in counted.items() for k, (c, gram) in enumerate(sorted(items)[:5], 1)}
+        got = ngrams.top_ngrams(df, by, top_n=5).collect()
+        assert {(*[r[b] for b in by], r.n, r.ngram, r["count"], r["rank"]) for r in got} == want and len(got) == len(want)
+
+
+def test_ngrams_of_another_tokenizer(spark):
+    df = spark.createDataFrame([("ab-ab-cd",), ("ab cd-ab",)], "text string")
+    got = ngrams.ngrams_global(df, 1, tokenizer=lambda text: F.split(text, "-")).collect()
+    assert sorted((r.n, r.ngram, r["count"]) for r in got) == [(1, "ab", 3), (2, "ab ab", 1), (3, "ab ab cd", 1)]
+
+
 # ---- joins and voting ---------------------------------------------------------------------
 
 def test_incremental_anti_keeps_duplicates_and_compares_nulls(spark):
@@ -327,3 +352,42 @@ def test_split_is_stable(spark):
     one = {r.id for r in sampling.train_test_split(df, 20).filter("split_set = 'test'").collect()}
     two = {r.id for r in sampling.train_test_split(df.repartition(9), 20).filter("split_set = 'test'").collect()}
     assert one == two and 300 < len(one) < 500
+
+
+PAGES = {
+    '<p title="a > b">one</p><p title=\'x>y\' class=z>two</p>': ["one", "two"],
+    "<p>first<!-- never closed <p>hidden</p>": ["first"],
+    "<p>a<!-- <p> --> b</p><!----><p>c</p>": ["a b", "c"],
+    "<p>outer<p>inner</p>rest</p><div>no</div>": ["outer", "inner"],
+    "<P>upper<br/>case</P >\n<pre>no</pre><param><p/>slash": ["uppercase", "slash"],
+    "<script>if (a < b) { '<p>no</p>' }</script><p>yes</p><style>p > a {}</style>": ["yes"],
+    "<script src='a>b'>document.write('<p>x</p>')": [],
+    "<p>3 < 4 & 5 > 2 &lt;b&gt; &amp;lt;</p>": ["3 < 4 & 5 > 2 <b> &lt;"],
+    "<p>un<b>bold</b> text, never closed": ["unbold text, never closed"],
+    "<p title=\"open>still<p>next</p>": ["still", "next"],
+    "": [], "no markup": [], "<": [], "<p": [], "\x01a\x02<p>\x01b\x02c</p>": ["bc"],
+}
+LINKS = {
+    '<a data-href="/no" title="href=\'/no\'" href = "/x?a=1&amp;b=2">t</a>': ["https://www.tiktok.com/x?a=1&b=2"],
+    "<a title='1 > 0' href=http://h/p>t</a><A\nHREF='/q'>": ["http://h/p", "https://www.tiktok.com/q"],
+    "<a href='/one' href='/two'><abbr href='/no'><!-- <a href='/no'> --><a name=x>": ["https://www.tiktok.com/one"],
+    "<script>'<a href=/no>'</script><a class=b href=/yes/>": ["https://www.tiktok.com/yes/"],
+}
+
+
+def test_page_tokens(spark):
+    df = spark.createDataFrame([(k, h) for k, h in enumerate([*PAGES, *LINKS, None])], "page_id int, html string")
+    texts = dict(df.select("html", pages.segment_array(F.col("html"))).collect())
+    assert {h: texts[h] for h in PAGES} == PAGES and texts[None] is None
+    links = defaultdict(list)
+    for r in pages.extract_anchors(df).join(df, "page_id").orderBy("page_id", "position").collect():
+        links[r.html].append(r.url)
+    assert {h: links[h] for h in LINKS} == LINKS
+
+
+def test_long_and_odd_pages_do_not_exhaust_the_stack(spark):
+    attributes = " ".join(f'data-{k}="v > {k}"' for k in range(20_000))
+    html = f"<p {attributes}>{'x<b>y</b>' * 20_000}</p><a {attributes} href='/z'>" + "<" * 50_000 + "<!--" + "-" * 100_000
+    df = spark.createDataFrame([(1, html)], "page_id int, html string")
+    [text] = df.select(pages.segment_array(F.col("html"))).first()[0]
+    assert text == "xy" * 20_000 and [r.url for r in pages.extract_anchors(df).collect()] == ["https://www.tiktok.com/z"]

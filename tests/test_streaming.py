@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from commentflow.operators.inference import lexicon_factory
-from commentflow.streaming import counts, ingest, moderation
+from commentflow.streaming import counts, ingest, moderation, routing
 from commentflow.streaming.sinks import late_rows, read_sink
 
 ONCE = {"availableNow": True}
@@ -102,3 +102,34 @@ def test_days_do_not_depend_on_the_session_zone(spark, zone):
         assert sorted(str(r.d) for r in days) == ["1969-12-31", "2026-06-01"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_every_row_is_kept_repeated_or_late(spark, tmp_path):
+    source, sink, rest, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "rest"), str(tmp_path / "state")
+
+    def run():
+        stream = spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 1).parquet(str(source))
+        routing.stream_moderation_routed(
+            stream, sink, rest, state, lexicon_factory({"idiot": 1}), ["key"], delay="1 hour", trigger=ONCE).awaitTermination()
+        kept = sorted((r.key, r.ts.hour if r.ts else None, r.is_target) for r in read_sink(spark, sink).collect())
+        return kept, sorted((r.key, r.ts.hour, r.route) for r in read_sink(spark, rest).collect())
+
+    put(spark, source, [(1, at(1, 5), "Idiot", "p"), (2, at(1, 5), "fine", "p"), (2, at(1, 5), "fine", "p"), (3, at(1, 5), " ", "p")], EVENT)
+    assert run() == ([(1, 5, True), (2, 5, False)], [(2, 5, "repeated")])
+    put(spark, source, [(1, at(1, 5), "again", "p"), (4, at(1, 8), "fine", "p"), (5, None, "fine", "p")], EVENT)
+    put(spark, source, [(6, at(1, 7), "late", "p"), (4, at(1, 8), "fine", "p"), (2, at(1, 9), "after its time", "p"), (5, None, "x", "p")], EVENT)
+    kept, others = run()
+    assert kept == [(1, 5, True), (2, 5, False), (2, 9, False), (4, 8, False), (5, None, False)]
+    assert [r for r in others if r[0] != 5] == [(1, 5, "repeated"), (2, 5, "repeated"), (4, 8, "repeated"), (6, 7, "late")]
+
+
+def test_count_sink_is_merged_as_it_grows(spark, tmp_path):
+    source, sink, state = tmp_path / "in", tmp_path / "out", str(tmp_path / "state")
+    for k in range(9):
+        put(spark, source, [(k, at(1, k), "", "p"), (k, at(2, k), "", f"q{k}")], EVENT)
+    stream = spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 1).parquet(str(source))
+    counts.stream_daily_count(stream, str(sink), state, trigger=ONCE).awaitTermination()
+    table = counts.count_table(spark, str(sink), ["platform"])
+    assert table.batches() >= 9 and len(table.folders(table.batches())) <= table.batches().bit_length()
+    got = {(r.crawl_date.day, r.platform): r.total for r in counts.latest_counts(spark, str(sink)).collect()}
+    assert got == {(1, "p"): 9} | {(2, f"q{k}"): 1 for k in range(9)}
