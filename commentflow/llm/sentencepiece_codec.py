@@ -3,11 +3,12 @@
 The model protobuf is parsed here, field by field; from it the normaliser, the metaspace marker, the scores and
 the byte fallback are rebuilt as a ``tokenizers`` pipeline. Unigram models keep their scores; of BPE models the
 merges are derived from the scores. No piece of the supplied models has a marker after another character, so a
-text may be cut in front of a blank that follows a non-blank: words are encoded apart and cached, and a long
-text is encoded in bounded pieces. A model for which this does not hold is encoded uncut.
+text may be cut in front of a blank that follows a non-blank: every distinct unit is encoded once and its ids are
+kept. A model for which this does not hold is encoded uncut.
 
-Tasks receive Arrow batches and encode groups of bounded size on several threads; nothing is shuffled.
-``parity`` compares with the ``sentencepiece`` library.
+Tasks receive Arrow batches and encode the new units of a slice on several threads; nothing is shuffled. Decoding is
+checked by the bytes of the pieces. ``parity`` compares with the ``sentencepiece`` library; ``round_trip`` compares
+every unit it encodes, and whole texts once a unit has differed.
 
 Edge cases: a null text encodes like an empty one, to no ids; control pieces written out in a text are ordinary
 characters; repeated rows give repeated results; other columns are ignored, whatever their names; an empty table
@@ -25,10 +26,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from commentflow.llm.units import Units
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 THREADS = 2
-#: Characters encoded in one call, and the length from which a text is cut.
-GROUP_CHARS, CUT_CHARS = 1 << 20, 1 << 17
+#: Characters encoded in one call.
+GROUP_CHARS = 1 << 20
 
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
@@ -143,40 +146,63 @@ class Codec:
             return made
 
         self.first, self.later = pipeline(steps), pipeline(rest)
-        self.spec = spec
-
-    def _cut(self, text: str) -> list[str]:
-        if not self.cuts or len(text) <= CUT_CHARS:
-            return [text]
-        parts, start = [], 0
-        while len(text) - start > CUT_CHARS:
-            at = text.find(" ", start + CUT_CHARS)
-            while at > 0 and text[at - 1] in (" ", MARK):
-                at = text.find(" ", at + 1)
-            if at < 0:
-                break
-            parts.append(text[start:at])
-            start = at
-        return [*parts, text[start:]]
+        self.spec, self.path = spec, path
+        self.prefix = " " if spec["dummy_prefix"] else ""
+        #: The bytes of every piece as they stand in a text.
+        self.bytes = [
+            bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode("utf-8") for p, _, kind in pieces]
+        self._units = Units(self._one, self._many)
+        self._other = None
+        self.differs = False
+
+    def _one(self, unit: str) -> list[int]:
+        return self._many([unit])[0]
+
+    def _many(self, units: list[str]) -> list[list[int]]:
+        """Ids of units; with a model that puts a blank in front of texts, all of them begin with one."""
+        ids = [e.ids for e in self.later.encode_batch_fast(units, add_special_tokens=False)]
+        if self._other is not None and not self.differs:
+            # The other library puts the prefix in front itself.
+            plain = [u[1:] for u in units] if self.prefix else units
+            self.differs = self._other.encode(plain, num_threads=1) != ids
+        return ids
+
+    def compare(self) -> None:
+        """From now on compare with the ``sentencepiece`` library; ``differs`` tells whether a unit got other ids."""
+        if self._other is None:
+            import sentencepiece
+
+            self._other = sentencepiece.SentencePieceProcessor(model_file=self.path)
+            self._units = Units(self._one, self._many)
+
+    def same(self, text: str, ids: np.ndarray) -> bool:
+        """Whether the other library gives a text these ids."""
+        return self._other.encode(text) == ids.tolist()
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text, in order; groups of bounded size are encoded by several threads."""
-        group: list[list[str]] = []
+        group: list[str] = []
         chars = 0
         for text in texts:
-            group.append(self._cut(text))
+            group.append(text)
             chars += len(text)
             if chars >= GROUP_CHARS:
                 yield from self._group(group)
                 group, chars = [], 0
         yield from self._group(group)
 
-    def _group(self, group: list[list[str]]) -> Iterator[np.ndarray]:
-        heads = self.first.encode_batch_fast([parts[0] for parts in group], add_special_tokens=False)
-        tails = iter(self.later.encode_batch_fast([p for parts in group for p in parts[1:]], add_special_tokens=False))
-        for parts, head, text in zip(group, heads, (parts[0] for parts in group)):
-            ids = [head.ids if text else []] + [next(tails).ids for _ in parts[1:]]
-            yield np.concatenate([np.asarray(x, dtype=np.int32) for x in ids])
+    def _group(self, group: list[str]) -> Iterator[np.ndarray]:
+        if self.cuts:
+            # The prefix of a text is the blank of its first unit.
+            for data in self._units.join([self.prefix + t if t else t for t in group]):
+                yield np.frombuffer(data, dtype="<i4")
+        else:
+            for text, e in zip(group, self.first.encode_batch_fast(group, add_special_tokens=False)):
+                yield np.asarray(e.ids if text else [], dtype=np.int32)
+
+    def spells(self, ids: np.ndarray, text: str) -> bool:
+        """Whether the pieces, byte by byte, are the text with its prefix."""
+        return b"".join(map(self.bytes.__getitem__, ids.tolist())) == ((self.prefix + text).encode("utf-8") if text else b"")
 
     def decode(self, rows: list[np.ndarray]) -> list[str]:
         return self.first.decode_batch([row.tolist() for row in rows], skip_special_tokens=False)
@@ -231,27 +257,37 @@ def _sliced(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
 
 
 def round_trip(docs: DataFrame, path: str = MODEL, threads: int = THREADS, with_ids: bool = False) -> DataFrame:
-    """For each document the number of its pieces, a digest of the ids and whether decoding gives the text back.
+    """For each document the number of its pieces, a digest of the ids and two checks.
 
-    doc_id, n_tokens, ids_sha256 (ids as 32-bit little-endian numbers), decoded boolean and, if asked for, ids."""
+    doc_id, n_tokens, ids_sha256 (ids as 32-bit little-endian numbers), decoded (whether decoding gives the text back),
+    parity (whether the ``sentencepiece`` library gives the same ids) and, if asked for, ids."""
 
     def run(batches):
         coder = codec(path, threads)
+        coder.compare()
         for batch in batches:
-            for part in _sliced(batch, 32):
+            for part in _sliced(batch, 64):
                 texts = _texts(part.column(1))
                 ids = list(coder.encode(texts))
-                same = [back == text for text, back in zip(texts, coder.decode(ids))]
+                if coder.cuts:
+                    decoded = [coder.spells(row, text) for row, text in zip(ids, texts)]
+                else:
+                    decoded = [back == text for text, back in zip(texts, coder.decode(ids))]
+                # Equal units make equal texts.
+                equal = coder.cuts and not coder.differs
+                same = [True] * len(ids) if equal else [coder.same(text, row) for text, row in zip(texts, ids)]
                 digests = [hashlib.sha256(row.astype("<i4").tobytes()).hexdigest() for row in ids]
-                columns = [part.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(digests, pa.string()), pa.array(same, pa.bool_())]
-                names = ["doc_id", "n_tokens", "ids_sha256", "decoded"]
+                columns = [
+                    part.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.bool_()),
+                    pa.array(same, pa.bool_())]
+                names = ["doc_id", "n_tokens", "ids_sha256", "decoded", "parity"]
                 if with_ids:
                     columns.append(pa.array(ids, pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.record_batch(columns, names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    fields = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded boolean" + ", ids array<int>" * with_ids
+    fields = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded boolean, parity boolean" + ", ids array<int>" * with_ids
     return docs.select("doc_id", "text").mapInArrow(run, fields)
 
 

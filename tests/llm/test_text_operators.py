@@ -126,7 +126,6 @@ def test_sentencepiece_parity():
 
 
 def test_long_texts_are_cut_without_a_trace(monkeypatch):
-    monkeypatch.setattr(sentencepiece_codec, "CUT_CHARS", 40)
     monkeypatch.setattr(sentencepiece_codec, "GROUP_CHARS", 200)
     texts = ["word  and   word " * 30, "x" * 500, " " * 300, "a " * 200 + "▁ b " * 50, *ODD_TEXTS]
     assert sentencepiece_codec.parity(texts) == []
