@@ -38,7 +38,8 @@ class FirstOfKey(StatefulProcessor):
         self.first = handle.getValueState("first", T.StructType([T.StructField("at", T.LongType())]))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        watermark, known = timerValues.getCurrentWatermarkInMs(), self.first.exists()
+        watermark = timerValues.getCurrentWatermarkInMs()
+        known = self._held(watermark)
         for row in rows:
             at = row[self.time_at]
             if at is not None and at <= watermark:
@@ -53,8 +54,14 @@ class FirstOfKey(StatefulProcessor):
                 self.handle.registerTimer(seen + self.delay_ms)
             yield self.out(*row, route)
 
+    def _held(self, watermark: int) -> bool:
+        """Whether the key's first row is not yet behind the watermark by the delay; timers fire after the rows of a batch."""
+        first = self.first.get()
+        return first is not None and first[0] + self.delay_ms > watermark
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.first.clear()
+        if not self._held(timerValues.getCurrentWatermarkInMs()):  # else a newer row of the key has taken its place
+            self.first.clear()
         return iter([])
 
 
