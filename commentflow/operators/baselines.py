@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
@@ -10,6 +13,8 @@ from pyspark.sql import functions as F
 
 from commentflow.functions.text import SPACE_CLASS
 from commentflow.operators.evaluation import required_weight
+from commentflow.operators.sampling import class_weights
+from commentflow.plans.scratch import stored
 
 FEATURES = 1 << 16
 
@@ -54,3 +59,22 @@ def predict(model: PipelineModel, df: DataFrame, out: str = "prediction") -> Dat
     """Rows with the model's class and none of its working columns."""
     scored = model.transform(df)
     return scored.select(*df.columns, F.col("prediction").cast("int").alias(out))
+
+
+def cross_fitted(
+    df: DataFrame, fit: Callable[..., PipelineModel] = baseline_tfidf_lr, k: int = 5, fold: str = "fold", y: str = "label",
+    text_col: str = "text", out: str = "prediction",
+) -> DataFrame:
+    """Every row with the class that a model gives it which was trained on the other folds only.
+
+    Each of the ``k`` models is weighted by the class sizes of its own training rows. Rows whose fold is not 0…k-1 are an
+    error, as they would have no prediction."""
+    checked = df.withColumn(fold, F.when(F.col(fold).between(0, k - 1), F.col(fold)).otherwise(
+        F.raise_error(F.concat(F.lit("not a fold: "), F.coalesce(F.col(fold).cast("string"), F.lit("null"))))))
+    rows = stored(checked, "folded")
+    parts = []
+    for n in range(k):
+        train = rows.filter(F.col(fold) != n)
+        weighted = with_class_weight(train.select(text_col, y), class_weights(train, y=y), y)
+        parts.append(predict(fit(weighted, text_col, y, weight_col="weight"), rows.filter(F.col(fold) == n), out))
+    return reduce(DataFrame.unionByName, parts)

@@ -299,3 +299,21 @@ def _(t: Tables):
 @query("baseline_tfidf_svm_rows", _PREDICTED, ("posts", "split_posts"))
 def _(t: Tables):
     return _predicted(_baseline(t, baselines.baseline_tfidf_svm))
+
+
+# ---- cross-fitted predictions -------------------------------------------------------------
+
+def _cross_fitted(t: Tables):
+    folded = sampling.stratified_kfold(t.posts().filter(F.col("label").isin(*CLASSES)).select("id", "text", "label"))
+    return baselines.cross_fitted(folded)
+
+
+@query("cross_fitted_rows", "select id, label, fold, true as is_class from folds", _FOLDS)
+def _(t: Tables):
+    return _cross_fitted(t).select("id", "label", "fold", F.col("prediction").isin(*CLASSES).alias("is_class"))
+
+
+@query("cross_fitted_report")
+def _(t: Tables):
+    """Per-class metrics of predictions by models that saw none of the rows they predict."""
+    return evaluation.class_report(_cross_fitted(t))

@@ -17,6 +17,7 @@ from commentflow.operators import evaluation
 from commentflow.operators.sampling import train_test_split
 from commentflow.schema import INGEST_CSV_SCHEMA, RAW_SCHEMA, model_registry, topic_keyword_dim
 from commentflow.sources import readers, writers
+from commentflow.sources.digest_index import DigestIndex, load_unknown
 
 POST_COLUMNS = ("id", "text", "topic", "keyword", "url", "label", "platform", "crawl_date")
 _ALL = "id, text, topic, keyword, url, label, platform, crawl_date"
@@ -269,11 +270,14 @@ def _(t: Tables):
 
 # ---- joins --------------------------------------------------------------------------------
 
-@query("incremental_anti", f"""
+_UNSTORED = f"""
 with keyed as (select *, {_CUT} as cut from posts)
 select n.id, n.topic, n.keyword, n.url from keyed n
 where not exists (select 1 from keyed s where s.label >= 0 and s.cut = n.cut and s.topic = n.topic
-                  and s.keyword = n.keyword and s.url = n.url)""")
+                  and s.keyword = n.keyword and s.url = n.url)"""
+
+
+@query("incremental_anti", _UNSTORED)
 def _(t: Tables):
     posts = t.posts()
     root = new_dir(t.spark, "labelled")
@@ -281,6 +285,18 @@ def _(t: Tables):
     return joins.incremental_anti(posts, readers.scan_digests(t.spark, root)).select("id", "topic", "keyword", "url")
 
 
+@query("incremental_anti_indexed", _UNSTORED)
+def _(t: Tables):
+    """An index made of one half of the labelled rows, to which the other half is added as two batches."""
+    posts = t.posts()
+    labelled = posts.filter(F.col("label") >= 0)
+    index = DigestIndex(t.spark, new_dir(t.spark, "digest-index"), rows_per_bucket=1 << 12)
+    index.build(joins.digests(labelled.filter(F.col("id") % 4 < 2), joins.STORED_KEY, "text"))
+    for batch in (1, 2):
+        index.add(load_unknown(labelled.filter(F.col("id") % 4 == batch + 1), index).select(joins.DIGEST), batch)
+    return load_unknown(posts, index).select("id", "topic", "keyword", "url")
+
+
 @query("align_predictions", """
 select p.id, p.topic, v.model_a, v.model_b, v.llm from posts p join voters v using (id)""", ("posts", "voters"))
 def _(t: Tables):

@@ -11,7 +11,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields.items()])
 
 
-_S, _I, _D = T.StringType(), T.IntegerType(), T.DoubleType()
+_S, _I = T.StringType(), T.IntegerType()
 
 # Stored labels are 64-bit, as dataframe libraries write them; files with 32-bit labels widen on read.
 RAW_SCHEMA = _struct(id=_S, text=_S, topic=_S, keyword=_S, url=_S, label=T.LongType())
@@ -19,17 +19,6 @@ PARTITION_SCHEMA = _struct(platform=_S, crawl_date=T.DateType())
 PROCESSED_SCHEMA = T.StructType(RAW_SCHEMA.fields + PARTITION_SCHEMA.fields + _struct(split_set=_S).fields)
 INGEST_CSV_SCHEMA = _struct(text=_S, topic=_S, keyword=_S, post_url=_S, source=_S, label=_I)
 CRAWL_CSV_SCHEMA = _struct(text=_S, topic=_S, keyword=_S, post_url=_S)
-CRAWL_RECORD_SCHEMA = _struct(
-    comment_id=_S, text=_S, author=_S, likes=_I, topic=_S, keyword=_S, video_url=_S, video_id=_S,
-    scraped_at=T.TimestampType(), label=_I, confidence=_D, label_method=_S,
-)
-LIVE_EVENT_SCHEMA = _struct(text=_S, x=_D, y=_D, width=_D, height=_D)
-MODEL_EVALUATION_SCHEMA = _struct(
-    model_id=_S, model_display_name=_S, model_type=_S, version=_S, accuracy=_D, macro_f1=_D,
-    weighted_f1=_D, macro_precision=_D, macro_recall=_D, target_hate_f1=_D, target_offensive_f1=_D,
-    target_normal_f1=_D, confusion_matrix=_S, train_ratio=_D, test_ratio=_D, total_samples=_I,
-    evaluated_at=T.TimestampType(),
-)
 
 # ---- fixed values -------------------------------------------------------------------------
 PLATFORMS = ("threads", "tiktok")

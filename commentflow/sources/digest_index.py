@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commentflow.operators.joins import DIGEST, STORED_KEY, row_digest, unknown_rows
+from commentflow.plans.scratch import stored
 from commentflow.sources.leveled import Leveled
 
 ROWS_PER_BUCKET = 1 << 20
@@ -81,5 +82,7 @@ class DigestIndex(Leveled):
 
 
 def load_unknown(new: DataFrame, index: DigestIndex, keys: Sequence[str] = STORED_KEY, text_col: str = "text") -> DataFrame:
-    """New rows that the index does not know, with their digests; see ``DigestIndex.add`` to make them known."""
-    return index.unknown(new.withColumn(DIGEST, row_digest(keys, text_col)))
+    """New rows that the index does not know, with their digests; see ``DigestIndex.add`` to make them known.
+
+    The rows are written to the shared folder with their digests, so each text is hashed once."""
+    return index.unknown(stored(new.withColumn(DIGEST, row_digest(keys, text_col)), "fresh"))

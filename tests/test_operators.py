@@ -14,7 +14,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from commentflow.operators import (
-    corpus, dashboard, evaluation, exploration, filters, inference, joins, lengths, ngrams, pages, sampling, voting,
+    baselines, corpus, dashboard, evaluation, exploration, filters, inference, joins, lengths, ngrams, pages, sampling, voting,
 )
 
 
@@ -391,3 +391,23 @@ def test_long_and_odd_pages_do_not_exhaust_the_stack(spark):
     df = spark.createDataFrame([(1, html)], "page_id int, html string")
     [text] = df.select(pages.segment_array(F.col("html"))).first()[0]
     assert text == "xy" * 20_000 and [r.url for r in pages.extract_anchors(df).collect()] == ["https://www.tiktok.com/z"]
+
+
+def test_cross_fitted_models_never_see_what_they_predict(spark):
+    """Each fold has a word of its own that names the class; a model trained on it would know it."""
+    rng = random.Random(2)
+    rows = []
+    for i in range(150):
+        label, fold = i % 3, i // 3 % 3
+        told = rng.choice(["good", "bad", "ugly"][label:label + 1] * 4 + ["noise"])
+        rows.append((i, f"{told} filler words here", label, fold))
+        rows.append((1000 + i, f"secret{fold}x{label}", (label + 1) % 3, fold))
+    df = spark.createDataFrame(rows, "id int, text string, label int, fold int")
+    got = {r.id: r.prediction for r in baselines.cross_fitted(df, k=3).collect()}
+    assert len(got) == len(rows)
+    clear = [(i, label) for i, text, label, _ in rows if "noise" not in text and i < 1000]
+    assert sum(got[i] == label for i, label in clear) > 0.95 * len(clear)
+    hidden = [(i, label) for i, _, label, _ in rows if i >= 1000]
+    assert sum(got[i] == label for i, label in hidden) < 0.7 * len(hidden)
+    with pytest.raises(Exception, match="not a fold"):
+        baselines.cross_fitted(df.withColumn("fold", F.lit(None).cast("int")))
