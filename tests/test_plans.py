@@ -12,7 +12,7 @@ from commentflow.plans.tables import Tables
 
 SF_DIR = "/root/testdata/sf0.001"
 PYTHON_QUERIES = {"nfc", "preprocess", "preprocess_table"}
-STREAMS = {"stream_moderation", "stream_ingest_dedup", "stream_daily_count"}
+STREAMS = {"stream_moderation", "stream_moderation_routed", "stream_ingest_dedup", "stream_daily_count"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
@@ -22,7 +22,7 @@ def plan_of(df):
 
 
 @pytest.mark.filterwarnings("ignore:no predictions")
-@pytest.mark.parametrize("key", [k for k in REGISTRY if k not in STREAMS and not k.startswith("baseline")])
+@pytest.mark.parametrize("key", [k for k in REGISTRY if k not in STREAMS and not k.startswith(("baseline", "cross_fitted"))])
 def test_no_cross_join_and_no_unexpected_python(spark, key):
     plan = plan_of(REGISTRY[key](spark, SF_DIR))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
