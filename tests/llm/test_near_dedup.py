@@ -59,6 +59,31 @@ def test_copies_from_0_8_to_0_95(spark, monkeypatch, chunk):
     assert kept(stage(spark, table(spark, rows), "")) == plain_kept(rows)
 
 
+def test_pages_of_one_template_form_no_group(spark):
+    """Likeness near 0.5: bands are shared all over, but no text moves; two true copies among them are still found."""
+    rng = random.Random(9)
+    template = [f"t{rng.randrange(5000)}" for _ in range(150)]
+    rows = [(k, " ".join(template + [f"p{rng.randrange(10**7)}" for _ in range(75)]), "s") for k in range(1500)]
+    rows.append((1500, rows[700][1] + " and more", "s"))
+    assert 0.45 < likeness(grams(rows[0][1]), grams(rows[1][1])) < 0.55
+    frame = table(spark, rows)
+    classes = near_dedup.signed(frame)
+    shared = classes.selectExpr("explode(keys) as key").groupBy("key").count().where("count > 100").count()
+    assert shared and near_dedup._groups(classes).count() == 2
+    assert [n for _, n in kept(near_dedup.keep_one(frame))] == list(range(1500))
+
+
+@pytest.mark.parametrize("size", [1, 2, 30, 1000])
+def test_minima_of_pairs_at_0_8_agree_often_enough(size):
+    rng = np.random.default_rng(size)
+    made = near_dedup._hasher()
+    for _ in range(40):
+        both = np.unique(rng.integers(0, 1 << 63, 5 * size, dtype=np.uint64))
+        own = max(1, len(both) // 10) if size > 2 else 0
+        a, b = (near_dedup.sketch(made.minima(x))[None] for x in (both[own:], both[:len(both) - own]))
+        assert near_dedup.agreeing(a, b)[0] >= near_dedup.LEAST_SAME
+
+
 def test_odd_rows_and_clashing_columns(spark):
     rows = odd_rows() + [(20, "One two three four", "s"), (21, "one  two three\nfour", "s"), (22, "one two three", "s")]
     frame = with_clashing_columns(table(spark, rows))
