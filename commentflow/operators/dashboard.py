@@ -1,7 +1,7 @@
 """Dashboard aggregates over the comment store.
 
 All of them are single group-bys with map-side partial aggregation; nothing is collected. Null group
-keys are kept.
+keys are kept. Those that only count also take the counts of ``sources.kept`` in place of the comments.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from commentflow.functions.links import month_key
 from commentflow.functions.text import tokens
 from commentflow.operators.filters import drop_unlabelled
 from commentflow.operators.ranking import limit_rows, share_of
-from commentflow.schema import PLATFORMS
+from commentflow.schema import KEPT_ROWS, PLATFORMS
 
 # ---- fixed values: column names of the per-label counts -----------------------------------
 LABEL_COLUMNS = ((-1, "chưa_gán_nhãn"), (0, "bình_thường"), (1, "offensive"), (2, "hate_speech"))
@@ -35,8 +35,16 @@ def _is(label: int) -> Column:
     return F.col("label") == label
 
 
+def tally(df: DataFrame, condition: Column | None = None) -> Column:
+    """Number of comments, or of those that meet a condition; the rows of a kept table stand for several each."""
+    if KEPT_ROWS not in df.columns:
+        return F.count("*") if condition is None else F.count_if(condition)
+    rows = F.col(KEPT_ROWS) if condition is None else F.when(condition, F.col(KEPT_ROWS))
+    return F.coalesce(F.sum(rows), F.lit(0).cast("bigint"))
+
+
 def counts_by(df: DataFrame, *keys: str, name: str = "total") -> DataFrame:
-    return df.groupBy(*keys).agg(F.count("*").alias(name))
+    return df.groupBy(*keys).agg(tally(df).alias(name))
 
 
 def _named(df: DataFrame) -> DataFrame:
@@ -71,8 +79,8 @@ def recent_days(df: DataFrame, platform: str | None = None, top_n: int = 7) -> D
 
 def platform_comparison(df: DataFrame) -> DataFrame:
     """Total per platform and one count per known label."""
-    per_label = [F.count_if(_is(value)).alias(name) for value, name in LABEL_COLUMNS]
-    return df.groupBy("platform").agg(F.count("*").alias("total"), *per_label).orderBy("platform")
+    per_label = [tally(df, _is(value)).alias(name) for value, name in LABEL_COLUMNS]
+    return df.groupBy("platform").agg(tally(df).alias("total"), *per_label).orderBy("platform")
 
 
 def topic_stats(df: DataFrame, platform: str | None = None, top_n: int | None = None) -> DataFrame:
@@ -101,7 +109,7 @@ def source_topic_distribution(df: DataFrame) -> DataFrame:
 def dashboard_kpis(df: DataFrame) -> DataFrame:
     """Totals of the store; rows without any label value count as labelled."""
     per_platform = df.groupBy("platform").agg(
-        F.count("*").alias("_rows"), F.count_if(_is(-1)).alias("_unlabelled")
+        tally(df).alias("_rows"), tally(df, _is(-1)).alias("_unlabelled")
     )
     totals = per_platform.agg(
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("total_records"),
@@ -121,7 +129,7 @@ def dashboard_kpis(df: DataFrame) -> DataFrame:
 def crawl_timeline(df: DataFrame, platforms: Sequence[str] = PLATFORMS) -> DataFrame:
     """Rows per month, one zero-filled column per known platform; undated rows are skipped."""
     dated = df.filter(F.col("crawl_date").isNotNull())
-    per_platform = [F.count_if(F.col("platform") == p).alias(p) for p in platforms]
+    per_platform = [tally(df, F.col("platform") == p).alias(p) for p in platforms]
     return dated.groupBy(month_key(F.col("crawl_date")).alias("month")).agg(*per_platform).orderBy("month")
 
 
@@ -133,7 +141,7 @@ def topic_distribution(df: DataFrame, platform: str | None = None, top_n: int |
 def topic_label_heatmap(df: DataFrame) -> DataFrame:
     """Share of each class inside a topic in percent of all its rows, unlabelled ones included."""
     shares = [
-        F.bround(F.count_if(_is(value)) / F.count("*") * F.lit(100.0).cast("double"), 1).alias(name)
+        F.bround(tally(df, _is(value)) / tally(df) * F.lit(100.0).cast("double"), 1).alias(name)
         for value, name in _PERCENT_COLUMNS
     ]
     return df.groupBy("topic").agg(*shares).orderBy("topic")
@@ -151,7 +159,7 @@ def source_label_pivot(df: DataFrame) -> DataFrame:
     known = [value for value, _ in LABEL_COLUMNS]
     unknown = F.col("label").isNull() | ~F.col("label").isin(*known)
     cells = [(name, _is(value)) for value, name in LABEL_COLUMNS if value != -1] + [(UNKNOWN_COLUMN, unknown)]
-    columns = [F.nullif(F.count_if(condition), F.lit(0).cast("bigint")).alias(name) for name, condition in cells]
+    columns = [F.nullif(tally(df, condition), F.lit(0).cast("bigint")).alias(name) for name, condition in cells]
     return drop_unlabelled(df).groupBy(F.col("platform").alias("source")).agg(*columns)
 
 

@@ -2,7 +2,8 @@
 
 Every statistic is read off a length histogram: one partially aggregated count per (group, length).
 Only the histogram is shuffled again, so a group holding most of the rows costs no more than any
-other and percentiles need no approximation.
+other and percentiles need no approximation. The length histograms of ``sources.kept`` are taken as well, in place
+of the comments.
 """
 
 from __future__ import annotations
@@ -13,15 +14,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from commentflow.functions.labels import label_name
+from commentflow.operators.dashboard import counts_by
 from commentflow.operators.filters import drop_unlabelled, top_topics_semi
+from commentflow.schema import KEPT_ROWS
 
 WHISKER = 1.5
 
 
+def _sized(df: DataFrame, by: Sequence[str], text_col: str) -> DataFrame:
+    """One row per comment, or per row of a kept histogram, with its length."""
+    return df if KEPT_ROWS in df.columns else df.select(*by, F.length(text_col).alias("length"))
+
+
 def length_histogram(df: DataFrame, by: Sequence[str], text_col: str = "text") -> DataFrame:
     """Number of texts per group and length; texts that are missing are left out."""
-    sized = df.filter(F.col(text_col).isNotNull()).select(*by, F.length(text_col).alias("length"))
-    return sized.groupBy(*by, "length").agg(F.count("*").alias("n"))
+    return counts_by(_sized(df, by, text_col).filter(F.col("length").isNotNull()), *by, "length", name="n")
 
 
 def _drop_null_keys(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -37,7 +44,7 @@ def text_length_stats(
     """
     if platform is not None:
         df = df.filter(F.col("platform") == platform)
-    sized = df.groupBy(*by, F.length(text_col).alias("length")).agg(F.count("*").alias("n"))
+    sized = counts_by(_sized(df, by, text_col), *by, "length", name="n")
     group = Window.partitionBy(*by)
     known = F.when(F.col("length").isNotNull(), F.col("n"))
     weighted = F.col("length").cast("double") * known

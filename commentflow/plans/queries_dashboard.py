@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from commentflow.operators import dashboard, exploration, lengths, ngrams
 from commentflow.operators.sampling import train_test_split
-from commentflow.plans.registry import query
+from commentflow.plans.registry import REGISTRY, query
+from commentflow.plans.scratch import new_dir
 from commentflow.plans.tables import Tables
+from commentflow.sources.kept import KeptReports
 
 _NAME = """case label when -1 then 'chưa gán nhãn' when 0 then 'bình thường' when 1 then 'offensive'
  when 2 then 'hate speech' else 'không xác định' end as label_name"""
@@ -365,3 +367,34 @@ def _(t: Tables):
 @query("unigrams_topic_label", _ngram_sql("topic, label", (1,)))
 def _(t: Tables):
     return ngrams.unigrams_topic_label(t.posts())
+
+
+# ---- reports from kept tables: the same answers as a full count ---------------------------
+
+def _kept(t: Tables) -> KeptReports:
+    """Three loads: posts before March, a third of them without their label; the later posts; the missing labels."""
+    posts = t.posts()
+    kept = KeptReports(t.spark, new_dir(t.spark, "kept"))
+    early = F.col("crawl_date") < F.lit("2024-03-01").cast("date")
+    waiting = posts.filter(early & (F.col("id") % 3 == 0))
+    unlabelled = waiting.withColumn("label", F.lit(-1))
+    kept.load(posts.filter(early & (F.col("id") % 3 != 0)).unionByName(unlabelled), 1)
+    kept.load(posts.filter(~early), 2)
+    kept.load(waiting, 3, removed=unlabelled)
+    return kept
+
+
+@query("kept_summary_report", REGISTRY["summary_report"].sql, ())
+def _(t: Tables):
+    return dashboard.summary_report(_kept(t).counts())
+
+
+@query("kept_dashboard_kpis", REGISTRY["dashboard_kpis"].sql, ())
+def _(t: Tables):
+    return dashboard.dashboard_kpis(_kept(t).counts())
+
+
+@query("kept_text_length_stats", REGISTRY["text_length_stats"].sql, ())
+def _(t: Tables):
+    stats = lengths.text_length_stats(_kept(t).lengths())
+    return stats.withColumns({"mean": F.round("mean", 4), "stddev": F.round("stddev", 4)})

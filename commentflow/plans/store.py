@@ -14,23 +14,32 @@ from pyspark.sql import DataFrame, SparkSession
 from commentflow.operators import dashboard, filters, joins, lengths
 from commentflow.schema import PLATFORMS
 from commentflow.sources import readers
+from commentflow.sources.kept import KeptReports
 
 
 class CommentStore:
-    """Queries over the comments below ``root`` and the processed set below ``processed_root``."""
+    """Queries over the comments below ``root`` and the processed set below ``processed_root``.
+
+    With ``kept_root``, reports that only count read the tables that loads keep there, not the comments."""
 
     def __init__(
         self, spark: SparkSession, root: str, processed_root: str | None = None,
-        platforms: Sequence[str] = PLATFORMS,
+        platforms: Sequence[str] = PLATFORMS, kept_root: str | None = None,
     ):
         self.spark, self.root, self.processed_root = spark, root, processed_root
         self.platforms = tuple(platforms)
+        self.kept = None if kept_root is None else KeptReports(spark, kept_root)
 
     def comments(self) -> DataFrame:
         return readers.scan_all(self.spark, self.root, self.platforms)
 
-    def _scoped(self, platform: str | None) -> DataFrame:
-        df = self.comments()
+    def _counted(self) -> DataFrame:
+        return self.comments() if self.kept is None else self.kept.counts()
+
+    def _sized(self) -> DataFrame:
+        return self.comments() if self.kept is None else self.kept.lengths()
+
+    def _scoped(self, df: DataFrame, platform: str | None) -> DataFrame:
         return df if platform is None else filters.query_by_platform(df, platform, platforms=self.platforms)
 
     def query_by_label(self, label: int, platform: str | None = None, limit: int | None = None) -> DataFrame:
@@ -61,48 +70,48 @@ class CommentStore:
         )
 
     def label_distribution(self, platform: str | None = None) -> DataFrame:
-        return dashboard.label_distribution(self._scoped(platform))
+        return dashboard.label_distribution(self._scoped(self._counted(), platform))
 
     def daily_count(
         self, start_date: date | str | None = None, end_date: date | str | None = None, platform: str | None = None
     ) -> DataFrame:
-        return dashboard.daily_count(self._scoped(platform), start_date, end_date)
+        return dashboard.daily_count(self._scoped(self._counted(), platform), start_date, end_date)
 
     def platform_comparison(self) -> DataFrame:
-        return dashboard.platform_comparison(self.comments())
+        return dashboard.platform_comparison(self._counted())
 
     def topic_stats(self, platform: str | None = None) -> DataFrame:
-        return dashboard.topic_stats(self._scoped(platform))
+        return dashboard.topic_stats(self._scoped(self._counted(), platform))
 
     def keyword_stats(self, platform: str | None = None, top_n: int = 20) -> DataFrame:
-        return dashboard.keyword_stats(self._scoped(platform), top_n=top_n)
+        return dashboard.keyword_stats(self._scoped(self._counted(), platform), top_n=top_n)
 
     def text_length_stats(self, platform: str | None = None) -> DataFrame:
-        return lengths.text_length_stats(self._scoped(platform))
+        return lengths.text_length_stats(self._scoped(self._sized(), platform))
 
     def topic_label_distribution(self, platform: str | None = None) -> DataFrame:
-        return dashboard.topic_label_distribution(self._scoped(platform))
+        return dashboard.topic_label_distribution(self._scoped(self._counted(), platform))
 
     def source_label_distribution(self) -> DataFrame:
-        return dashboard.source_label_distribution(self.comments())
+        return dashboard.source_label_distribution(self._counted())
 
     def source_topic_distribution(self) -> DataFrame:
-        return dashboard.source_topic_distribution(self.comments())
+        return dashboard.source_topic_distribution(self._counted())
 
     def topic_label_heatmap(self) -> DataFrame:
-        return dashboard.topic_label_heatmap(self.comments())
+        return dashboard.topic_label_heatmap(self._counted())
 
     def topic_distribution(self, platform: str | None = None, top_n: int | None = None) -> DataFrame:
-        return dashboard.topic_distribution(self._scoped(platform), top_n=top_n)
+        return dashboard.topic_distribution(self._scoped(self._counted(), platform), top_n=top_n)
 
     def crawl_timeline(self) -> DataFrame:
-        return dashboard.crawl_timeline(self.comments(), self.platforms)
+        return dashboard.crawl_timeline(self._counted(), self.platforms)
 
     def dashboard_kpis(self) -> DataFrame:
-        return dashboard.dashboard_kpis(self.comments())
+        return dashboard.dashboard_kpis(self._counted())
 
     def summary(self) -> DataFrame:
-        return dashboard.summary_report(self.comments())
+        return dashboard.summary_report(self._counted())
 
     def get_processed_data(self) -> DataFrame | None:
         return None if self.processed_root is None else readers.scan_processed(self.spark, self.processed_root)
@@ -111,7 +120,7 @@ class CommentStore:
         return dashboard.platform_profile(self.comments())
 
     def platform_share(self) -> DataFrame:
-        return dashboard.platform_share(self.comments())
+        return dashboard.platform_share(self._counted())
 
     def create_views(self, registry: DataFrame | None = None, evaluation: DataFrame | None = None) -> list[str]:
         """Temporary views for SQL users; returns their names.

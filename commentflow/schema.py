@@ -20,6 +20,9 @@ PROCESSED_SCHEMA = T.StructType(RAW_SCHEMA.fields + PARTITION_SCHEMA.fields + _s
 INGEST_CSV_SCHEMA = _struct(text=_S, topic=_S, keyword=_S, post_url=_S, source=_S, label=_I)
 CRAWL_CSV_SCHEMA = _struct(text=_S, topic=_S, keyword=_S, post_url=_S)
 
+#: In a kept table, how many comments a row stands for.
+KEPT_ROWS = "kept_rows"
+
 # ---- fixed values -------------------------------------------------------------------------
 PLATFORMS = ("threads", "tiktok")
 
