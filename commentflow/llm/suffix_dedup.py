@@ -3,7 +3,8 @@
 Every byte that lies in a string of ``LENGTH`` bytes which also starts elsewhere, in the same or another text, goes.
 
 Windows of ``LENGTH`` bytes fall into runs by content-chosen anchors; only runs whose anchor hash occurs again are
-looked at, and equal windows always meet under one anchor hash. Equal runs are merged and counted. The different
+looked at, and equal windows always meet under one anchor hash. Equal runs are merged and counted. A run without a
+different one under its anchor is repeated if it was counted twice, and needs no sorting. Otherwise the different
 runs of an anchor are laid end to end in blocks of bounded size, and the block's suffixes are sorted in two
 stages: only the suffixes smaller than their successors are sorted directly; the others are induced by scanning
 the buckets of first bytes in order. Neighbours in the suffix array with a common prefix of ``LENGTH`` bytes or
@@ -204,7 +205,7 @@ def _anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _runs(docs: DataFrame, length: int, gram: int, group_runs: int) -> DataFrame:
-    """anchor, salt, salted, row_key, first, d1, d2 (digest) and bytes of each run whose anchor occurs twice."""
+    """anchor, salt, salted, row_key, first, n (windows), d1, d2 (digest) and bytes of each run whose anchor occurs twice."""
     anchors = _anchors(docs, length, gram)
     again = stored(anchors.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1"), "anchors")
     found = sieved(anchors, "anchor", again.select("anchor")).join(again, "anchor")
@@ -222,7 +223,7 @@ def _runs(docs: DataFrame, length: int, gram: int, group_runs: int) -> DataFrame
                         digest = xxhash.xxh3_128_intdigest(piece)
                         high, low = digest >> 64, digest & 0xFFFFFFFFFFFFFFFF
                         salts = -(-r["times"] // group_runs)
-                        rows.append((r["anchor"], low % salts, salts > 1, key, r["first"], _signed(high), _signed(low), piece))
+                        rows.append((r["anchor"], low % salts, salts > 1, key, r["first"], r["n"], _signed(high), _signed(low), piece))
                         if len(rows) >= 4096:
                             yield _batch(rows)
                             rows = []
@@ -234,7 +235,7 @@ def _runs(docs: DataFrame, length: int, gram: int, group_runs: int) -> DataFrame
 
 _RUN_FIELDS = (
     ("anchor", "bigint", pa.int64()), ("salt", "int", pa.int32()), ("salted", "boolean", pa.bool_()), ("row_key", "bigint", pa.int64()),
-    ("first", "int", pa.int32()), ("d1", "bigint", pa.int64()), ("d2", "bigint", pa.int64()), ("bytes", "binary", pa.binary()))
+    ("first", "int", pa.int32()), ("n", "int", pa.int32()), ("d1", "bigint", pa.int64()), ("d2", "bigint", pa.int64()), ("bytes", "binary", pa.binary()))
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -273,7 +274,7 @@ def _judge(distinct: DataFrame, length: int) -> DataFrame:
         yield from judged(block)
 
     def judged(block):
-        # A run alone under its anchor is repeated if it was counted twice; the others are sorted together.
+        # Runs without a different one under their anchor have their verdict already; the others are sorted together.
         alone: dict[tuple, int] = {}
         for row in block:
             alone[row[:2]] = alone.get(row[:2], 0) + 1
@@ -283,6 +284,8 @@ def _judge(distinct: DataFrame, length: int) -> DataFrame:
             masks[k] = mask
         out, told = [], set()
         for row, mask in zip(block, masks):
+            if mask is None and not row[2]:
+                continue
             if mask is None:
                 mask = np.full(len(row[5]) - length + 1, row[6] > 1)
             if mask.any():
@@ -310,13 +313,22 @@ def _judge(distinct: DataFrame, length: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_runs: int = GROUP_RUNS) -> DataFrame:
     """row_key and spans (flat start, end, start, ...; in bytes, may overlap) of the repeated strings of each text."""
     runs = stored(_runs(docs, length, gram, group_runs), "runs")
-    distinct = runs.groupBy("anchor", "salt", "salted", "d1", "d2").agg(F.count("*").alias("times"), F.first("bytes").alias("bytes"))
+    # One narrow row for each block tells whether it holds different runs; the bytes of others stay where they are.
+    ends = [f(c).alias(f"{name}_{c}") for c in ("d1", "d2") for name, f in (("low", F.min), ("high", F.max))]
+    kinds = stored(
+        runs.groupBy("anchor", "salt", "salted").agg(*ends, F.count("*").alias("times"), F.max("n").alias("n")), "kinds")
+    differ = F.col("salted") | (F.col("low_d1") != F.col("high_d1")) | (F.col("low_d2") != F.col("high_d2"))
+    lone = kinds.where(~differ & (F.col("times") > 1)).select(
+        F.col("low_d1").alias("d1"), F.col("low_d2").alias("d2"), F.array(F.lit(0), F.col("n")).alias("spans"))
+    block = F.xxhash64("anchor", "salt")
+    mixed = sieved(runs.withColumn("block", block), "block", kinds.where(differ).select(block.alias("block")))
+    distinct = mixed.groupBy("anchor", "salt", "salted", "d1", "d2").agg(F.count("*").alias("times"), F.first("bytes").alias("bytes"))
     found = stored(_judge(distinct, length), "verdicts")
     # Windows of salted blocks: repeated if another run of any block holds them too.
     loose = found.where("window is not null")
     twice = loose.groupBy("window").agg(F.count("*").alias("n")).where("n > 1")
     extra = loose.where("not known").join(twice, "window", "left_semi").select("d1", "d2", F.array("at", F.col("at") + 1).alias("spans"))
-    verdicts = found.where("window is null").select("d1", "d2", "spans").unionByName(extra)
+    verdicts = found.where("window is null").select("d1", "d2", "spans").unionByName(lone).unionByName(extra)
     placed = runs.select("d1", "d2", "row_key", "first").join(verdicts, ["d1", "d2"])
     # A window that starts at s covers s, ..., s + length - 1.
     moved = F.transform("spans", lambda x, i: x + F.col("first") + F.when(i % 2 == 1, F.lit(length - 1)).otherwise(0))
