@@ -3,8 +3,9 @@
 * ``first_rows`` and ``limit_rows`` are a ``row_number() <= k`` filter: Spark cuts every group to ``k`` rows in each
   map task before the shuffle.
 * ``with_rank`` ranks exactly: rows are dealt to blocks by ranges of (keys, order), ranked inside each block, and
-  get the number of the group's rows in earlier blocks added. Blocks hold about ``BLOCK_ROWS`` rows each, so their
-  number follows the table and no task sorts a whole group.
+  get the number of the group's rows in earlier blocks added. Blocks hold about ``BLOCK_ROWS`` rows or
+  ``BLOCK_BYTES`` of stored files each, whichever is less, so their number follows the table and no task sorts a
+  whole group, however wide its rows are.
 * ``cap_rows`` cuts groups on a salted key first, which Spark does in the map tasks where it can, and ranks what
   is left. The plan is the same for every limit.
 
@@ -24,6 +25,7 @@ from commentflow.plans.scratch import stored
 HASH_PREFIX = 3
 SALTS = 64
 BLOCK_ROWS = 1_000_000
+BLOCK_BYTES = 32 << 20
 
 
 def _order(order_by: str | Column | Sequence[str | Column]) -> list[str | Column]:
@@ -31,7 +33,10 @@ def _order(order_by: str | Column | Sequence[str | Column]) -> list[str | Column
 
 
 def _blocks(df: DataFrame, block_rows: int) -> int:
-    return max(1, -(-df.count() // block_rows))
+    """Number of blocks for the rows and the bytes of a stored table."""
+    files = df.groupBy("_metadata.file_path").agg(F.count("*").alias("rows"), F.max("_metadata.file_size").alias("bytes"))
+    rows, size = files.agg(F.sum("rows"), F.sum("bytes")).first()
+    return max(1, -(-(rows or 0) // block_rows), -(-(size or 0) // BLOCK_BYTES))
 
 
 def limit_rows(

@@ -134,3 +134,18 @@ def test_top_counted_breaks_ties_by_value(spark):
     df = spark.createDataFrame([("g", "b", 2), ("g", "a", 2), ("g", "c", 9), ("h", "z", 1)], "g string, v string, count int")
     got = [(r.g, r.v, r["rank"]) for r in ranking.top_counted(df, ["g"], "v", 2).orderBy("g", "rank").collect()]
     assert got == [("g", "c", 1), ("g", "a", 2), ("h", "z", 1)]
+
+
+def test_rank_blocks_follow_the_width_of_rows(spark, monkeypatch):
+    """Few rows that are wide are ranked in several blocks, so that no task reads them all."""
+    monkeypatch.setattr(ranking, "BLOCK_BYTES", 100_000)
+    written, stored = {}, ranking.stored
+    monkeypatch.setattr(ranking, "stored", lambda df, name: written.setdefault(name, stored(df, name)))
+    rng = random.Random(7)
+    rows = [(i, rng.randbytes(1_000).hex()) for i in rng.sample(range(10_000), 600)]
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    got = {r["rank"]: (r.id, r.text) for r in ranking.with_rank(df).collect()}
+    assert got == dict(enumerate(sorted(rows)))
+    assert written["ranked"].select("_block").distinct().count() >= 4
+    monkeypatch.setattr(ranking, "BLOCK_BYTES", 1 << 40)
+    assert ranking._blocks(written["ranked"], 150) == 4 and ranking._blocks(written["ranked"].limit(0), 150) == 1
