@@ -411,3 +411,26 @@ def test_cross_fitted_models_never_see_what_they_predict(spark):
     assert sum(got[i] == label for i, label in hidden) < 0.7 * len(hidden)
     with pytest.raises(Exception, match="not a fold"):
         baselines.cross_fitted(df.withColumn("fold", F.lit(None).cast("int")))
+
+
+def test_cross_fitted_splits_texts_once(spark):
+    """The models of all folds share the stored term counts and predict what models over the texts do."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choices("abcdefghij", [1 + (k + i) % 3 for k in range(10)], k=9)), i % 3, i // 3 % 2) for i in range(120)]
+    df = spark.createDataFrame(rows, "id int, text string, label int, fold int")
+    seen = []
+
+    def fit(train, text_col, y, weight_col):
+        model = baselines.baseline_tfidf_lr(train, text_col, y, weight_col)
+        plain = baselines.baseline_tfidf_lr(train.select(text_col, y, weight_col), text_col, y, weight_col)
+        seen.append(([type(s).__name__ for s in model.stages], predicted(model), predicted(plain)))
+        return model
+
+    def predicted(model):
+        return {r.id: r.prediction for r in baselines.predict(model, baselines.with_term_counts(df) if len(model.stages) == 2 else df).collect()}
+
+    got = baselines.cross_fitted(df, fit, k=2)
+    assert got.columns == [*df.columns, "prediction"]
+    assert [stages for stages, _, _ in seen] == [["IDFModel", "LogisticRegressionModel"]] * 2
+    assert all(shared == alone for _, shared, alone in seen)
+    assert {r.id: r.prediction for r in got.collect()} == {i: seen[fold][1][i] for i, _, _, fold in rows}
