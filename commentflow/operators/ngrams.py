@@ -39,10 +39,8 @@ def _names(width: int) -> list[str]:
 
 def word_windows(words: str, width: int) -> Column:
     """For every token a struct of it and its followers ``w1 … w<width>``, null past the end."""
-    return F.transform(
-        F.col(words),
-        lambda w, i: F.struct(w.alias("w1"), *[F.get(F.col(words), i + k).alias(f"w{k + 1}") for k in range(1, width)]),
-    )
+    shifted = [F.slice(words, k, F.size(words)) if k > 1 else F.col(words) for k in range(1, width + 1)]
+    return F.arrays_zip(*[w.alias(name) for w, name in zip(shifted, _names(width))])
 
 
 def split_words(df: DataFrame, by: Sequence[str], text_col: str, tokenizer: Tokenizer) -> DataFrame:
@@ -90,6 +88,18 @@ def _bytes(parts: DataFrame, width: int) -> int:
     return row[0] or 0
 
 
+def _having(found: DataFrame, part: DataFrame) -> DataFrame:
+    """Rows of ``found`` whose values are in ``part``, and hardly any others: one hash of the values is looked up.
+
+    A row too many does no harm here, as what is left is counted by its words. Collated strings are compared themselves,
+    as equal ones need not have one hash."""
+    cols = part.columns
+    if any("collate" in kind for name, kind in found.dtypes if name in cols):
+        return found.join(F.broadcast(part), cols, "left_semi")
+    return found.withColumn("_hash", F.xxhash64(*cols)).join(
+        F.broadcast(part.select(F.xxhash64(*cols).alias("_hash"))), "_hash", "left_semi").drop("_hash")
+
+
 def lower_bounds(words: DataFrame, by: Sequence[str], counted: DataFrame, sizes: Sequence[int], top_n: int) -> DataFrame:
     """(group…, least_<n>…) from n-grams of the most frequent words: the top lists hold no count below ``least_<n>``.
 
@@ -103,12 +113,12 @@ def lower_bounds(words: DataFrame, by: Sequence[str], counted: DataFrame, sizes:
     if _bytes(seeds, 1) > KEEP_BYTES:  # very many groups
         found = found.filter(F.lit(False))
     for k, name in enumerate(names, 1):
-        part = F.broadcast(seeds.withColumnRenamed("w1", name))
+        part = seeds.withColumnRenamed("w1", name)
         if k <= 2:
-            found = found.join(part, [*by, name], "left_semi")
+            found = _having(found, part)
         else:
-            found = found.join(part.withColumn("_seed", F.lit(True)), [*by, name], "left").withColumn(name, F.when(F.col("_seed"), F.col(name))).drop("_seed")
-    cells = found.groupBy(*by, *names).agg(F.count("*").alias("count"))
+            found = found.join(F.broadcast(part.withColumn("_seed", F.lit(True))), [*by, name], "left").withColumn(name, F.when(F.col("_seed"), F.col(name))).drop("_seed")
+    cells = stored(found.groupBy(*by, *names).agg(F.count("*").alias("count")), "seed-ngrams")  # read once for every size
     bounds = []
     for n in sizes:
         whole = cells.filter(" and ".join(f"{c} is not null" for c in names[:n])).groupBy(*by, *names[:n]).agg(F.sum("count").alias("count"))
@@ -143,8 +153,7 @@ def top_ngrams(
         occurrences = _occurrences(words, keys, n)
         if _bytes(kept, n - 1) <= KEEP_BYTES:
             for shift in (0, 1):
-                part = kept.toDF(*keys, *[f"w{k + shift}" for k in range(1, n)])
-                occurrences = occurrences.join(F.broadcast(part), [*keys, *part.columns[len(keys):]], "left_semi")
+                occurrences = _having(occurrences, kept.toDF(*keys, *[f"w{k + shift}" for k in range(1, n)]))
         level = _counted(occurrences, keys, n)
         levels[n] = level = stored(level, f"ngrams-{n}") if n < width else level
     told = [

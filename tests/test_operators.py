@@ -434,3 +434,17 @@ def test_cross_fitted_splits_texts_once(spark):
     assert [stages for stages, _, _ in seen] == [["IDFModel", "LogisticRegressionModel"]] * 2
     assert all(shared == alone for _, shared, alone in seen)
     assert {r.id: r.prediction for r in got.collect()} == {i: seen[fold][1][i] for i, _, _, fold in rows}
+
+
+def test_seed_ngrams_are_counted_once_and_lookups_lose_nothing(spark):
+    rng = random.Random(6)
+    df = spark.createDataFrame([(i % 2, rng.choices("abcd", k=30)) for i in range(20)], "g int, _words array<string>")
+    counted = ngrams._counted(ngrams._occurrences(df, ["g"], 1), ["g"], 1)
+    bounds = ngrams.lower_bounds(df, ["g"], counted, (2, 3), 3)
+    assert "Generate" not in bounds._jdf.queryExecution().toString()
+    found = spark.createDataFrame([("Ab", 1.0), ("x", 2.0), ("ab", -0.0)], "w1 string, v double")
+    part = spark.createDataFrame([("ab", 0.0), ("x", 2.0), ("x", 3.0)], "w1 string, v double")
+    assert sorted(r.w1 for r in ngrams._having(found, part).collect()) == ["ab", "x"]
+    assert ngrams._having(found, part.select("w1")).count() == 2
+    folded = [t.withColumn("w1", F.collate("w1", "UTF8_LCASE")) for t in (found, part)]
+    assert ngrams._having(folded[0], folded[1].select("w1")).count() == 3
