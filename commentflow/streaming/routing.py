@@ -38,13 +38,15 @@ class FirstOfKey(StatefulProcessor):
         self.first = handle.getValueState("first", T.StructType([T.StructField("at", T.LongType())]))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        known = self._held(watermark)
+        watermark, known = timerValues.getCurrentWatermarkInMs(), None
         for row in rows:
             at = row[self.time_at]
             if at is not None and at <= watermark:
-                route = LATE
-            elif known:
+                yield self.out(*row, LATE)
+                continue
+            if known is None:  # every call to the state costs a round trip
+                known = self._held(watermark)
+            if known:
                 route = REPEATED
             else:
                 route, known = KEPT, True
@@ -55,13 +57,20 @@ class FirstOfKey(StatefulProcessor):
             yield self.out(*row, route)
 
     def _held(self, watermark: int) -> bool:
-        """Whether the key's first row is not yet behind the watermark by the delay; timers fire after the rows of a batch."""
+        """Whether the key's first row is not yet behind the watermark by the delay; timers fire after the rows of a batch.
+
+        A first row that is behind gives way, and so does its timer: what a timer finds is its own."""
         first = self.first.get()
-        return first is not None and first[0] + self.delay_ms > watermark
+        if first is None:
+            return False
+        if first[0] + self.delay_ms > watermark:
+            return True
+        self.handle.deleteTimer(first[0] + self.delay_ms)
+        self.first.clear()
+        return False
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if not self._held(timerValues.getCurrentWatermarkInMs()):  # else a newer row of the key has taken its place
-            self.first.clear()
+        self.first.clear()
         return iter([])
 
 
