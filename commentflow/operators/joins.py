@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from commentflow.functions.text import strip_space
@@ -26,6 +26,24 @@ def row_digest(columns: Sequence[str], text_col: str = "text") -> Column:
     return F.coalesce(F.unhex(F.sha2(F.concat(*parts), 256)), F.lit(b""))
 
 
+def left_join_dealt(rows: DataFrame, facts: DataFrame, key: str, deal: Mapping[str, Column]) -> DataFrame:
+    """Left join on ``key`` whose rows lie in tasks by ranges of (``deal``, key) afterwards.
+
+    ``deal`` has to follow from the key alone, so it is known for both sides. Rows and facts are shuffled together, once,
+    and meet inside their task. A join by the key and a shuffle by ``deal`` after it would move wide rows twice, or once
+    as long as the facts are broadcast.
+    """
+    others = [c for c in facts.columns if c != key]
+    wide = rows.select(key, F.struct(*rows.columns).alias("_row"))
+    narrow = facts.filter(F.col(key).isNotNull()).select(key, F.struct(*others).alias("_fact"))
+    both = wide.unionByName(narrow, allowMissingColumns=True)
+    named = {f"_deal{i}": column for i, column in enumerate(deal.values())}
+    dealt = both.withColumns(named).repartitionByRange(*named, key)
+    met = dealt.withColumn("_facts", F.collect_list("_fact").over(Window.partitionBy(*named, key)))
+    joined = met.filter(F.col("_row").isNotNull()).select("_row", F.explode_outer("_facts").alias("_fact"))
+    return joined.select("_row.*", "_fact.*")
+
+
 def incremental_anti(
     new: DataFrame, stored: DataFrame, keys: Sequence[str] = STORED_KEY, text_col: str = "text"
 ) -> DataFrame:

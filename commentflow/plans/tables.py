@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commentflow.functions.text import SPACE_CLASS
+from commentflow.operators import joins
 from commentflow.operators.filters import COUNTER, RELATIVE_TIME, REPLY_PREFIX, UI_CAPTIONS
 from commentflow.operators.pages import CLOSES, ENTITIES, NUMERIC_ENTITY, OPENS, TOKEN
 from commentflow.operators.sampling import stratified_kfold
@@ -129,18 +130,30 @@ class Tables:
 
     def posts(self) -> DataFrame:
         """Comments: documents with a label where one was given."""
-        documents = self.table("documents")
-        label = (
+        return self.shape(self.table("documents").join(self.table("labels"), "doc_id", "left"), self.label())
+
+    def dealt_posts(self) -> DataFrame:
+        """The same comments, in tasks by the directories of the store: texts are moved once, whatever the size of the labels."""
+        docs = joins.left_join_dealt(self.table("documents"), self.table("labels"), "doc_id", self.directories())
+        return self.shape(docs, self.label())
+
+    def label(self) -> Column:
+        return (
             F.when(F.col("toxic").isNull() & F.col("quality").isNull(), -1)
             .when((F.col("toxic") == 1) & (F.col("quality") == 0), 2)
             .when(F.col("toxic") == 1, 1)
             .otherwise(0)
         )
-        return self.shape(documents.join(self.table("labels"), "doc_id", "left"), label)
 
-    def shape(self, docs: DataFrame, label: Column) -> DataFrame:
+    def directories(self) -> dict[str, Column]:
         key = F.col("doc_id")
-        platform = F.when(key % 2 == 0, "tiktok").otherwise("threads")
+        return {
+            "platform": F.when(key % 2 == 0, "tiktok").otherwise("threads"),
+            "crawl_date": F.date_add(F.lit("2024-01-01").cast("date"), (key % 180).cast("int")),
+        }
+
+    def shape(self, docs: DataFrame, label: Column) -> DataFrame:
+        key, at = F.col("doc_id"), self.directories()
         return docs.select(
             key.alias("id"),
             "text",
@@ -148,9 +161,9 @@ class Tables:
             F.concat_ws("_", "source", "lang").alias("keyword"),
             F.concat(F.lit("https://site.example/"), "source", F.lit("/video/"), (key % 211).cast("string")).alias("url"),
             label.alias("label"),
-            platform.alias("platform"),
-            platform.alias("source"),
-            F.date_add(F.lit("2024-01-01").cast("date"), (key % 180).cast("int")).alias("crawl_date"),
+            at["platform"].alias("platform"),
+            at["platform"].alias("source"),
+            at["crawl_date"].alias("crawl_date"),
             "lang",
         )
 
@@ -182,7 +195,7 @@ class Tables:
             digest = hashlib.md5(self.sf_dir.encode()).hexdigest()[:12]
             root = f"{scratch_root(self.spark)}/store-{digest}"
             if parquet_or_none(self.spark, root) is None:
-                posts = self.posts().withColumn("id", F.col("id").cast("string"))
-                write_comments(posts, root, mode="overwrite")
+                posts = self.dealt_posts().withColumn("id", F.col("id").cast("string"))
+                write_comments(posts, root, mode="overwrite", dealt=True)
             _STORES[key] = root
         return _STORES[key]

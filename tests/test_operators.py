@@ -218,6 +218,26 @@ def test_align_predictions_by_id(spark):
     assert {r.id: r.m for r in joins.align_predictions(base, tables).collect()} == {1: 2, 2: 0}
 
 
+def test_left_join_dealt_is_a_left_join_in_order_of_its_ranges(spark):
+    rows = spark.createDataFrame(
+        [(i if i % 10 else None, f"t{i}", "r") for i in range(300)] + [(7, "again", "r"), (7, None, None)],
+        "id bigint, text string, x string").repartition(5)
+    facts = spark.createDataFrame(
+        [(i, i % 3, None if i % 6 == 1 else "f") for i in range(0, 600, 2)] + [(8, 5, "twice"), (8, 5, "twice"), (None, 9, "n")]
+        + [(7, None, None)], "id bigint, a int, b string").repartition(3)
+    deal = {"odd": F.col("id") % 2, "part": F.col("id") % 7}
+    got = joins.left_join_dealt(rows, facts, "id", deal)
+    expected = rows.join(facts, "id", "left")
+    assert got.columns == expected.columns
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, expected.collect()))
+    # A directory spans neighbouring tasks only, so it has few files.
+    at = got.select(*[c.alias(n) for n, c in deal.items()], F.spark_partition_id().alias("task")).distinct().collect()
+    tasks = len({r.task for r in at})
+    assert len(at) < len({(r.odd, r.part) for r in at}) + tasks
+    assert joins.left_join_dealt(rows, facts.limit(0), "id", deal).count() == rows.count()
+    assert joins.left_join_dealt(rows.limit(0), facts, "id", deal).count() == 0
+
+
 def test_batch_predict_and_analyze(spark):
     df = spark.createDataFrame([(1, "You IDIOT"), (2, "scum, idiot"), (3, "idiots"), (4, " \n"), (5, None)], "id int, text string")
     factory = inference.lexicon_factory({"idiot": 1, "scum": 2})

@@ -4,9 +4,10 @@ import os
 import re
 
 import pytest
+from pyspark.sql.readwriter import DataFrameWriter
 
 from commentflow.operators import inference
-from commentflow.plans import scratch
+from commentflow.plans import scratch, tables
 from commentflow.plans.catalog import REGISTRY
 from commentflow.plans.tables import Tables
 
@@ -71,3 +72,26 @@ def test_scratch_is_shared():
     assert scratch.scratch_root(Session) == "s3a://lake/warehouse/_scratch/commentflow-app"
     Session.conf["spark.checkpoint.dir"] = "hdfs://shared/"
     assert scratch.scratch_root(Session) == "hdfs://shared/commentflow-app"
+
+
+def test_the_store_is_written_with_one_shuffle_of_the_texts(spark, tmp_path, monkeypatch):
+    """Also where the labels are too many for a broadcast."""
+    written = []
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *args, **options: written.append(self._df))
+    monkeypatch.setattr(tables, "_STORES", {})
+    (tmp_path / "tables").symlink_to(SF_DIR)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        Tables(spark, str(tmp_path / "tables")).store_root()
+        plan = plan_of(written[0])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(written) == 1 and len(re.findall(r"\bExchange\b", plan)) == 1
+
+
+def test_dealt_posts_are_the_posts(spark):
+    t = Tables(spark, SF_DIR)
+    dealt, posts = t.dealt_posts(), t.posts()
+    assert dealt.schema == posts.schema
+    assert dealt.count() == posts.count() and dealt.exceptAll(posts).isEmpty()
