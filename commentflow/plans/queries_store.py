@@ -279,16 +279,17 @@ where not exists (select 1 from keyed s where s.label >= 0 and s.cut = n.cut and
 
 @query("incremental_anti", _UNSTORED)
 def _(t: Tables):
-    posts = t.posts()
+    posts = t.stored_posts()
     root = new_dir(t.spark, "labelled")
-    writers.write_comments(posts.filter(F.col("label") >= 0).withColumn("id", F.col("id").cast("string")), root)
+    # Splits of the store's files lie in one directory each, so nothing is moved.
+    writers.write_comments(posts.filter(F.col("label") >= 0).withColumn("id", F.col("id").cast("string")), root, dealt=True)
     return joins.incremental_anti(posts, readers.scan_digests(t.spark, root)).select("id", "topic", "keyword", "url")
 
 
 @query("incremental_anti_indexed", _UNSTORED)
 def _(t: Tables):
     """An index made of one half of the labelled rows, to which the other half is added as two batches."""
-    posts = t.posts()
+    posts = t.stored_posts()
     labelled = posts.filter(F.col("label") >= 0)
     index = DigestIndex(t.spark, new_dir(t.spark, "digest-index"), rows_per_bucket=1 << 12)
     index.build(joins.digests(labelled.filter(F.col("id") % 4 < 2), joins.STORED_KEY, "text"))

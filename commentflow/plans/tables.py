@@ -15,6 +15,7 @@ from commentflow.operators.sampling import stratified_kfold
 from commentflow.plans.scratch import scratch_root
 from commentflow.schema import CLASSES
 from commentflow.sources.paths import parquet_or_none
+from commentflow.sources.readers import scan_all
 from commentflow.sources.writers import write_comments
 
 MODELS = ("model_a", "model_b", "llm")
@@ -199,3 +200,7 @@ class Tables:
                 write_comments(posts, root, mode="overwrite", dealt=True)
             _STORES[key] = root
         return _STORES[key]
+
+    def stored_posts(self) -> DataFrame:
+        """The comments of the store, for queries that need the texts more than once or write them again."""
+        return scan_all(self.spark, self.store_root()).withColumn("id", F.col("id").cast("bigint"))

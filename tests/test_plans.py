@@ -95,3 +95,8 @@ def test_dealt_posts_are_the_posts(spark):
     dealt, posts = t.dealt_posts(), t.posts()
     assert dealt.schema == posts.schema
     assert dealt.count() == posts.count() and dealt.exceptAll(posts).isEmpty()
+
+
+def test_a_load_compares_stored_rows_and_joins_no_labels_again(spark):
+    plan = plan_of(REGISTRY["incremental_anti"](spark, SF_DIR))
+    assert "labels.parquet" not in plan and "/platform=tiktok" in "".join(REGISTRY["incremental_anti"](spark, SF_DIR).inputFiles())
